@@ -37,7 +37,8 @@ def _number_reason(name: str, whole: bool) -> Column:
     if whole:
         low, high = INTEGER_BOUNDS.get(name, ANY_LONG)
         reason = reason.when(number % 1 != 0, F.lit(f"non-integer value in {name}")).when(
-            ~number.between(float(low), float(high)), F.lit(f"out-of-range value in {name}"))
+            (number < float(low)) | (number >= float(high + 1)),
+            F.lit(f"out-of-range value in {name}"))
     return reason.when(value.isNull(), F.lit(f"out-of-range value in {name}"))
 
 
