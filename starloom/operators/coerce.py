@@ -62,7 +62,8 @@ def annotate_types(
 
     numbers = {c: False for c in numeric} | {c: True for c in integer}
     steps = _in_step(df, {
-        **{f"_number_{c}": text.to_number(F.col(c)) for c in numbers},
+        **{f"_number_{c}": text.to_whole_number(F.col(c)) if whole else text.to_number(F.col(c))
+           for c, whole in numbers.items()},
         **{f"_value_{c}": text.to_day(F.col(c)) for c in dates},
     })
     steps = _in_step(steps, {f"_value_{c}": _value(c, whole) for c, whole in numbers.items()})

@@ -49,35 +49,50 @@ def row_conditions(table: str) -> dict[str, Column]:
     return found
 
 
+def _per_check(df: DataFrame, violations: Column) -> DataFrame:
+    return df.groupBy("check").agg(F.sum(violations).cast("bigint").alias("violations"))
+
+
 def duplicates(label: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Key values that occur more than once."""
+    """Values of a composite key that occur more than once."""
     repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     return scalars(repeated, {label: F.count_if(F.col("_n") > 1)})
 
 
-def orphans(fact: str, rows: DataFrame, references: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows whose key is missing from its dimension, for all keys of a fact in one scan.
+def repeated_keys(tables: Mapping[str, DataFrame],
+                  keys: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Repeated values of single-column keys, over all tables in one aggregation."""
+    values = stack([
+        tables[t].select(F.lit(f"{t}.{k} is repeated").alias("check"),
+                         F.col(k).cast("string").alias("value"))
+        for t, of_table in keys.items() for k in of_table
+    ])
+    counted = values.groupBy("check", "value").agg(F.count(F.lit(1)).alias("_n"))
+    return _per_check(counted, (F.col("_n") > 1).cast("int"))
+
 
-    The keys are unpivoted and counted per value before they meet the dimensions, so a hot key
-    travels as one row per task.
+def orphans(rows: Mapping[str, DataFrame], dims: Mapping[str, DataFrame],
+            keys: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Rows whose key is missing from its dimension, for all tables and keys in one pass.
+
+    ``dims`` holds the dimension of each key column. The keys are unpivoted and counted per value
+    before they meet the dimensions, so a hot key travels as one row per task.
     """
-    keys = list(references)
-    counted = (
-        rows.select(*[F.col(k).cast("bigint").alias(k) for k in keys])
-        .unpivot([], keys, "key", "value")
-        .groupBy("key", "value").agg(F.count(F.lit(1)).alias("n"))
-    )
+    def unpivoted(table: str) -> DataFrame:
+        columns = [F.col(k).cast("bigint").alias(k) for k in keys[table]]
+        return rows[table].select(*columns).unpivot([], list(keys[table]), "key", "value").select(
+            F.concat(F.lit(f"{table}."), F.col("key"), F.lit(" has no dimension row"))
+            .alias("check"), "key", "value")
+
+    counted = stack([unpivoted(t) for t in keys]).groupBy("check", "key", "value").agg(
+        F.count(F.lit(1)).alias("n"))
     known = stack([
         dim.select(F.lit(k).alias("known_key"), F.col(k).cast("bigint").alias("known_value"))
-        for k, dim in references.items()
+        for k, dim in dims.items()
     ]).distinct()
     matched = counted.join(known, (F.col("key") == F.col("known_key"))
                            & (F.col("value") == F.col("known_value")), "left")
-    return matched.groupBy("key").agg(
-        F.sum(F.when(F.col("known_key").isNull(), F.col("n")).otherwise(0)).alias("violations")
-    ).select(
-        F.concat(F.lit(f"{fact}."), F.col("key"), F.lit(" has no dimension row")).alias("check"),
-        "violations")
+    return _per_check(matched, F.when(F.col("known_key").isNull(), F.col("n")).otherwise(0))
 
 
 def not_one_current(dim: DataFrame, business_key: str = "hcp_id") -> DataFrame:
@@ -103,16 +118,20 @@ def overlapping_versions(dim: DataFrame, business_key: str = "hcp_id") -> DataFr
     return scalars(marks, {"pairs of overlapping versions": F.coalesce(F.sum(pairs), F.lit(0))})
 
 
-def facts_outside_version(fact: DataFrame, dim_hcp: DataFrame, dim_date: DataFrame,
-                          label: str = "facts outside their version's window") -> DataFrame:
+def facts_outside_version(facts: Mapping[str, DataFrame], dim_hcp: DataFrame,
+                          dim_date: DataFrame) -> DataFrame:
     """Facts dated outside the window of the version they point to."""
-    version_days = fact.groupBy("hcp_key", "date_key").agg(F.count(F.lit(1)).alias("n"))
+    version_days = stack([
+        fact.select(F.lit(f"{name} rows outside their version's window").alias("check"),
+                    "hcp_key", "date_key")
+        for name, fact in facts.items()
+    ]).groupBy("check", "hcp_key", "date_key").agg(F.count(F.lit(1)).alias("n"))
     dated = (
         version_days.join(dim_date.select("date_key", "full_date"), "date_key")
         .join(dim_hcp.select("hcp_key", "valid_from", "valid_to"), "hcp_key")
     )
-    outside = ~F.col("full_date").between(F.col("valid_from"), F.col("valid_to"))
-    return scalars(dated, {label: F.coalesce(F.sum(F.when(outside, F.col("n"))), F.lit(0))})
+    inside = F.col("full_date").between(F.col("valid_from"), F.col("valid_to"))
+    return _per_check(dated, F.when(inside, 0).otherwise(F.col("n")))
 
 
 def differing_totals(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -145,18 +164,17 @@ def distribution(dim_hcp: DataFrame, dim_date: DataFrame) -> DataFrame:
 def warehouse_checks(star: Mapping[str, DataFrame]) -> DataFrame:
     """Every check of the publish gate."""
     frames = [count_rows_where(star[t], row_conditions(t)) for t in NOT_NULL]
-    frames += [duplicates(f"{t}.{k} is repeated", star[t], [k])
-               for t, keys in UNIQUE.items() for k in keys]
-    frames.append(duplicates("fact_prescriptions grain is repeated", star["fact_prescriptions"],
-                             ["hcp_key", "product_key", "date_key"]))
-    for fact in ("fact_prescriptions", "fact_sales_calls"):
-        frames.append(orphans(fact, star[fact], {k: star[d] for k, d in FACT_KEYS.items()}))
-        frames.append(facts_outside_version(
-            star[fact], star["dim_hcp"], star["dim_date"],
-            f"{fact} rows outside their version's window"))
-    frames.append(orphans("dim_hcp", star["dim_hcp"], {"territory_key": star["dim_territory"]}))
-    frames.append(not_one_current(star["dim_hcp"]))
-    frames.append(overlapping_versions(star["dim_hcp"]))
+    facts = {t: star[t] for t in ("fact_prescriptions", "fact_sales_calls")}
+    frames += [
+        repeated_keys(star, UNIQUE),
+        duplicates("fact_prescriptions grain is repeated", star["fact_prescriptions"],
+                   ["hcp_key", "product_key", "date_key"]),
+        orphans(star, {k: star[d] for k, d in FACT_KEYS.items()},
+                {**{t: tuple(FACT_KEYS) for t in facts}, "dim_hcp": ("territory_key",)}),
+        facts_outside_version(facts, star["dim_hcp"], star["dim_date"]),
+        not_one_current(star["dim_hcp"]),
+        overlapping_versions(star["dim_hcp"]),
+    ]
     return stack(frames)
 
 

@@ -59,10 +59,13 @@ def build_dimensions(spark: SparkSession, run: Run) -> dict[str, int]:
 def load_fact(spark: SparkSession, run: Run, feed: FactFeed) -> dict[str, int]:
     """Type, resolve and write one feed: loaded and rejected lines in one pass."""
     staged = run.read_staging(feed.name)
-    dim_hcp = spark.read.parquet(run.table("dim_hcp"))
-    annotated = annotate_fact(staged, feed, dim_hcp, run.read("dim_product"), run.read("dim_date"))
-    highest = dim_hcp.agg(F.max("hcp_key")).first()[0] or 0
-    rows = tables.cluster_fact(split_ready(annotated, feed), highest, extra=[OUTCOME])
+    dim_hcp, dim_date = run.read("dim_hcp"), run.read("dim_date")
+    annotated = annotate_fact(staged, feed, dim_hcp, run.read("dim_product"), dim_date)
+    slices = tables.slices_per_month(
+        staged.count(), dim_date.select("year_month").distinct().count())
+    # Keys are dense from 1, so their number is the highest one.
+    rows = tables.cluster_fact(split_ready(annotated, feed), dim_hcp.count(), slices,
+                               extra=[OUTCOME])
     tables.write_outcome(rows, run.table(feed.target), [OUTCOME, "year_month"])
     return tables.outcome_counts(spark, run.table(feed.target))
 

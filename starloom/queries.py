@@ -185,18 +185,18 @@ def fk_orphans(spark: SparkSession, d: str) -> DataFrame:
     suppliers = b.table(spark, d, "supplier").where("s_acctbal >= 0")
     nations = b.table(spark, d, "nation").where("n_regionkey <> 0")
     days = b.order_calendar(spark, d)
-    orders = b.table(spark, d, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    orders = b.table(spark, d, "orders")
     lines = b.table(spark, d, "lineitem").select(
         F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("s_suppkey"),
         F.date_format(F.col("l_shipdate"), "yyyyMMdd").cast("int").alias("date_key"))
-    return quality.stack([
-        quality.orphans("lineitem", lines, {
-            "p_partkey": parts, "s_suppkey": suppliers, "date_key": days}),
-        quality.orphans("orders", orders.withColumnRenamed("o_custkey", "c_custkey"),
-                        {"c_custkey": customers}),
-        quality.orphans("customer", customer.withColumnRenamed("c_nationkey", "n_nationkey"),
-                        {"n_nationkey": nations}),
-    ])
+    rows = {"lineitem": lines, "orders": orders.withColumnRenamed("o_custkey", "c_custkey"),
+            "customer": customer.withColumnRenamed("c_nationkey", "n_nationkey")}
+    return quality.orphans(
+        rows,
+        {"p_partkey": parts, "s_suppkey": suppliers, "date_key": days, "c_custkey": customers,
+         "n_nationkey": nations},
+        {"lineitem": ("p_partkey", "s_suppkey", "date_key"), "orders": ("c_custkey",),
+         "customer": ("n_nationkey",)})
 
 
 def null_and_range_checks(spark: SparkSession, d: str) -> DataFrame:
@@ -224,18 +224,16 @@ def scd2_invariants(spark: SparkSession, d: str) -> DataFrame:
     return quality.stack([
         quality.not_one_current(windows),
         quality.overlapping_versions(windows),
-        quality.facts_outside_version(shipped, windows, b.order_calendar(spark, d)),
+        quality.facts_outside_version({"lineitem": shipped}, windows, b.order_calendar(spark, d)),
         quality.scalars(windows, {"closed versions": F.count_if(~F.col("is_current"))}),
     ])
 
 
 def uniqueness_checks(spark: SparkSession, d: str) -> DataFrame:
-    t = lambda name: b.table(spark, d, name)
+    keys = {"orders": ("o_orderkey",), "customer": ("c_custkey",), "part": ("p_partkey",)}
     return quality.stack([
-        quality.duplicates("orders.o_orderkey is repeated", t("orders"), ["o_orderkey"]),
-        quality.duplicates("customer.c_custkey is repeated", t("customer"), ["c_custkey"]),
-        quality.duplicates("part.p_partkey is repeated", t("part"), ["p_partkey"]),
-        quality.duplicates("lineitem (order, line) is repeated", t("lineitem"),
+        quality.repeated_keys({t: b.table(spark, d, t) for t in keys}, keys),
+        quality.duplicates("lineitem (order, line) is repeated", b.table(spark, d, "lineitem"),
                            ["l_orderkey", "l_linenumber"]),
         quality.duplicates("prescription grain is repeated", b.prescriptions(spark, d, False),
                            ["hcp_key", "product_key", "date_key"]),

@@ -6,14 +6,14 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.schemas import NOT_NULL
 
 LOADED, REJECTED = "loaded", "rejected"
 OUTCOME = "outcome"
-HCP_SLICES = 32
+ROWS_PER_SLICE = 4_000_000
 
 
 def write_table(df: DataFrame, path: str, columns: Sequence[str] | None = None,
@@ -42,20 +42,23 @@ def row_count(spark: SparkSession, path: str) -> int:
     return spark.read.parquet(path).count()
 
 
-def key_slice(key: Column, highest: int, slices: int = HCP_SLICES) -> Column:
-    """Equal-width slice of a dense 1..highest key."""
-    return F.floor((key - 1) * slices / F.lit(max(highest, 1))).cast("int")
+def slices_per_month(rows: int, months: int) -> int:
+    """How many prescriber slices keep a month's files at a few million rows each."""
+    return max(1, round(rows / max(months, 1) / ROWS_PER_SLICE))
 
 
-def cluster_fact(fact: DataFrame, highest_key: int, extra: Sequence[str] = ()) -> DataFrame:
+def cluster_fact(fact: DataFrame, highest_key: int, slices: int,
+                 extra: Sequence[str] = ()) -> DataFrame:
     """Rows gathered by month and prescriber slice and sorted by prescriber inside each file.
 
+    Prescriber keys are dense, so slices of equal key width hold equally many prescribers.
     Rebalancing lets Spark split oversized (month, slice) groups by measured size and merge small
     ones; the sort gives Parquet narrow min/max ranges for the prescriber drill-down.
     """
     groups = [*extra, "year_month"]
+    slice_no = F.floor((F.col("hcp_key") - 1) * slices / F.lit(max(highest_key, 1)))
     return (
-        fact.withColumn("_slice", key_slice(F.col("hcp_key"), highest_key))
+        fact.withColumn("_slice", slice_no.cast("int"))
         .hint("rebalance", *groups, "_slice").drop("_slice")
         .sortWithinPartitions(*groups, "hcp_key", "date_key")
     )

@@ -14,18 +14,25 @@ def versions(spark, *spans):
 def test_orphans_per_key_in_one_scan(spark):
     fact = spark.createDataFrame([(1, 10), (1, 99), (2, 99), (None, 10)], "a int, b int")
     dims = {"a": spark.createDataFrame([(1,)], "a int"), "b": spark.createDataFrame([(10,)], "b int")}
-    assert rows(quality.orphans("f", fact, dims)) == [
+    assert rows(quality.orphans({"f": fact}, dims, {"f": ("a", "b")})) == [
         ("f.a has no dimension row", 2), ("f.b has no dimension row", 2)]
 
 
 def test_child_of_an_existing_parent_passes(spark):
     parent = spark.createDataFrame([(1,)], "id int")
-    assert quality.failed(quality.orphans("child", parent, {"id": parent})) == []
-    child = spark.createDataFrame([(999,)], "id int")
-    assert quality.failed(quality.orphans("child", child, {"id": parent})) == [
+    check = lambda rows: quality.failed(
+        quality.orphans({"child": rows}, {"id": parent}, {"child": ("id",)}))
+    assert check(parent) == []
+    assert check(spark.createDataFrame([(999,)], "id int")) == [
         ("child.id has no dimension row", 1)]
 
 
+def test_repeated_keys(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "a"), (4, "b")], "k int, c string")
+    assert rows(quality.repeated_keys({"t": df}, {"t": ("k", "c")})) == [
+        ("t.c is repeated", 1), ("t.k is repeated", 0)]
+
+
 def test_overlapping_pairs_are_counted(spark):
     dim = versions(
         spark, ("A", "2024-01-01", "2024-01-31", False), ("A", "2024-01-31", "9999-12-31", True),
@@ -65,7 +72,8 @@ def test_fact_rows(spark):
 def test_facts_outside_their_version(spark):
     s = star(spark, rx=[(20240531, 1, 1, 1, 1, 1), (20240601, 1, 1, 1, 1, 1),
                         (20240531, 2, 1, 2, 1, 1)])
-    found = quality.facts_outside_version(s["fact_prescriptions"], s["dim_hcp"], s["dim_date"])
+    found = quality.facts_outside_version(
+        {"rx": s["fact_prescriptions"]}, s["dim_hcp"], s["dim_date"])
     assert [r.violations for r in found.collect()] == [2]
 
 
