@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from starloom.functions.dates import date_key, year_month
 from starloom.operators.calendar import calendar_over, day_bounds
-from starloom.operators.positions import with_keys
-from starloom.operators.resolve import annotate_keys
 from starloom.operators.coerce import REASON
+from starloom.operators.positions import with_keys
+from starloom.operators.resolve import annotate_keys, version_segments
 from starloom.operators.scd2 import apply_scd2
+from starloom.session import pin
 
 OWN_BRANDS_UP_TO = 10
 OWN_PRODUCTS_BELOW = 50
@@ -122,31 +123,32 @@ def contact_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "product_code", F.col("product_code").alias("product_key"),
         (F.col("product_code") >= OWN_PRODUCTS_BELOW).alias("is_competitor"))
     versions = contact_versions(spark, sf_dir)
+    stretches = pin(version_segments(versions))
 
-    def fact(event_type: str) -> DataFrame:
+    def fact(event_type: str, *measures: str) -> DataFrame:
         rows = events.where(F.col("event_type") == event_type).select(
             "hcp_id", "day", "product_code", F.floor("value").alias("trx_count"))
-        keyed = annotate_keys(rows, versions, codes, days, "day")
+        keyed = annotate_keys(rows, stretches, codes, days, "day")
         return keyed.where(F.col(REASON).isNull()).select(
-            "date_key", "hcp_key", "product_key", "territory_key", "trx_count")
+            "date_key", "hcp_key", "product_key", "territory_key", *measures)
 
-    return {"fact_prescriptions": fact("purchase"), "fact_sales_calls": fact("click"),
+    return {"fact_prescriptions": fact("purchase", "trx_count"), "fact_sales_calls": fact("click"),
             "dim_product": codes, "dim_hcp": versions, "dim_date": days}
 
 
 # ------------------------------------------------------------------- text feed
 def _dirt(clean: Column, discount: int, by_tax: dict[int, str | None]) -> Column:
     """Replace the text on lines with this discount by one damaged form per tax rate."""
-    cents = lambda c: F.round(F.col(c) * 100).cast("int")
-    hit = cents("l_discount") == discount
-    return reduce(
-        lambda text, case: F.when(hit & (cents("l_tax") == case[0]), F.lit(case[1]))
-        .otherwise(text), by_tax.items(), clean)
+    hit = F.col("discount") == discount
+    return reduce(lambda text, case: text.when(hit & (F.col("tax") == case[0]), F.lit(case[1])),
+                  by_tax.items(), F).otherwise(clean)
 
 
 def rx_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as an all-text prescription feed; some rates mark damaged lines."""
-    lines = table(spark, sf_dir, "lineitem")
+    percent = lambda c: F.floor(F.col(c) * 100 + 0.5)
+    lines = table(spark, sf_dir, "lineitem").select(
+        "*", percent("l_discount").alias("discount"), percent("l_tax").alias("tax"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     whole = F.col("l_quantity").cast("int")
     text = lambda c: c.cast("string")

@@ -16,9 +16,8 @@ def is_blank(text: Column) -> Column:
 
 
 def to_number(text: Column) -> Column:
-    """Finite double, or null. A plain cast would also take '1d', 'NaN' and 'Infinity'."""
-    number = F.when(text.rlike(NUMBER), text.try_cast("double"))
-    return F.nullif(F.nullif(number, F.lit(float("inf"))), F.lit(float("-inf")))
+    """Double or null; infinite when it overflows. A plain cast would also take '1d' and 'NaN'."""
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def to_whole_number(text: Column) -> Column:

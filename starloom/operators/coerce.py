@@ -12,6 +12,7 @@ from starloom.schemas import ANY_LONG, COLUMN_TYPES, INTEGER_BOUNDS
 
 REASON = "reject_reason"
 TYPED = "typed"
+INFINITY = float("inf")
 
 
 def _in_step(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
@@ -24,7 +25,7 @@ def _value(name: str, whole: bool) -> Column:
     source, number = F.col(name), F.col(f"_number_{name}")
     target = COLUMN_TYPES.get(name, "bigint" if whole else "double")
     if not whole:
-        return F.when(number.isNotNull(), source.try_cast(target))
+        return F.when(F.abs(number) < INFINITY, source.try_cast(target))
     return F.when(number % 1 == 0, F.coalesce(source.try_cast(target), number.try_cast(target)))
 
 
@@ -32,7 +33,8 @@ def _number_reason(name: str, whole: bool) -> Column:
     number, value = F.col(f"_number_{name}"), F.col(f"_value_{name}")
     reason = (
         F.when(number.isNull() & text.is_blank(F.col(name)), F.lit(f"missing value in {name}"))
-        .when(number.isNull(), F.lit(f"non-numeric value in {name}"))
+        .when(number.isNull() | (F.abs(number) == INFINITY),
+              F.lit(f"non-numeric value in {name}"))
     )
     if whole:
         low, high = INTEGER_BOUNDS.get(name, ANY_LONG)

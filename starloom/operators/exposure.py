@@ -8,21 +8,28 @@ from pyspark.sql import functions as F
 from starloom.schemas import CALL_LOOKBACK_DAYS
 
 
+def script_and_call_marks(scripts: DataFrame, calls: DataFrame, *keys: str) -> DataFrame:
+    """Both feeds as one: (keys, trx, scripts, calls), a row counting as a script or as a call."""
+    return scripts.select(
+        *keys, F.col("trx").cast("bigint").alias("trx"),
+        F.lit(1).alias("scripts"), F.lit(0).alias("calls"),
+    ).unionByName(calls.select(
+        *keys, F.lit(None).cast("bigint").alias("trx"),
+        F.lit(0).alias("scripts"), F.lit(1).alias("calls"),
+    ))
+
+
+def add_up(marks: DataFrame, *keys: str) -> DataFrame:
+    return marks.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("trx", "scripts", "calls")])
+
+
 def person_days(scripts: DataFrame, calls: DataFrame) -> DataFrame:
     """One row per person and day over both feeds: (hcp_id, day, trx, scripts, calls).
 
     ``scripts`` brings (hcp_id, day, trx), ``calls`` brings (hcp_id, day). Both are added up in one
     aggregation, so a person ends up with at most one row per day of the calendar.
     """
-    seen = scripts.select(
-        "hcp_id", "day", F.col("trx").cast("bigint").alias("trx"),
-        F.lit(1).alias("scripts"), F.lit(0).alias("calls"),
-    ).unionByName(calls.select(
-        "hcp_id", "day", F.lit(None).cast("bigint").alias("trx"),
-        F.lit(0).alias("scripts"), F.lit(1).alias("calls"),
-    ))
-    return seen.groupBy("hcp_id", "day").agg(
-        *[F.sum(c).alias(c) for c in ("trx", "scripts", "calls")])
+    return add_up(script_and_call_marks(scripts, calls, "hcp_id", "day"), "hcp_id", "day")
 
 
 def with_prior_calls(days: DataFrame, lookback: int = CALL_LOOKBACK_DAYS) -> DataFrame:

@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from starloom.functions import text
 from starloom.operators.coerce import REASON
 from starloom.schemas import OPEN_END
+from starloom.session import pin
 
 
 
 def unique_lookup(dim: DataFrame, key: str, value: str) -> DataFrame:
-    """(key, value) with one row per key; a repeated key fails the job that reads its value."""
-    message = F.concat(F.lit(f"{key} is not unique: "), F.col(key).cast("string"))
-    return dim.groupBy(key).agg(F.max(value).alias(value), F.count(F.lit(1)).alias("_n")).select(
-        key, F.when(F.col("_n") > 1, F.raise_error(message).cast(dim.schema[value].dataType))
-        .otherwise(F.col(value)).alias(value))
+    """(key, value) of a dimension after checking that no key is repeated."""
+    repeated = dim.groupBy(key).count().where("count > 1").first()
+    if repeated is not None:
+        raise ValueError(f"{key} is not unique: {repeated[key]}")
+    return dim.select(key, value)
 
 
 def version_marks(dim: DataFrame, business_key: str, *ids: str) -> DataFrame:
@@ -71,20 +72,19 @@ def version_segments(dim: DataFrame, business_key: str = "hcp_id",
     )
 
 
-def annotate_keys(facts: DataFrame, dim_hcp: DataFrame, dim_product: DataFrame,
+def annotate_keys(facts: DataFrame, stretches: DataFrame, products: DataFrame,
                   dim_date: DataFrame, date_col: str, day: Column | None = None) -> DataFrame:
     """Every fact once, with the four keys and ``reject_reason`` (null when all resolved).
 
-    Joins carry no broadcast hint: Spark broadcasts a dimension when its measured size allows and
-    otherwise shuffles on the person, where skew handling splits the facts of a hot person (each
-    piece meets the same few stretches).
+    ``stretches`` is a pinned ``version_segments``, ``products`` a ``unique_lookup``. Joins carry no
+    broadcast hint: Spark broadcasts a dimension when its measured size allows and otherwise
+    shuffles on the key, where skew handling splits the facts of a hot person or product (each
+    piece meets the same few dimension rows).
     """
     if day is None:
         day = F.col(date_col)
         if facts.schema[date_col].dataType.simpleString() == "string":
             day = text.to_day(day)
-    products = unique_lookup(dim_product, "product_code", "product_key")
-    stretches = version_segments(dim_hcp).withColumnRenamed("hcp_id", "_hcp_id")
     days = dim_date.select(F.col("full_date").alias("_calendar_day"), "date_key")
     reason = (
         F.when(F.col("_day").isNull(), F.lit(f"missing or invalid {date_col}"))
@@ -97,7 +97,8 @@ def annotate_keys(facts: DataFrame, dim_hcp: DataFrame, dim_product: DataFrame,
     return (
         facts.withColumn("_day", day.cast("date"))
         .join(products, "product_code", "left")
-        .join(stretches, (F.col("hcp_id") == F.col("_hcp_id"))
+        .join(stretches.withColumnRenamed("hcp_id", "_hcp_id"),
+              (F.col("hcp_id") == F.col("_hcp_id"))
               & F.col("_day").between(F.col("seg_from"), F.col("seg_to")), "left")
         .join(days, F.col("_day") == F.col("_calendar_day"), "left")
         .withColumn(REASON, reason)
@@ -109,7 +110,9 @@ def resolve_surrogate_keys(facts: DataFrame, dim_hcp: DataFrame, dim_product: Da
                            dim_date: DataFrame, date_col: str = "rx_date"
                            ) -> tuple[DataFrame, DataFrame]:
     """(resolved facts with keys instead of natural keys, rejected facts with their reason)."""
-    annotated = annotate_keys(facts, dim_hcp, dim_product, dim_date, date_col)
+    annotated = annotate_keys(
+        facts, pin(version_segments(dim_hcp)),
+        unique_lookup(dim_product, "product_code", "product_key"), dim_date, date_col)
     resolved = annotated.where(F.col(REASON).isNull()).drop(
         REASON, date_col, "hcp_id", "product_code")
     return resolved, annotated.where(F.col(REASON).isNotNull()).select(*facts.columns, REASON)

@@ -38,15 +38,10 @@ def _blocks(incoming: DataFrame, key: str, tracked: list[str], effective: str,
         .withColumn("_place", place)
         .groupBy(key, "_effective", *tracked)
         .agg(
-            F.max("_place").alias("_last"),
-            F.min(F.struct("_place", *untracked)).alias("_first_row"),
-        )
-        .select(
-            key, "_effective", *tracked,
-            *[F.col(f"_first_row.{c}").alias(c) for c in untracked],
-            F.col("_first_row._place").alias("_first"), "_last",
-            F.lit(1).alias("_source"),
+            F.min("_place").alias("_first"), F.max("_place").alias("_last"),
+            *[F.min_by(c, "_place").alias(c) for c in untracked],
         )
+        .withColumn("_source", F.lit(1))
     )
 
 

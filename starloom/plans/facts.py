@@ -13,14 +13,14 @@ from starloom.sources.feeds import MALFORMED
 from starloom.sources.tables import LOADED, OUTCOME, REJECTED
 
 
-def annotate_fact(staged: DataFrame, feed: FactFeed, dim_hcp: DataFrame, dim_product: DataFrame,
+def annotate_fact(staged: DataFrame, feed: FactFeed, stretches: DataFrame, products: DataFrame,
                   dim_date: DataFrame) -> DataFrame:
     """Every staged line once: raw text, typed values, keys, and the first reason to reject it."""
     typed = annotate_types(staged, **feed.rules()).withColumnRenamed(REASON, "_type_reason")
     if MALFORMED in staged.columns:
         broken = F.when(F.col(MALFORMED).isNotNull(), F.lit("malformed line"))
         typed = typed.withColumn("_type_reason", F.coalesce(broken, "_type_reason"))
-    keyed = annotate_keys(typed, dim_hcp, dim_product, dim_date, feed.date_col,
+    keyed = annotate_keys(typed, stretches, products, dim_date, feed.date_col,
                           day=F.col(f"{TYPED}.{feed.date_col}"))
     return keyed.withColumn(REASON, F.coalesce("_type_reason", REASON)).drop("_type_reason")
 

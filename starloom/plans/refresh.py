@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from starloom.operators import quality
 from starloom.operators.calendar import build_dim_date
 from starloom.operators.coerce import REASON
+from starloom.operators.resolve import unique_lookup, version_segments
 from starloom.plans import dimensions as dims
 from starloom.plans.facts import annotate_fact, split_ready
 from starloom.schemas import CALL_FEED, FACT_FEEDS, FEEDS, HCP_FEED, RX_FEED, FactFeed
@@ -53,19 +54,21 @@ def build_dimensions(spark: SparkSession, run: Run) -> dict[str, int]:
     clean = tables.read_outcome(spark, run.table("hcp_rows"), LOADED)
     versions = dims.hcp_versions(clean, ordinal_col=PLACE)
     write_table(dims.key_new_versions(versions), run.table("dim_hcp"))
+    write_table(version_segments(run.read("dim_hcp")), run.table("hcp_stretches"))
     return tables.outcome_counts(spark, run.table("hcp_rows"))
 
 
 def load_fact(spark: SparkSession, run: Run, feed: FactFeed) -> dict[str, int]:
     """Type, resolve and write one feed: loaded and rejected lines in one pass."""
-    staged = run.read_staging(feed.name)
-    dim_hcp, dim_date = run.read("dim_hcp"), run.read("dim_date")
-    annotated = annotate_fact(staged, feed, dim_hcp, run.read("dim_product"), dim_date)
+    staged, dim_date = run.read_staging(feed.name), run.read("dim_date")
+    products = unique_lookup(run.read("dim_product"), "product_code", "product_key")
+    stretches = spark.read.parquet(run.table("hcp_stretches"))
+    annotated = annotate_fact(staged, feed, stretches, products, dim_date)
     slices = tables.slices_per_month(
         staged.count(), dim_date.select("year_month").distinct().count())
     # Keys are dense from 1, so their number is the highest one.
-    rows = tables.cluster_fact(split_ready(annotated, feed), dim_hcp.count(), slices,
-                               extra=[OUTCOME])
+    versions = tables.row_count(spark, run.table("dim_hcp"))
+    rows = tables.cluster_fact(split_ready(annotated, feed), versions, slices, extra=[OUTCOME])
     tables.write_outcome(rows, run.table(feed.target), [OUTCOME, "year_month"])
     return tables.outcome_counts(spark, run.table(feed.target))
 

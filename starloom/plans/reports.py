@@ -6,11 +6,11 @@ meet anything but the small product table, so the joins that follow see one row
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.numbers import ntile_of, percent, ratio, whole
-from starloom.operators.exposure import person_days, with_prior_calls
+from starloom.operators.exposure import add_up, script_and_call_marks, with_prior_calls
 from starloom.operators.positions import with_ranks
 from starloom.schemas import BASELINE_MONTHS, DRILLDOWN_HCP_KEY, GROWTH_ASK, WATCH_FLOOR
 
@@ -131,25 +131,27 @@ def label_as_of(facts: DataFrame, dim_hcp: DataFrame, day: str, *attributes: str
     ).drop("_hcp_id", "valid_from", "valid_to")
 
 
-def _own_person_days(star: Star, fact: str, measure: Column) -> DataFrame:
-    """(hcp_id, day, trx) of own-brand rows, added up per version-day before the joins."""
-    version_days = (
-        _own_brand(star[fact], star).groupBy("hcp_key", "date_key").agg(measure.alias("trx"))
-    )
-    return (
+def own_person_days(star: Star) -> DataFrame:
+    """Own-brand scripts and calls per person and day, added up per version-day before the joins.
+
+    Any own-brand call counts for any own-brand script, and versions of a person count as one.
+    """
+    keys = ("hcp_key", "date_key", "product_key")
+    scripts = star["fact_prescriptions"].withColumnRenamed("trx_count", "trx")
+    marks = script_and_call_marks(scripts, star["fact_sales_calls"], *keys)
+    version_days = add_up(_own_brand(marks, star), "hcp_key", "date_key")
+    dated = (
         version_days.join(star["dim_hcp"].select("hcp_key", "hcp_id"), "hcp_key")
         .join(star["dim_date"].select("date_key", F.col("full_date").alias("day")), "date_key")
-        .select("hcp_id", "day", "trx")
     )
+    return add_up(dated, "hcp_id", "day")
 
 
 def person_months(star: Star) -> DataFrame:
     """One row per person and month with scripts: volume, exposure, cohort, decile as of month end."""
-    scripts = _own_person_days(star, "fact_prescriptions", F.sum("trx_count"))
-    calls = _own_person_days(star, "fact_sales_calls", F.count(F.lit(1)))
     exposed = F.col("prior_calls") > 0
     months = (
-        with_prior_calls(person_days(scripts, calls))
+        with_prior_calls(own_person_days(star))
         .withColumn("year_month", F.date_format("day", "yyyy-MM"))
         .groupBy("hcp_id", "year_month")
         .agg(

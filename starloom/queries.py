@@ -13,17 +13,18 @@ from starloom.functions import text
 from starloom.functions.dates import year_month
 from starloom.operators import quality
 from starloom.operators.calendar import calendar_over, day_bounds
-from starloom.operators.coerce import REASON, coerce_columns, with_typed_columns, annotate_types
+from starloom.operators.coerce import REASON, annotate_types, coerce_columns, with_typed_columns
 from starloom.operators.exposure import (
     person_days,
     prior_calls_by_range_join,
     with_prior_calls,
 )
-from starloom.operators.resolve import resolve_surrogate_keys
+from starloom.operators.resolve import resolve_surrogate_keys, version_segments
 from starloom.operators.scd2 import apply_scd2, scd2_conflicts
 from starloom.plans import dimensions, reports
 from starloom.plans.facts import annotate_fact, reconciliation
 from starloom.schemas import CALL_FEED, RX_FEED
+from starloom.session import pin
 
 Query = Callable[[SparkSession, str], DataFrame]
 ORDER_HISTORY = dict(business_key="hcp_id", tracked=("priority", "status"),
@@ -158,7 +159,7 @@ def label_as_of(spark: SparkSession, d: str) -> DataFrame:
 
 def _rx_annotated(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     staged = b.rx_text(spark, d)
-    return staged, annotate_fact(staged, RX_FEED, b.order_windows(spark, d),
+    return staged, annotate_fact(staged, RX_FEED, pin(version_segments(b.order_windows(spark, d))),
                                  b.product_codes(spark, d), b.order_calendar(spark, d))
 
 
@@ -170,7 +171,7 @@ def reconcile(spark: SparkSession, d: str) -> DataFrame:
         F.col("product_code").cast("string").alias("product_code"),
         F.col("product_code").alias("product_key"))
     versions = b.contact_versions(spark, d).withColumn("hcp_id", F.col("hcp_id").cast("string"))
-    calls_annotated = annotate_fact(calls, CALL_FEED, versions, codes,
+    calls_annotated = annotate_fact(calls, CALL_FEED, pin(version_segments(versions)), codes,
                                     calendar_over(day_bounds(events.select("day"))))
     return reconciliation("prescriptions", rx, rx_annotated).unionByName(
         reconciliation("sales_calls", calls, calls_annotated))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,24 +19,34 @@ def local_session(app_name: str = "starloom", cores: str = "*", shuffle_partitio
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
 
-def pin(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the session's checkpoint folder and continue from the written copy.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables: the cluster's shared ``spark.checkpoint.dir``.
 
-    Used where a later step relies on rows staying in the partition they were first seen in,
-    which a recomputed partition does not promise. The folder is the cluster's shared
-    ``spark.checkpoint.dir``; only a local session without one gets a folder of its own.
+    Only a local session without one gets a folder of its own.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="starloom-checkpoint-")
+            folder = tempfile.mkdtemp(prefix="starloom-")
         context.setCheckpointDir(folder)
-    return df.checkpoint()
+    return context.getCheckpointDir()
+
+
+def pin(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and continue from the written table.
+
+    The rows and the partition numbers they carry then stay as they are whatever executors are
+    lost, later steps read only the columns they need, and Spark knows the size of the table. It
+    also ends the hash partitioning of ``df``: a join whose side is still partitioned from a window
+    or aggregate skips that side's shuffle, and with it the splitting of hot keys.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
