@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.operators.resolve import version_marks
-from starloom.schemas import CALL_TYPES, FACT_KEYS, NOT_NULL, UNIQUE
+from starloom.schemas import CALL_TYPES, FACT_KEYS, LEAST_SPREAD, NOT_NULL, UNIQUE
 
 
 def stack(frames: Sequence[DataFrame]) -> DataFrame:
@@ -151,14 +151,15 @@ def differing_totals(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 
 def distribution(dim_hcp: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """(measure, value): how spread out deciles, months and closed history are."""
-    def as_measures(df: DataFrame, **values: Column) -> DataFrame:
-        return scalars(df, values, "measure", "value")
-
-    return as_measures(
-        dim_hcp, distinct_deciles=F.count_distinct("decile"),
-        closed_versions=F.count_if(~F.col("is_current")),
-    ).unionByName(as_measures(dim_date, distinct_months=F.count_distinct("year_month")))
+    """(measure, value, enough): spread of deciles and months, and whether history exists."""
+    people = scalars(dim_hcp, {
+        "distinct_deciles": F.count_distinct("decile"),
+        "closed_versions": F.count_if(~F.col("is_current"))}, "measure", "value")
+    months = scalars(dim_date, {"distinct_months": F.count_distinct("year_month")},
+                     "measure", "value")
+    least = F.create_map(*[F.lit(x) for pair in LEAST_SPREAD.items() for x in pair])
+    return people.unionByName(months).withColumn(
+        "enough", F.col("value") >= F.element_at(least, F.col("measure")))
 
 
 def warehouse_checks(star: Mapping[str, DataFrame]) -> DataFrame:

@@ -468,9 +468,15 @@ ORACLE_SQL["distribution_checks"] = f"""
 WITH {ORDER_CHANGES}, bounds AS (
   SELECT min(o_orderdate) AS lo, max(o_orderdate) AS hi FROM orders
 )
-SELECT 'distinct_deciles' AS measure, count(DISTINCT priority || status) AS value FROM history
-UNION ALL SELECT 'closed_versions', CAST(count_if(NOT is_current) AS BIGINT) FROM history
-UNION ALL SELECT 'distinct_months', date_diff('month', lo, hi) + 1 FROM bounds"""
+SELECT 'distinct_deciles' AS measure, count(DISTINCT priority || status) AS value,
+       count(DISTINCT priority || status) >= 5 AS enough
+FROM history
+UNION ALL
+SELECT 'closed_versions', CAST(count_if(NOT is_current) AS BIGINT), count_if(NOT is_current) >= 1
+FROM history
+UNION ALL
+SELECT 'distinct_months', date_diff('month', lo, hi) + 1, date_diff('month', lo, hi) + 1 >= 12
+FROM bounds"""
 
 ORACLE_SQL["source_vs_warehouse"] = f"""
 WITH {RESOLVED}, {DIFFERENCES.strip()}, loaded AS (

@@ -75,3 +75,13 @@ def hcp_versions(annotated: DataFrame, existing: DataFrame | None = None,
 def key_new_versions(versions: DataFrame, highest: int = 0) -> DataFrame:
     """Number versions in (person, start) order after the highest key in use."""
     return with_keys(versions, ["hcp_id", "valid_from"], "hcp_key", start_after=highest)
+
+
+def extend_dim_hcp(existing: DataFrame, annotated: DataFrame,
+                   ordinal_col: str | None = None) -> DataFrame:
+    """The dimension after another batch: versions keep their keys, new ones are numbered on."""
+    versions = hcp_versions(annotated, existing, ordinal_col)
+    highest = existing.agg(F.max("hcp_key")).first()[0] or 0
+    opened = versions.where(F.col("hcp_key").isNull()).drop("hcp_key")
+    return versions.where(F.col("hcp_key").isNotNull()).unionByName(
+        key_new_versions(opened, highest))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators import quality
 from starloom.operators.calendar import build_dim_date
-from starloom.operators.coerce import REASON
+from starloom.operators.coerce import REASON, TYPED, annotate_types
 from starloom.operators.resolve import unique_lookup, version_segments
 from starloom.plans import dimensions as dims
 from starloom.plans.facts import annotate_fact, split_ready
@@ -115,6 +115,31 @@ def reconcile(staged: dict[str, int], outcomes: dict[str, dict[str, int]]) -> No
         raise RefreshError(f"row-count reconciliation failed: {lost}")
 
 
+def audit_totals(run: Run, feed: FactFeed = RX_FEED) -> DataFrame:
+    """(person, product, day) groups where staged text differs from rejected text plus facts.
+
+    Counts can balance while the wrong lines were rejected; totals per natural key cannot.
+    """
+    keys = ["hcp_id", "product_code", "day"]
+    measures = [m for m in feed.measures if m in (*feed.numeric, *feed.integer)]
+
+    def of_text(lines: DataFrame) -> DataFrame:
+        typed = annotate_types(lines.select(*feed.columns), numeric=feed.numeric,
+                               integer=feed.integer, dates=feed.dates)
+        return typed.select("hcp_id", "product_code", F.col(f"{TYPED}.{feed.date_col}").alias("day"),
+                            *[F.coalesce(f"{TYPED}.{m}", F.lit(0)).alias(m) for m in measures])
+
+    facts = run.read(feed.target)
+    loaded = (
+        facts.join(run.read("dim_hcp").select("hcp_key", "hcp_id"), "hcp_key")
+        .join(run.read("dim_product").select("product_key", "product_code"), "product_key")
+        .join(run.read("dim_date").select("date_key", F.col("full_date").alias("day")), "date_key")
+        .select(*keys, *measures))
+    return quality.differing_totals(
+        of_text(run.read_staging(feed.name)),
+        of_text(fact_rejects(run, feed)).unionByName(loaded), keys, measures)
+
+
 def gate(run: Run) -> None:
     bad = quality.failed(quality.warehouse_checks(run.star()))
     if bad:
@@ -142,6 +167,7 @@ def run(spark: SparkSession, paths: dict[str, str], root: str, publish: bool = T
 
     versions = current.read("dim_hcp").agg(
         F.count(F.lit(1)), F.count_if(~F.col("is_current"))).first()
+    spread = quality.distribution(current.read("dim_hcp"), current.read("dim_date"))
     rx, calls = outcomes[RX_FEED.name], outcomes[CALL_FEED.name]
     hcp = outcomes[HCP_FEED.name]
     return {
@@ -152,6 +178,7 @@ def run(spark: SparkSession, paths: dict[str, str], root: str, publish: bool = T
         "loaded_rx": rx[LOADED], "rejected_rx": rx[REJECTED],
         "staged_calls": staged[CALL_FEED.name],
         "loaded_calls": calls[LOADED], "rejected_calls": calls[REJECTED],
+        "spread": {r["measure"]: r["value"] for r in spread.collect()},
         "fact_load_s": fact_seconds, "elapsed_s": round(time.time() - started, 1),
     }
 

@@ -14,6 +14,8 @@ BASELINE_MONTHS = 6
 GROWTH_ASK = "1.08"
 WATCH_FLOOR = "0.90"
 DRILLDOWN_HCP_KEY = 742
+# Below these the reports say little: distinct deciles and months, closed versions.
+LEAST_SPREAD = {"distinct_deciles": 5, "distinct_months": 12, "closed_versions": 1}
 
 REGIONS = ("North", "South", "East", "West", "Central")
 CALL_TYPES = ("DETAIL", "SAMPLE", "FOLLOW_UP")

@@ -89,4 +89,4 @@ def test_distribution(spark):
                                 "decile int, is_current boolean")
     s = star(spark)
     assert rows(quality.distribution(dim, s["dim_date"])) == [
-        ("closed_versions", 1), ("distinct_deciles", 2), ("distinct_months", 2)]
+        ("closed_versions", 1, True), ("distinct_deciles", 2, False), ("distinct_months", 2, False)]

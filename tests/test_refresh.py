@@ -3,10 +3,10 @@ from decimal import Decimal
 
 import pytest
 from helpers import OPEN, day, rows
+from pyspark.sql import functions as F
 
-from starloom.operators import quality
 from starloom.operators.coerce import REASON
-from starloom.plans import refresh, reports
+from starloom.plans import dimensions, refresh, reports
 from starloom.schemas import CALL_FEED, HCP_FEED, RX_FEED
 from starloom.sources.feeds import MALFORMED, read_csv
 from starloom.sources.tables import Warehouse, append_rows
@@ -59,7 +59,9 @@ def feeds(tmp_path):
 def test_refresh_loads_rejects_and_publishes(spark, feeds, tmp_path):
     root = str(tmp_path / "warehouse")
     stats = refresh.run(spark, feeds, root)
-    assert {k: stats[k] for k in stats if k not in ("run", "fact_load_s", "elapsed_s")} == {
+    assert stats["spread"] == {"distinct_deciles": 3, "closed_versions": 1, "distinct_months": 5}
+    assert {k: stats[k] for k in stats
+            if k not in ("run", "spread", "fact_load_s", "elapsed_s")} == {
         "dim_hcp_rows": 3, "scd2_history_rows": 1, "staged_hcp": 6, "rejected_hcp": 3,
         "staged_rx": 11, "loaded_rx": 3, "rejected_rx": 8,
         "staged_calls": 3, "loaded_calls": 1, "rejected_calls": 2}
@@ -157,16 +159,55 @@ def test_append_keeps_column_order_and_counts(spark, tmp_path):
     assert spark.read.parquet(path).columns == ["y", "x"]
 
 
-def test_loaded_totals_match_the_feed(spark, feeds, tmp_path):
+def test_totals_of_the_feed_are_loaded_or_rejected(spark, feeds, tmp_path):
+    root = str(tmp_path / "warehouse")
+    refresh.run(spark, feeds, root)
+    current = Warehouse(spark, root).current()
+    assert refresh.audit_totals(current).isEmpty()
+    assert refresh.audit_totals(current, CALL_FEED).isEmpty()
+
+
+def test_audit_sees_swapped_rows_that_counts_do_not(spark, feeds, tmp_path):
+    root = str(tmp_path / "warehouse")
+    refresh.run(spark, feeds, root)
+    current = Warehouse(spark, root).current()
+    path = current.table("fact_prescriptions")
+    stored = spark.read.parquet(path).withColumn(
+        "hcp_key", F.when(F.col("hcp_key") == 3, F.lit(2)).otherwise(F.col("hcp_key")))
+    damaged = str(tmp_path / "damaged")
+    stored.write.partitionBy("outcome", "year_month").parquet(damaged)
+    current.table = lambda name, was=current.table: (
+        damaged if name == "fact_prescriptions" else was(name))
+    found = refresh.audit_totals(current)
+    assert rows(found, "hcp_id", "product_code", "rows_diff", "trx_count_diff") == [
+        ("HCP-1", "CM-CARDIO-01", -1, -6), ("HCP-2", "CM-CARDIO-01", 1, 6)]
+
+
+def test_next_batch_extends_the_dimension(spark, feeds, tmp_path):
+    root = str(tmp_path / "warehouse")
+    refresh.run(spark, feeds, root)
+    star = Warehouse(spark, root).current().star()
+    batch = spark.createDataFrame(
+        [("HCP-1", "Dr. A", "Cardiologist", "9", "T-003", "2024-06-01"),
+         ("HCP-2", "Dr. B", "GP", "7", "T-002", "2024-06-01"),
+         ("HCP-0", "Dr. Z", "GP", "1", "T-001", "2024-06-01")],
+        ", ".join(f"{c} string" for c in HCP_FEED.columns))
+    annotated = dimensions.annotate_hcp(batch, star["dim_territory"])
+    extended = dimensions.extend_dim_hcp(star["dim_hcp"], annotated)
+    assert rows(extended, "hcp_key", "hcp_id", "decile", "valid_from", "valid_to") == [
+        (1, "HCP-1", 5, day("2024-01-01"), day("2024-02-29")),
+        (2, "HCP-1", 8, day("2024-03-01"), day("2024-05-31")),
+        (3, "HCP-2", 7, day("2024-01-01"), OPEN),
+        (4, "HCP-0", 1, day("2024-06-01"), OPEN),
+        (5, "HCP-1", 9, day("2024-06-01"), OPEN)]
+
+
+def test_drilldown_reads_only_its_prescriber(spark, feeds, tmp_path):
     root = str(tmp_path / "warehouse")
     refresh.run(spark, feeds, root)
     star = Warehouse(spark, root).current().star()
-    loaded = (
-        star["fact_prescriptions"].join(star["dim_hcp"].select("hcp_key", "hcp_id"), "hcp_key")
-        .join(star["dim_product"].select("product_key", "product_code"), "product_key")
-        .selectExpr("hcp_id", "product_code", "cast(date_key as string) d", "trx_count"))
-    source = spark.createDataFrame(
-        [(r[1], r[2], r[0].replace("-", ""), int(r[3])) for r in RX[:3]],
-        "hcp_id string, product_code string, d string, trx_count int")
-    assert quality.differing_totals(source, loaded, ["hcp_id", "product_code", "d"],
-                                    ["trx_count"]).isEmpty()
+    drilldown = reports.prescriber_drilldown(star, 3)
+    assert rows(drilldown) == [("2024-03", 6)]
+    plan = drilldown._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(hcp_key,3)" in plan and "outcome" in plan.split("PartitionFilters")[1]
+    assert "gross_sales" not in plan and "date_key" not in plan
