@@ -7,6 +7,9 @@ the warehouse's log of published runs, after reconciliation and the checks.
 from __future__ import annotations
 
 import time
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +20,15 @@ from starloom.operators.coerce import REASON, TYPED, annotate_types
 from starloom.operators.resolve import unique_lookup, version_segments
 from starloom.plans import dimensions as dims
 from starloom.plans.facts import annotate_fact, split_ready
-from starloom.schemas import CALL_FEED, FACT_FEEDS, FEEDS, HCP_FEED, RX_FEED, FactFeed
+from starloom.schemas import (
+    CALL_FEED,
+    FACT_FEEDS,
+    FEEDS,
+    HCP_FEED,
+    RX_FEED,
+    FactFeed,
+    Feed,
+)
 from starloom.sources import tables
 from starloom.sources.feeds import MALFORMED, PLACE, stage_feed
 from starloom.sources.tables import LOADED, OUTCOME, REJECTED, Run, Warehouse, write_table
@@ -27,13 +38,16 @@ class RefreshError(RuntimeError):
     """The run must not be published."""
 
 
+def _for_each(feeds: Sequence[Feed], job: Callable[[Feed], Any]) -> dict[str, Any]:
+    """Run independent feeds side by side, so that one fills the executors the other leaves idle."""
+    with ThreadPoolExecutor(len(feeds)) as pool:
+        return dict(zip([f.name for f in feeds], pool.map(job, feeds), strict=True))
+
+
 def stage_all(spark: SparkSession, paths: dict[str, str], run: Run) -> dict[str, int]:
     """Land the three feeds as text tables; returns their row counts."""
-    return {
-        feed.name: stage_feed(spark, paths[feed.name], feed, run.staging(feed.name),
-                              keep_place=feed is HCP_FEED)
-        for feed in FEEDS
-    }
+    return _for_each(FEEDS, lambda feed: stage_feed(
+        spark, paths[feed.name], feed, run.staging(feed.name), keep_place=feed is HCP_FEED))
 
 
 def build_dimensions(spark: SparkSession, run: Run) -> dict[str, int]:
@@ -157,8 +171,7 @@ def run(spark: SparkSession, paths: dict[str, str], root: str, publish: bool = T
     staged = stage_all(spark, paths, current)
     outcomes = {HCP_FEED.name: build_dimensions(spark, current)}
     facts_started = time.time()
-    for feed in FACT_FEEDS:
-        outcomes[feed.name] = load_fact(spark, current, feed)
+    outcomes |= _for_each(FACT_FEEDS, lambda feed: load_fact(spark, current, feed))
     reconcile(staged, outcomes)
     gate(current)
     fact_seconds = round(time.time() - facts_started, 1)
