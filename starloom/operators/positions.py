@@ -12,17 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.session import pin
 
 SLICE = "_slice"
-
-
-def _sliced(df: DataFrame, group_by: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
-    ranged = df.repartitionByRange(*[F.col(g) for g in group_by], *order_by)
-    return pin(ranged.withColumn(SLICE, F.spark_partition_id()))
+ROW_BITS = 33
 
 
 def _with_offsets(slices: DataFrame, group_by: Sequence[str]) -> DataFrame:
@@ -35,13 +31,19 @@ def _with_offsets(slices: DataFrame, group_by: Sequence[str]) -> DataFrame:
 
 def with_keys(df: DataFrame, order_by: Sequence[str], key: str,
               start_after: int = 0) -> DataFrame:
-    """Add ``key`` = start_after + 1, 2, 3, ... in the order of ``order_by``, which must be unique."""
-    sliced = _sliced(df, [], [F.col(c) for c in order_by])
-    offsets = _with_offsets(sliced.groupBy(SLICE).agg(F.count(F.lit(1)).alias("_rows")), [])
-    inside = F.row_number().over(Window.partitionBy(SLICE).orderBy(*order_by))
+    """Add ``key`` = start_after + 1, 2, 3, ... in the order of ``order_by``, which must be unique.
+
+    The id Spark gives a row is its partition number above bit 33 and its place in the partition
+    below. Written down with the sorted rows, it is all that is needed besides the slice counts.
+    """
+    ordered = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    placed = pin(ordered.withColumn("_place", F.monotonically_increasing_id())).withColumn(
+        SLICE, F.shiftright("_place", ROW_BITS))
+    offsets = _with_offsets(placed.groupBy(SLICE).agg(F.count(F.lit(1)).alias("_rows")), [])
+    row = F.col("_place").bitwiseAND(F.lit(2**ROW_BITS - 1))
     return (
-        sliced.join(offsets.select(SLICE, "_before"), SLICE)
-        .withColumn(key, (F.lit(start_after) + F.col("_before") + inside).cast("bigint"))
+        placed.join(F.broadcast(offsets.select(SLICE, "_before")), SLICE)  # a row per partition
+        .withColumn(key, (F.lit(start_after + 1) + F.col("_before") + row).cast("bigint"))
         .select(key, *df.columns)
     )
 
@@ -52,7 +54,8 @@ def with_ranks(df: DataFrame, group_by: str, value: str, tie_break: Sequence[str
     Order is ``value`` descending, then ``tie_break`` ascending; the tie break must make it unique.
     """
     order = [F.col(value).desc(), *[F.col(c) for c in tie_break]]
-    sliced = _sliced(df, [group_by], order)
+    ranged = df.repartitionByRange(F.col(group_by), *order)
+    sliced = pin(ranged.withColumn(SLICE, F.spark_partition_id()))
 
     lowest = F.min(value).over(Window.partitionBy(group_by, SLICE))
     slices = (
