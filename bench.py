@@ -32,11 +32,19 @@ from starloom.sources.tables import Warehouse  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 NOT_ADDED = ("etl_refresh_cold", "etl_fact_load_and_checks")
+FEED_COPIES = int(os.environ.get("BENCH_FEED_COPIES", "5"))
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 
 def write_feeds(spark: SparkSession, folder: str) -> dict[str, str]:
-    """The three CSV feeds: order lines as prescriptions and calls, customers as prescribers."""
+    """The three CSV feeds: order lines as prescriptions, orders as calls, customers as prescribers.
+
+    Lines and customers are taken ``FEED_COPIES`` times, each time as other people, which at sf0.1
+    gives about as many prescriptions as the baseline loaded (2.2 million).
+    """
+    people = bindings.table(spark, SF_DIR, "customer")
+    n_people = people.count()
+    copies = F.explode(F.sequence(F.lit(0), F.lit(FEED_COPIES - 1)))
     codes = F.array(*[F.lit(p[0]) for p in PRODUCTS])
     kinds = F.array(*[F.lit(k) for k in CALL_TYPES])
 
@@ -45,9 +53,9 @@ def write_feeds(spark: SparkSession, folder: str) -> dict[str, str]:
 
     lines = bindings.table(spark, SF_DIR, "lineitem").join(
         bindings.table(spark, SF_DIR, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    person = F.format_string("HCP-%05d", "o_custkey")
+    person = F.format_string("HCP-%05d", F.col("o_custkey") + F.col("copy") * n_people)
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    rx = lines.groupBy(
+    rx = lines.withColumn("copy", copies).groupBy(
         day.alias("rx_date"), person.alias("hcp_id"),
         pick(codes, "l_partkey", len(PRODUCTS)).alias("product_code"),
     ).agg(
@@ -55,13 +63,12 @@ def write_feeds(spark: SparkSession, folder: str) -> dict[str, str]:
         F.floor(F.sum("l_quantity") / 3).alias("nrx_count"),
         F.sum("l_quantity").cast("decimal(12,2)").alias("units"),
         F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).alias("gross_sales"))
-    calls = bindings.table(spark, SF_DIR, "orders").select(
+    calls = bindings.table(spark, SF_DIR, "orders").withColumn("copy", F.lit(0)).select(
         day.alias("call_date"), person.alias("hcp_id"),
         pick(codes, "o_orderkey", 3).alias("product_code"),
         pick(kinds, "o_orderkey", len(CALL_TYPES)).alias("call_type"),
         F.lit("15").alias("duration_minutes"), F.lit("1").alias("samples_dropped"))
-    people = bindings.table(spark, SF_DIR, "customer").withColumn("o_custkey", F.col("c_custkey"))
-    hcp = people.select(
+    hcp = people.withColumn("o_custkey", F.col("c_custkey")).withColumn("copy", copies).select(
         person.alias("hcp_id"), F.col("c_name").alias("full_name"),
         F.col("c_mktsegment").alias("specialty"),
         F.inline(F.array(
