@@ -186,6 +186,24 @@ def call_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("0").alias("samples_dropped"))
 
 
+def hcp_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as an all-text prescriber feed, the first one of a customer and day.
+
+    The priority gives the decile; one priority has none. Customers of one nation lack a territory.
+    """
+    decile = (
+        F.when(F.col("priority") == "1-URGENT", "9").when(F.col("priority") == "2-HIGH", "7")
+        .when(F.col("priority") == "3-MEDIUM", "5.0").when(F.col("priority") == "5-LOW", " 1")
+        .otherwise("N/A"))
+    code = F.when(F.col("c_nationkey") > 0, F.format_string("T-%03d", "c_nationkey"))
+    people = table(spark, sf_dir, "customer")
+    return order_changes(spark, sf_dir).join(people, F.col("hcp_id") == F.col("c_custkey")).select(
+        F.format_string("HCP-%010d", "hcp_id").alias("hcp_id"),
+        F.col("c_name").alias("full_name"), F.col("c_mktsegment").alias("specialty"),
+        decile.alias("decile"), code.alias("territory_code"),
+        F.col("effective_date").cast("string").alias("effective_date"))
+
+
 # ------------------------------------------------------------ version histories
 def order_changes(spark: SparkSession, sf_dir: str, one_per_day: bool = True) -> DataFrame:
     """Orders as a change feed: each may change the customer's priority and status."""

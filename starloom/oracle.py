@@ -169,6 +169,24 @@ change AS (
   FROM opening WHERE opens WINDOW w AS (PARTITION BY hcp_id ORDER BY day)
 )"""
 
+HCP_ROWS = """
+hcp_line AS (
+  SELECT 'HCP-' || lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS hcp_id, any_value(c_name) AS full_name,
+         any_value(c_mktsegment) AS specialty, any_value(c_nationkey) AS nation,
+         CAST(o_orderdate AS DATE) AS day, arg_min(o_orderpriority, o_orderkey) AS priority
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY o_custkey, CAST(o_orderdate AS DATE)
+), place AS (
+  SELECT nation, row_number() OVER (ORDER BY nation) AS territory_key
+  FROM (SELECT DISTINCT nation FROM hcp_line WHERE nation > 0)
+), hcp_row AS (
+  SELECT l.*, territory_key,
+         CASE priority WHEN '1-URGENT' THEN '9' WHEN '2-HIGH' THEN '7' WHEN '3-MEDIUM' THEN '5.0'
+                       WHEN '5-LOW' THEN ' 1' ELSE 'N/A' END AS decile_text,
+         CASE WHEN priority = '4-NOT SPECIFIED' THEN 'non-numeric value in decile'
+              WHEN nation = 0 THEN 'unknown territory_code' END AS reason
+  FROM hcp_line l LEFT JOIN place USING (nation)
+)"""
+
 HISTORY_ROWS = f"""
 WITH {ORDER_CHANGES}
 SELECT hcp_id, priority, status, CAST(valid_from AS VARCHAR) AS valid_from,
@@ -341,6 +359,27 @@ SELECT key AS territory_key, code AS territory_code, 'Territory ' || substr(code
        'India' AS country
 FROM keyed"""
 
+ORACLE_SQL["hcp_dimension"] = f"""
+WITH {HCP_ROWS}, clean AS (
+  SELECT *, CAST(CAST(trim(decile_text) AS DOUBLE) AS BIGINT) AS decile
+  FROM hcp_row WHERE reason IS NULL
+), opening AS (
+  SELECT *, lag(day) OVER w IS NULL OR decile <> lag(decile) OVER w AS opens
+  FROM clean WINDOW w AS (PARTITION BY hcp_id ORDER BY day)
+)
+SELECT row_number() OVER (ORDER BY hcp_id, day) AS hcp_key, hcp_id, full_name, specialty, decile,
+       territory_key, CAST(day AS VARCHAR) AS valid_from,
+       CAST(coalesce(lead(day) OVER w - 1, DATE '9999-12-31') AS VARCHAR) AS valid_to,
+       lead(day) OVER w IS NULL AS is_current
+FROM opening WHERE opens WINDOW w AS (PARTITION BY hcp_id ORDER BY day)"""
+
+ORACLE_SQL["hcp_rejects"] = f"""
+WITH {HCP_ROWS}
+SELECT hcp_id, full_name, specialty, decile_text AS decile,
+       CASE WHEN nation > 0 THEN 'T-' || lpad(CAST(nation AS VARCHAR), 3, '0') END AS territory_code,
+       CAST(day AS VARCHAR) AS effective_date, reason AS reject_reason
+FROM hcp_row WHERE reason IS NOT NULL"""
+
 ORACLE_SQL["scd2_versions"] = HISTORY_ROWS
 ORACLE_SQL["scd2_incremental"] = HISTORY_ROWS
 

@@ -78,11 +78,11 @@ def load_fact(spark: SparkSession, run: Run, feed: FactFeed) -> dict[str, int]:
     products = unique_lookup(run.read("dim_product"), "product_code", "product_key")
     stretches = spark.read.parquet(run.table("hcp_stretches"))
     annotated = annotate_fact(staged, feed, stretches, products, dim_date)
-    slices = tables.slices_per_month(
-        staged.count(), dim_date.select("year_month").distinct().count())
+    months = dim_date.select("year_month").distinct().count()
+    slices = tables.slices_per_month(staged.count(), months)
     # Keys are dense from 1, so their number is the highest one.
     versions = tables.row_count(spark, run.table("dim_hcp"))
-    rows = tables.cluster_fact(split_ready(annotated, feed), versions, slices, extra=[OUTCOME])
+    rows = tables.cluster_fact(split_ready(annotated, feed), versions, months, slices, [OUTCOME])
     tables.write_outcome(rows, run.table(feed.target), [OUTCOME, "year_month"])
     return tables.outcome_counts(spark, run.table(feed.target))
 
@@ -155,7 +155,10 @@ def audit_totals(run: Run, feed: FactFeed = RX_FEED) -> DataFrame:
 
 
 def gate(run: Run) -> None:
-    bad = quality.failed(quality.warehouse_checks(run.star()))
+    star = run.star()
+    if star[RX_FEED.target].isEmpty():
+        raise RefreshError("no prescriptions were loaded")
+    bad = quality.failed(quality.warehouse_checks(star))
     if bad:
         raise RefreshError(f"quality checks failed: {bad}")
 

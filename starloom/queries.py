@@ -23,7 +23,7 @@ from starloom.operators.resolve import resolve_surrogate_keys, version_segments
 from starloom.operators.scd2 import apply_scd2, scd2_conflicts
 from starloom.plans import dimensions, reports
 from starloom.plans.facts import annotate_fact, reconciliation
-from starloom.schemas import CALL_FEED, RX_FEED
+from starloom.schemas import CALL_FEED, HCP_FEED, RX_FEED
 from starloom.session import pin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +113,20 @@ def territory_dim(spark: SparkSession, d: str) -> DataFrame:
         b.table(spark, d, "customer").select(code.alias("territory_code")))
 
 
+def _hcp_rows(spark: SparkSession, d: str) -> DataFrame:
+    staged = b.hcp_text(spark, d)
+    return dimensions.annotate_hcp(staged, dimensions.dim_territory(staged))
+
+
+def hcp_dimension(spark: SparkSession, d: str) -> DataFrame:
+    return dimensions.key_new_versions(dimensions.hcp_versions(_hcp_rows(spark, d)))
+
+
+def hcp_rejects(spark: SparkSession, d: str) -> DataFrame:
+    rejected = _hcp_rows(spark, d).where(F.col(REASON).isNotNull())
+    return rejected.select(*HCP_FEED.columns, REASON)
+
+
 def scd2_versions(spark: SparkSession, d: str) -> DataFrame:
     return apply_scd2(None, b.order_changes(spark, d), **ORDER_HISTORY)
 
@@ -294,6 +308,8 @@ QUERIES: dict[str, Query] = {
     "coerce_reject_summary": coerce_reject_summary,
     "calendar_dim": calendar_dim,
     "territory_dim": territory_dim,
+    "hcp_dimension": hcp_dimension,
+    "hcp_rejects": hcp_rejects,
     "scd2_versions": scd2_versions,
     "scd2_conflicts": scd2_conflicts_found,
     "scd2_incremental": scd2_incremental,

@@ -13,7 +13,7 @@ from starloom.schemas import NOT_NULL
 
 LOADED, REJECTED = "loaded", "rejected"
 OUTCOME = "outcome"
-ROWS_PER_SLICE = 4_000_000
+ROWS_PER_SLICE = 10_000_000
 
 
 def write_table(df: DataFrame, path: str, columns: Sequence[str] | None = None,
@@ -43,23 +43,24 @@ def row_count(spark: SparkSession, path: str) -> int:
 
 
 def slices_per_month(rows: int, months: int) -> int:
-    """How many prescriber slices keep a month's files at a few million rows each."""
+    """How many prescriber slices keep a month's files at some ten million rows each."""
     return max(1, round(rows / max(months, 1) / ROWS_PER_SLICE))
 
 
-def cluster_fact(fact: DataFrame, highest_key: int, slices: int,
+def cluster_fact(fact: DataFrame, highest_key: int, months: int, slices: int,
                  extra: Sequence[str] = ()) -> DataFrame:
     """Rows gathered by month and prescriber slice and sorted by prescriber inside each file.
 
     Prescriber keys are dense, so slices of equal key width hold equally many prescribers.
     Rebalancing lets Spark split oversized (month, slice) groups by measured size and merge small
-    ones; the sort gives Parquet narrow min/max ranges for the prescriber drill-down.
+    ones; about one partition per group keeps a month from being scattered over many files. The
+    sort gives Parquet narrow min/max ranges for the prescriber drill-down.
     """
     groups = [*extra, "year_month"]
     slice_no = F.floor((F.col("hcp_key") - 1) * slices / F.lit(max(highest_key, 1)))
     return (
         fact.withColumn("_slice", slice_no.cast("int"))
-        .hint("rebalance", *groups, "_slice").drop("_slice")
+        .hint("rebalance", months * slices + 1, *groups, "_slice").drop("_slice")
         .sortWithinPartitions(*groups, "hcp_key", "date_key")
     )
 

@@ -9,7 +9,7 @@ from starloom.operators.coerce import REASON
 from starloom.plans import dimensions, refresh, reports
 from starloom.schemas import CALL_FEED, HCP_FEED, RX_FEED
 from starloom.sources.feeds import MALFORMED, read_csv
-from starloom.sources.tables import Warehouse, append_rows
+from starloom.sources.tables import Warehouse, append_rows, cluster_fact, slices_per_month
 
 HCP = [
     ("HCP-2", "Dr. B", "GP", "7", "T-002", "2024-01-01"),
@@ -121,6 +121,12 @@ def test_a_failing_run_is_not_published(spark, feeds, tmp_path):
         Warehouse(spark, root).current()
 
 
+def test_a_run_without_facts_is_not_published(spark, feeds, tmp_path):
+    feeds["prescriptions"] = write_csv(tmp_path / "none.csv", RX_FEED, RX[3:5])
+    with pytest.raises(refresh.RefreshError, match="no prescriptions were loaded"):
+        refresh.run(spark, feeds, str(tmp_path / "warehouse"))
+
+
 def test_conflicting_history_stops_the_run(spark, feeds, tmp_path):
     feeds["hcp"] = write_csv(tmp_path / "bad_hcp.csv", HCP_FEED, [
         HCP[1], (*HCP[1][:3], "6", "T-001", "2024-01-01")])
@@ -211,3 +217,22 @@ def test_drilldown_reads_only_its_prescriber(spark, feeds, tmp_path):
     plan = drilldown._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(hcp_key,3)" in plan and "outcome" in plan.split("PartitionFilters")[1]
     assert "gross_sales" not in plan and "date_key" not in plan
+
+
+def test_layout_gathers_prescribers_and_splits_hot_groups(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    try:
+        fact = spark.range(60000, numPartitions=8).select(
+            (F.col("id") % 1000 + 1).alias("hcp_key"), F.lit(20240101).alias("date_key"),
+            F.when(F.col("id") % 3 == 0, "2024-01").otherwise(
+                F.concat(F.lit("2024-1"), F.col("id") % 3)).alias("year_month"))
+        path = str(tmp_path / "fact")
+        cluster_fact(fact, 1000, 3, 4).write.partitionBy("year_month").parquet(path)
+        files = spark.read.parquet(path).groupBy("year_month", F.input_file_name().alias("f")).agg(
+            F.min("hcp_key").alias("low"), F.max("hcp_key").alias("high"), F.count("*").alias("n"))
+        found = files.collect()
+        assert sum(r.n for r in found) == 60000
+        assert len(found) > 3 and any(r.high - r.low < 500 for r in found)
+        assert slices_per_month(10**12, 100) == 1000 and slices_per_month(5, 0) == 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
