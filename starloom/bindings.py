@@ -49,7 +49,6 @@ def prescriptions(spark: SparkSession, sf_dir: str, territory: bool = True) -> D
     return (
         lines.join(orders_by_person(spark, sf_dir, territory), "o_orderkey")
         .withColumn("date_key", date_key(F.col("day")))
-        .withColumn("year", F.year("day"))
         .withColumn("year_month", year_month(F.col("day")))
         .drop("o_orderkey", "day")
     )

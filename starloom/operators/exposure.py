@@ -68,6 +68,7 @@ def prior_calls_by_range_join(scripts: DataFrame, calls: DataFrame,
             & F.col("call_day").between(F.date_sub("day", lookback), F.date_sub("day", 1)),
             "left",
         )
-        .groupBy("hcp_id", "day", "trx")
+        .groupBy("hcp_id", "block", "day", "trx")  # with the block, the join's shuffle serves
         .agg(F.coalesce(F.sum("calls"), F.lit(0)).alias("prior_calls"))
+        .drop("block")
     )

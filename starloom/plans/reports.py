@@ -76,9 +76,10 @@ def prescriber_ranking(star: Star) -> DataFrame:
 def territory_attainment(star: Star) -> DataFrame:
     """Monthly volume of each territory against a quota from its own first months."""
     monthly = (
-        _with_days(_own_brand(star["fact_prescriptions"], star), star, "year", "year_month")
-        .groupBy("territory_key", "year", "year_month")
+        _with_days(_own_brand(star["fact_prescriptions"], star), star, "year_month")
+        .groupBy("territory_key", "year_month")
         .agg(F.sum("trx_count").alias("actual_trx"))
+        .withColumn("year", F.substring("year_month", 1, 4))
     )
     in_order = Window.partitionBy("territory_key").orderBy("year_month")
     territory = Window.partitionBy("territory_key")

@@ -8,11 +8,16 @@ from starloom.operators.positions import with_keys, with_ranks
 from pyspark.sql import functions as F
 
 
-def test_keys_follow_the_order_and_have_no_gaps(spark):
+@pytest.mark.parametrize("sliced", [True, False])
+def test_keys_follow_the_order_and_have_no_gaps(spark, sliced):
     values = list(range(1000))
     random.Random(1).shuffle(values)
-    keyed = with_keys(spark.createDataFrame([(v,) for v in values], "v int"), ["v"], "k", 50)
-    assert rows(keyed, "v", "k") == sorted([(v, v + 51) for v in range(1000)], key=repr)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", str(not sliced).lower())
+    try:
+        keyed = with_keys(spark.createDataFrame([(v,) for v in values], "v int"), ["v"], "k", 50)
+        assert rows(keyed, "v", "k") == sorted([(v, v + 51) for v in range(1000)], key=repr)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_no_rows_no_keys(spark):
