@@ -32,15 +32,17 @@ def _blocks(incoming: DataFrame, key: str, tracked: list[str], effective: str,
             ordinal: str | None) -> DataFrame:
     untracked = [c for c in incoming.columns if c not in (key, effective, ordinal, *tracked)]
     place = F.col(ordinal) if ordinal else F.struct(*[F.col(c) for c in (*tracked, *untracked)])
-    day = F.when(F.col(effective).isNull(), _fail("SCD effective dates must be present", "date"))
+    day = F.col("_effective")
     return (
-        incoming.withColumn("_effective", day.otherwise(F.col(effective).cast("date")))
+        incoming.withColumn("_effective", F.col(effective).cast("date"))
         .withColumn("_place", place)
         .groupBy(key, "_effective", *tracked)
         .agg(
             F.min("_place").alias("_first"), F.max("_place").alias("_last"),
             *[F.min_by(c, "_place").alias(c) for c in untracked],
         )
+        .withColumn("_effective", F.when(
+            day.isNull(), _fail("SCD effective dates must be present", "date")).otherwise(day))
         .withColumn("_source", F.lit(1))
     )
 
