@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-LOOSE_DATE = r"^\d{4}-\d{1,2}-\d{1,2}\z"
+LOOSE_DATE = r"^\d{4}-\d{1,2}-(\d{1,2}| [1-9])\z"
 STRICT_DATE = r"^\d{4}-\d{2}-\d{2}\z"
 FIRST_DAY = "0001-01-01"
 
@@ -26,11 +26,15 @@ def to_whole_number(text: Column) -> Column:
 
 
 def _to_date(text: Column, pattern: str) -> Column:
-    return F.when(text.rlike(pattern) & ~text.startswith("0000"), text.try_cast("date"))
+    matches = text.rlike(pattern) & ~text.startswith("0000")
+    return F.when(matches, F.translate(text, " ", "").try_cast("date"))
 
 
 def to_day(text: Column) -> Column:
-    """year-month-day with one or two digit month and day; a plain cast would also take '2024'."""
+    """year-month-day, month and day of one or two digits, a one-digit day also after a blank.
+
+    A plain cast would also take '2024' and '2024-01-05T10:00'.
+    """
     return _to_date(text, LOOSE_DATE)
 
 

@@ -1,6 +1,12 @@
+import math
+import random
+
+import pandas as pd
 import pytest
 from helpers import day, rows
+from pyspark.sql import functions as F
 
+from starloom.functions import text
 from starloom.operators.coerce import REASON, annotate_types, coerce_columns, with_typed_columns
 
 
@@ -72,11 +78,11 @@ def test_money_is_rounded_half_up_from_its_text(spark):
 
 
 def test_dates(spark):
-    good = ["2024-01-05", "2024-1-5", "2024-02-29"]
+    good = ["2024-01-05", "2024-1-5", "2024-1- 5", "2024-02-29"]
     bad = [None, "", "2024-02-30", "2023-02-29", "2024-01", "2024", "2024-01-05T10:00",
            "2024-01-05 ", "05/01/2024", "0000-01-01"]
     clean, rejects = coerce_columns(text_frame(spark, good + bad, "rx_date"), dates=["rx_date"])
-    assert rows(clean) == [(day("2024-01-05"),), (day("2024-01-05"),), (day("2024-02-29"),)]
+    assert rows(clean) == [(day("2024-01-05"),)] * 3 + [(day("2024-02-29"),)]
     assert rows(rejects) == sorted([(v, "unparseable date in rx_date") for v in bad], key=repr)
 
 
@@ -113,3 +119,31 @@ def test_a_filter_does_not_repeat_the_patterns(spark):
     clean, _ = coerce_columns(text_frame(spark, ["1"]), integer=["trx_count"])
     plan = clean._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RLIKE(trx_count") <= 2
+
+
+def test_numbers_parse_as_pandas_does(spark):
+    """Random text of number-like characters: the same strings are numbers, with the same value."""
+    rng = random.Random(1)
+    texts = sorted({"".join(rng.choice("0123456789+-.eE _xdf ,\t%") for _ in range(rng.randrange(8)))
+                    for _ in range(8000)})
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    found = {r.v: r.n for r in df.select("v", text.to_whole_number(F.col("v")).alias("n")).collect()}
+    for t in texts:
+        expected = float(pd.to_numeric(pd.Series([t], dtype=object), errors="coerce").iloc[0])
+        mine = found[t] if found[t] is not None and math.isfinite(found[t]) else math.nan
+        assert mine == pytest.approx(expected, rel=1e-12, nan_ok=True), repr(t)
+
+
+def test_days_parse_as_pandas_does(spark):
+    rng = random.Random(2)
+    pick = rng.choice
+    texts = sorted({
+        f"{pick(['2024', '2023', '1900', '0000', '24', '02024'])}{pick('---/')}"
+        f"{pick(['1', '01', '12', '13', '0', '00', '2', '02', '001', ' 1'])}{pick('---/')}"
+        f"{pick(['1', '01', '29', '30', '31', '32', '0', '9', '009', '1 ', ' 1', ' 10'])}"
+        for _ in range(4000)})
+    expected = pd.to_datetime(pd.Series(texts), format="%Y-%m-%d", errors="coerce")
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    found = {r.v: r.d for r in df.select("v", text.to_day(F.col("v")).alias("d")).collect()}
+    assert found == {t: None if pd.isna(e) else e.date()
+                     for t, e in zip(texts, expected, strict=True)}
