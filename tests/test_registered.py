@@ -58,3 +58,26 @@ def test_plans_stay_distributed_and_in_the_jvm(spark, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def physical_plan(spark, name):
+    return contract.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scans_read_only_what_the_query_needs(spark):
+    plan = physical_plan(spark, "monthly_brand_rollup")
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in plan
+    assert "customer.parquet" not in plan
+    assert "ReadSchema: struct<p_partkey:bigint,p_brand:string>" in plan
+
+
+def test_filters_reach_the_scans(spark):
+    assert "EqualTo(o_custkey,742)" in physical_plan(spark, "prescriber_drilldown")
+    plan = physical_plan(spark, "exposure_days")
+    assert "EqualTo(event_type,purchase)" in plan and "GreaterThan(value,60.0)" in plan
+
+
+def test_exposure_joins_nothing_and_history_shuffles_once_per_step(spark):
+    assert "Join" not in physical_plan(spark, "exposure_days")
+    # one to reduce to a row per day, one to bring a person together
+    assert physical_plan(spark, "scd2_versions").count("Exchange hashpartitioning") == 2
