@@ -51,3 +51,10 @@ def test_ntile_sizes(spark, n):
     df.createOrReplaceTempView("ntile_input")
     mine = df.select("p", ntile_of(F.col("p"), F.lit(n), 10))
     assert rows(mine) == rows(spark.sql("select p, ntile(10) over (order by p) from ntile_input"))
+
+
+def test_null_groups_and_values_keep_their_rows(spark):
+    data = [("a", 1, 1), ("a", None, 2), ("a", None, 3), (None, 5, 4), (None, 5, 5)]
+    ranked = with_ranks(spark.createDataFrame(data, "g string, v int, id int"), "g", "v", ["id"])
+    assert rows(ranked, "id", "position", "value_rank", "group_rows") == [
+        (1, 1, 1, 3), (2, 2, 2, 3), (3, 3, 2, 3), (4, 1, 1, 2), (5, 2, 1, 2)]
