@@ -8,21 +8,32 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starloom.llm.chat import OP7_SQL, op7_chat_format
 from starloom.llm.line_dedup import OP4_SQL, op4_line_dedup
+from starloom.llm.line_frequency import OP3_SQL, op3_line_frequency
 from starloom.llm.minhash_dedup import op9_minhash_near_dedup
 from starloom.llm.mixing import mixing_sql, op8_hierarchical_mixing
 from starloom.llm.packing import op10_best_fit_packing
+from starloom.llm.secrets import op5_secret_scan
+from starloom.llm.token_files import op1_token_files
 from starloom.llm.toxicity import op6_toxicity
+from starloom.llm.vector_dedup import op2_vector_near_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
+    "op1_token_files": op1_token_files,
+    "op2_vector_near_dedup": op2_vector_near_dedup,
+    "op3_line_frequency": op3_line_frequency,
     "op4_line_dedup": op4_line_dedup,
+    "op5_secret_scan": op5_secret_scan,
     "op6_toxicity": op6_toxicity,
+    "op7_chat_format": op7_chat_format,
     "op8_hierarchical_mixing": op8_hierarchical_mixing,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
-SQL = {"op4_line_dedup": OP4_SQL, "op8_hierarchical_mixing": mixing_sql("documents")}
+SQL = {"op3_line_frequency": OP3_SQL, "op4_line_dedup": OP4_SQL, "op7_chat_format": OP7_SQL,
+       "op8_hierarchical_mixing": mixing_sql("documents")}
 
 
 def import_path(spark: SparkSession) -> None:

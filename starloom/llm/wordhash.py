@@ -68,8 +68,8 @@ def separators(characters: str) -> np.ndarray:
 
 
 WHITE = separators(" \t\n\x0b\f\r")
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 
 
 def words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = WHITE) -> Words:
@@ -87,7 +87,7 @@ def words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = WHITE)
     end = np.flatnonzero(inside & edge) + 1
     power, unpower = _power_table(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE[_LOWER[data]] * power[:len(data)], out=sums[1:])
+    np.cumsum(BYTE[LOWER[data]] * power[:len(data)], out=sums[1:])
     return Words(start, end, np.searchsorted(start, offsets), sums, unpower)
 
 
