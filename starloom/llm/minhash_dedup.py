@@ -9,7 +9,9 @@ mean 9 and deviation 2.8; more than 23 come up about twice in a million pairs.
 Documents with the same word sequence are one class and take part once. Buckets are not expanded
 into all pairs at first: each member is compared with the bucket's smallest member, which ties a
 group of copies together however large it is. Only members of a bucket that are still apart are
-then compared with each other, in blocks. Every pair is confirmed on the full shingle sets.
+then compared with each other, in blocks; a pair is taken from the first key it shares. Pairs whose
+sizes or whose longer signatures rule the similarity out are dropped; the rest is confirmed on the
+full shingle sets.
 
 Null and empty texts and texts of white space have no shingles, are linked with nothing and kept.
 A text of fewer than five words is one shingle. Rows that repeat a doc_id are one document, linked
@@ -42,21 +44,23 @@ CHUNKS, WIDTH = 12, 5
 N_VALUES = CHUNKS * WIDTH
 MOST_APART = CHUNKS * 2 - 1
 BLOCK_ROWS = 512
+LONG_VALUES = 256
 _draw = np.random.default_rng(20)
-FACTORS = _draw.integers(1, 2**63, N_VALUES, np.uint64) * np.uint64(2) + np.uint64(1)
-TERMS = _draw.integers(0, 2**63, N_VALUES, np.uint64)
+_N = N_VALUES + LONG_VALUES
+FACTORS = _draw.integers(1, 2**63, _N, np.uint64) * np.uint64(2) + np.uint64(1)
+TERMS = _draw.integers(0, 2**63, _N, np.uint64)
 
 
 # ------------------------------------------------------------------ signatures
-def signatures(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+def signatures(hashes: np.ndarray, first: np.ndarray, draws: range = range(N_VALUES)) -> np.ndarray:
     """16-bit MinHash values, one row per document; documents without shingles get zeros."""
     full = np.diff(first) > 0
-    out = np.zeros((len(full), N_VALUES), np.uint16)
+    out = np.zeros((len(full), len(draws)), np.uint16)
     if full.any():
-        for k in range(N_VALUES):
+        for column, k in enumerate(draws):
             values = (hashes * FACTORS[k] + TERMS[k]) >> np.uint64(16)
             least = np.minimum.reduceat(values, first[:-1][full])
-            out[full, k] = (mix(least) & np.uint64(0xFFFF)).astype(np.uint16)
+            out[full, column] = (mix(least) & np.uint64(0xFFFF)).astype(np.uint16)
     return out
 
 
@@ -103,58 +107,100 @@ def sign(docs: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------------ keys
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A key per chunk and value left out of it."""
+    """A key per chunk and value left out of it; its low six bits tell which."""
     for batch in batches:
         sig = _matrix(batch["sig"])
         ids = batch["id"]
         for chunk in range(CHUNKS):
             values = sig[:, chunk * WIDTH:(chunk + 1) * WIDTH].astype(np.uint64)
             for left_out in range(WIDTH):
-                key = np.full(len(sig), chunk * WIDTH + left_out, np.uint64)
+                slot = np.uint64(chunk * WIDTH + left_out)
+                key = np.full(len(sig), slot, np.uint64)
                 for k in range(WIDTH):
                     if k != left_out:
                         key = mix(key * np.uint64(65537) + values[:, k] + np.uint64(1))
+                key = (key << np.uint64(6)) | slot
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), ids], ["key", "id"])
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
+def _matrix(column: pa.Array, width: int = N_VALUES) -> np.ndarray:
     data = np.frombuffer(b"".join(column.to_pylist()), np.uint16)
-    return data.reshape(len(column), N_VALUES)
+    return data.reshape(len(column), width)
 
 
-def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) whose signatures ``sig_a``, ``sig_b`` are within the distance."""
-    for batch in batches:
-        apart = (_matrix(batch["sig_a"]) != _matrix(batch["sig_b"])).sum(axis=1)
-        yield batch.select(["a", "b"]).filter(pa.array(apart <= MOST_APART))
-
-
-def _near_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Within each (key, i, j): pairs of block i with block j, of different components."""
-    for run in groups(batches, ["key", "i", "j"]):
-        ids, component = numbers(run["id"]), numbers(run["component_id"])
-        block, i, j = numbers(run["block"]), run["i"][0].as_py(), run["j"][0].as_py()
-        sig = _matrix(run["sig"].combine_chunks())
-        left = np.flatnonzero(block == i)
-        right = left if i == j else np.flatnonzero(block == j)
-        pairs = []
-        for x in left:
-            y = right[(component[right] != component[x]) & ((i != j) | (ids[right] > ids[x]))]
-            y = y[(sig[y] != sig[x]).sum(axis=1) <= MOST_APART]
-            pairs.append(np.stack([np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])]))
-        if pairs:
-            a, b = np.concatenate(pairs, axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+def _first_slot(same: np.ndarray) -> np.ndarray:
+    """The first slot at which signatures meet, from where their values are the same."""
+    same = same.reshape(-1, CHUNKS, WIDTH)
+    chunk = np.argmax(same.sum(axis=2) >= WIDTH - 1, axis=1)
+    return chunk * WIDTH + np.argmin(same[np.arange(len(same)), chunk], axis=1)
+
+
+def _near(width: int, most: int, percent: int):
+    """Pairs whose sizes allow the similarity and whose signatures are within the distance."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            apart = (_matrix(batch["sig_a"], width) != _matrix(batch["sig_b"], width)).sum(axis=1)
+            n_a, n_b = numbers(batch["n_a"]), numbers(batch["n_b"])
+            size = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
+            yield batch.select(["a", "b"]).filter(pa.array((apart <= most) & size))
+    return run
+
+
+def near(pairs: DataFrame, signed: DataFrame, width: int, most: int, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose ``signed`` (id, n, sig) are near each other."""
+    side = lambda x: signed.select(
+        F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}"))
+    return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(
+        _near(width, most, percent), "a long, b long")
+
+
+def _near_in_blocks(percent: int):
+    """Within each (key, i, j), pairs of different components that meet at this key first.
+
+    Tile (-1, j) holds members of the bucket's main component and all others; tile (i, j) holds
+    others of two blocks.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in groups(batches, ["key", "i", "j"]):
+            i, j = tile["i"][0].as_py(), tile["j"][0].as_py()
+            slot = tile["key"][0].as_py() & 63
+            ids, component, n = (numbers(tile[c]) for c in ("id", "component_id", "n"))
+            block, main = numbers(tile["block"]), numbers(tile["main"])
+            sig = _matrix(tile["sig"].combine_chunks())
+            left = np.flatnonzero(main == 0 if i < 0 else block == i)
+            right = np.flatnonzero(main == 1 if i < 0 else block == j)
+            pairs = []
+            for x in left:
+                y = right if i != j else right[ids[right] > ids[x]]
+                y = y[(component[y] != component[x])
+                      & (100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x]))]
+                same = sig[y] == sig[x]
+                close = (~same).sum(axis=1) <= MOST_APART
+                close[close] = _first_slot(same[close]) == slot
+                y = y[close]
+                pairs.append(np.stack([np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])]))
+            if pairs:
+                a, b = np.concatenate(pairs, axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+    return run
 
 
 # ---------------------------------------------------------------- confirmation
+def long_distance(percent: int) -> int:
+    """Six deviations above the mean number of differing values at the similarity asked for."""
+    apart = 1 - percent / 100
+    return round(LONG_VALUES * apart + 6 * (LONG_VALUES * apart * (1 - apart)) ** 0.5)
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in portions(batch, by_text):
             hashes, first = _distinct(*shingles(words(*text_bytes(part["text"])), 5))
             raw = [hashes[s:e].tobytes() for s, e in zip(first[:-1], first[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(raw, pa.binary())],
-                                             ["doc_id", "shingles"])
+            sig = _fixed(signatures(hashes, first, range(N_VALUES, _N)))
+            yield pa.RecordBatch.from_arrays(
+                [part["doc_id"], pa.array(np.diff(first)), sig, pa.array(raw, pa.binary())],
+                ["id", "n", "sig", "shingles"])
 
 
 def _confirmed(percent: int):
@@ -177,10 +223,11 @@ def confirm(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     sets = pin(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
                .join(ids, "doc_id", "left_semi")
-               .mapInArrow(_sets, "doc_id long, shingles binary"))
+               .mapInArrow(_sets, "id long, n long, sig binary, shingles binary"))
+    likely = pin(near(pairs, sets, LONG_VALUES, long_distance(percent), percent))
     side = lambda x: sets.select(
-        F.col("doc_id").alias(x), F.col("shingles").alias(f"set_{x}"))
-    return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "set_a", "set_b") \
+        F.col("id").alias(x), F.col("shingles").alias(f"set_{x}"))
+    return likely.join(side("b"), "b").join(side("a"), "a").select("a", "b", "set_a", "set_b") \
         .mapInArrow(_confirmed(percent), "a long, b long").distinct()
 
 
@@ -195,7 +242,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     digest = ["digest_a", "digest_b"]
     named = signed.where("sig is not null and doc_id is not null")
     classes = pin(named.groupBy(*digest).agg(
-        F.min("doc_id").alias("id"), F.first("sig").alias("sig")))
+        F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")))
     same_id = named.select("doc_id", *digest).join(classes.select(*digest, "id").hint("rebalance"),
                                                    digest)
     own = same_id.where("doc_id <> id").groupBy("doc_id", "id").agg(F.count(F.lit(1)))
@@ -207,29 +254,34 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
                  .where("head <> last").select("key", "head", "members"))
     members = pin(keys.join(shared, "key"))
 
-    sig = classes.select("id", "sig")
-    side = lambda x: sig.select(F.col("id").alias(x), F.col("sig").alias(f"sig_{x}"))
+    signs = classes.select("id", "n", "sig")
     stars = members.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"))
-    pairs = stars.distinct().join(side("b"), "b").join(side("a"), "a").select(
-        "a", "b", "sig_a", "sig_b").mapInArrow(_near, "a long, b long")
+    pairs = near(stars.distinct(), signs, N_VALUES, MOST_APART, percent)
     links = pin(confirm(docs, pin(pairs), percent))
     tied = components(links)
 
     apart = members.join(tied, "id", "left").withColumn(
         "component_id", F.coalesce("component_id", "id"))
-    mixed = apart.groupBy("key").agg(F.min("component_id").alias("low"),
-                                     F.max("component_id").alias("high")).where("low <> high")
+    mixed = apart.where("members > 2").groupBy("key").agg(
+        F.min("component_id").alias("low"), F.max("component_id").alias("high"),
+        F.min_by("component_id", "id").alias("main_component")).where("low <> high")
     blocks = F.ceil(F.col("members") / BLOCK_ROWS).cast("int")
-    rows = pin(apart.where("members > 2").join(mixed.select("key").hint("rebalance"), "key")
+    rows = pin(apart.join(mixed.select("key", "main_component").hint("rebalance"), "key")
+               .withColumn("main", (F.col("component_id") == F.col("main_component")).cast("int"))
                .withColumn("blocks", blocks)
                .withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-               .select("key", "id", "component_id", "block", "blocks"))
-    tiles = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
-        F.least("block", other).alias("i"), F.greatest("block", other).alias("j")))
-    more = (rows.select("key", "id", "component_id", "block", F.inline(tiles)).join(sig, "id")
-            .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .select("key", "i", "j", "id", "component_id", "block", "sig")
-            .mapInArrow(_near_in_blocks, "a long, b long").distinct())
+               .select("key", "id", "component_id", "main", "block", "blocks"))
+    # A member of the main component meets the others in one tile; the others go to all tiles.
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    tile = lambda i, j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
+    tiles = F.when(F.col("main") == 1, F.array(tile(F.lit(-1), F.col("block")))).otherwise(F.concat(
+        F.transform(every, lambda other: tile(F.lit(-1), other)),
+        F.transform(every, lambda other: tile(F.least("block", other),
+                                              F.greatest("block", other)))))
+    more = (rows.select("key", "id", "component_id", "main", "block", F.inline(tiles))
+            .join(signs, "id").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+            .select("key", "i", "j", "id", "component_id", "main", "block", "n", "sig")
+            .mapInArrow(_near_in_blocks(percent), "a long, b long").distinct())
     later = confirm(docs, pin(more), percent)
     tied = pin(components(links.union(later).union(own)))
 
