@@ -40,8 +40,10 @@ def _runs(lines: Column) -> Column:
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, covered): the line numbers to remove, for each text that has any."""
     place = ["doc_id", "text_hash", "line"]
-    runs = (docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
-                        F.inline(_runs(_lines(F.col("text")))))
+    # The lines are a column of their own, or each step of the loop would split the text again.
+    split = docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
+                        _lines(F.col("text")).alias("lines"))
+    runs = (split.select("doc_id", "text_hash", F.inline(_runs(F.col("lines"))))
             .where(~F.col("blank")).drop("blank"))
     # Many rows of a hot passage become one here before they move.
     repeated = pin(runs.groupBy("hash_a", "hash_b").agg(
@@ -61,12 +63,12 @@ def with_kept_text(docs: DataFrame) -> DataFrame:
         F.col("covered").alias("_covered"))
     joined = docs.join(covered, F.col("doc_id").eqNullSafe(F.col("_id"))
                        & (F.xxhash64("text") == F.col("_hash")), "left").drop("_id", "_hash")
-    lines = _lines(F.col("text"))
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_covered"))
-    kept = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
+    joined = joined.withColumn("_split", _lines(F.col("text")))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_split") - 1), F.col("_covered"))
+    kept = F.array_join(F.transform(stay, lambda i: F.get("_split", i)), "\n")
     return joined.withColumns({
-        "_lines": F.size(lines).cast("long"),
-        "_kept": F.when(F.col("_covered").isNull(), F.col("text")).otherwise(kept)})
+        "_lines": F.size("_split").cast("long"),
+        "_kept": F.when(F.col("_covered").isNull(), F.col("text")).otherwise(kept)}).drop("_split")
 
 
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
