@@ -95,11 +95,11 @@ def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scripts_and_calls(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Purchases as scripts (trx = whole value), larger clicks as calls."""
+    """Purchases as scripts (trx = whole value), clicks as calls."""
     events = contacts(spark, sf_dir)
     scripts = events.where("event_type = 'purchase'").select(
         "hcp_id", "day", F.floor("value").alias("trx"))
-    return scripts, events.where("event_type = 'click' and value > 60").select("hcp_id", "day")
+    return scripts, events.where("event_type = 'click'").select("hcp_id", "day")
 
 
 def contact_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,7 +186,7 @@ def call_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hcp_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as an all-text prescriber feed, the first one of a customer and day.
+    """Orders as an all-text prescriber feed; ``ordinal`` is a row's place in it.
 
     The priority gives the decile; one priority has none. Customers of one nation lack a territory.
     """
@@ -200,21 +200,16 @@ def hcp_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.format_string("HCP-%010d", "hcp_id").alias("hcp_id"),
         F.col("c_name").alias("full_name"), F.col("c_mktsegment").alias("specialty"),
         decile.alias("decile"), code.alias("territory_code"),
-        F.col("effective_date").cast("string").alias("effective_date"))
+        F.col("effective_date").cast("string").alias("effective_date"), "ordinal")
 
 
 # ------------------------------------------------------------ version histories
-def order_changes(spark: SparkSession, sf_dir: str, one_per_day: bool = True) -> DataFrame:
+def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as a change feed: each may change the customer's priority and status."""
-    orders = table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("hcp_id"), F.col("o_orderdate").cast("date").alias("effective_date"),
         F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status"),
         F.col("o_orderkey").alias("ordinal"))
-    if not one_per_day:
-        return orders
-    first = F.min(F.struct("ordinal", "priority", "status")).alias("first")
-    return orders.groupBy("hcp_id", "effective_date").agg(first).select(
-        "hcp_id", "effective_date", "first.priority", "first.status", "first.ordinal")
 
 
 def order_windows(spark: SparkSession, sf_dir: str, days: int = 200) -> DataFrame:

@@ -28,6 +28,13 @@ def _fail(message: str | Column, type_name: str) -> Column:
     return F.raise_error(message).cast(type_name)
 
 
+def _first_of_day(incoming: DataFrame, key: str, effective: str, ordinal: str) -> DataFrame:
+    """The first row in feed order of each person and day."""
+    rest = [c for c in incoming.columns if c not in (key, effective, ordinal)]
+    first = F.min(F.struct(ordinal, *rest)).alias("_row")
+    return incoming.groupBy(key, effective).agg(first).select(key, effective, "_row.*")
+
+
 def _blocks(incoming: DataFrame, key: str, tracked: list[str], effective: str,
             ordinal: str | None) -> DataFrame:
     untracked = [c for c in incoming.columns if c not in (key, effective, ordinal, *tracked)]
@@ -42,7 +49,7 @@ def _blocks(incoming: DataFrame, key: str, tracked: list[str], effective: str,
             *[F.min_by(c, "_place").alias(c) for c in untracked],
         )
         .withColumn("_effective", F.when(
-            day.isNull(), _fail("SCD effective dates must be present", "date")).otherwise(day))
+            day.isNull(), _fail(f"{effective} is missing in a change of {key}", "date")).otherwise(day))
         .withColumn("_source", F.lit(1))
     )
 
@@ -83,22 +90,29 @@ def _changes(existing: DataFrame | None, incoming: DataFrame, key: str, tracked:
 
 def _checked_start() -> Column:
     inverted = F.col("valid_from") > F.col("valid_to")
-    message = "Existing SCD history has an inverted validity window"
+    message = F.concat(F.lit("a stored version ends on "), F.col("valid_to").cast("string"),
+                       F.lit(" before it starts on "), F.col("valid_from").cast("string"))
     return F.when(inverted, _fail(message, "date")).otherwise(F.col("valid_from"))
 
 
 def apply_scd2(existing: DataFrame | None, incoming: DataFrame, business_key: str = "hcp_id",
                tracked: Sequence[str] = TRACKED, effective_col: str = "effective_date",
-               ordinal_col: str | None = None) -> DataFrame:
+               ordinal_col: str | None = None, same_day: str = "fail") -> DataFrame:
     """The full new state of the dimension.
 
     ``ordinal_col`` orders rows of the same person and day (their order in the feed). A change
     that is not later than the live version fails the job that computes ``valid_from``, so
-    nothing of a bad batch can be written.
+    nothing of a bad batch can be written. With ``same_day="first"`` the first row of a person and
+    day settles that day and later ones change nothing; ``scd2_conflicts`` lists such days.
     """
+    if same_day not in ("fail", "first") or (same_day == "first" and ordinal_col is None):
+        raise ValueError("same_day is 'fail', or 'first' together with ordinal_col")
+    if same_day == "first":
+        incoming = _first_of_day(incoming, business_key, effective_col, ordinal_col)
     changes = _changes(existing, incoming, business_key, tracked, effective_col, ordinal_col)
-    message = F.concat(F.lit("SCD change for "), F.col(business_key).cast("string"),
-                       F.lit(" must be after its current valid_from"))
+    message = F.concat(F.lit(f"{business_key} "), F.col(business_key).cast("string"),
+                       F.lit(" changes twice as of "), F.col("_effective").cast("string"),
+                       F.lit(" or before the version it would replace"))
     versions = changes.select(
         *[c for c in changes.columns if not c.startswith("_")],
         F.when(F.col("_conflict"), _fail(message, "date")).otherwise(F.col("_effective"))

@@ -29,7 +29,7 @@ rx AS (
   SELECT user_id, day, CAST(sum(floor(value)) AS BIGINT) AS trx
   FROM contact WHERE event_type = 'purchase' GROUP BY user_id, day
 ), call AS (
-  SELECT user_id, day FROM contact WHERE event_type = 'click' AND value > 60
+  SELECT user_id, day FROM contact WHERE event_type = 'click'
 )"""
 
 CONTACT_VERSIONS = CONTACTS + """,
@@ -171,10 +171,10 @@ change AS (
 
 HCP_ROWS = """
 hcp_line AS (
-  SELECT 'HCP-' || lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS hcp_id, any_value(c_name) AS full_name,
-         any_value(c_mktsegment) AS specialty, any_value(c_nationkey) AS nation,
-         CAST(o_orderdate AS DATE) AS day, arg_min(o_orderpriority, o_orderkey) AS priority
-  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY o_custkey, CAST(o_orderdate AS DATE)
+  SELECT 'HCP-' || lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS hcp_id, c_name AS full_name,
+         c_mktsegment AS specialty, c_nationkey AS nation, CAST(o_orderdate AS DATE) AS day,
+         o_orderpriority AS priority, o_orderkey AS ordinal
+  FROM orders JOIN customer ON o_custkey = c_custkey
 ), place AS (
   SELECT nation, row_number() OVER (ORDER BY nation) AS territory_key
   FROM (SELECT DISTINCT nation FROM hcp_line WHERE nation > 0)
@@ -222,16 +222,23 @@ ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL["brand_share_mom"] = f"""
 WITH {RX_FACT}, brand AS (
   SELECT year_month, p_type, p_brand, sum(trx) AS trx FROM fact GROUP BY ALL
+), market AS (
+  SELECT year_month, p_type, sum(trx) AS whole FROM fact GROUP BY ALL
 ), share AS (
-  SELECT *, round(100.0 * trx / nullif(sum(trx) OVER (PARTITION BY p_type, year_month), 0), 2)
-           AS pct
-  FROM brand
+  SELECT brand.*, round(100.0 * trx / nullif(whole, 0), 2) AS pct
+  FROM brand JOIN market USING (year_month, p_type)
+), earlier AS (
+  SELECT now.year_month, now.p_type, now.p_brand, max(past.year_month) AS year_month_before
+  FROM share now JOIN share past ON now.p_type = past.p_type AND now.p_brand = past.p_brand
+       AND past.year_month < now.year_month
+  GROUP BY ALL
 )
-SELECT year_month, p_brand AS brand_name, CAST(trx AS BIGINT) AS trx, CAST(pct AS DOUBLE) AS share_pct,
-       round(pct - lag(pct) OVER (PARTITION BY p_type, p_brand ORDER BY year_month), 2)
-         AS share_delta_pp,
-       p_type AS therapeutic_area
-FROM share"""
+SELECT s.year_month, s.p_brand AS brand_name, CAST(s.trx AS BIGINT) AS trx,
+       CAST(s.pct AS DOUBLE) AS share_pct, round(s.pct - p.pct, 2) AS share_delta_pp,
+       s.p_type AS therapeutic_area
+FROM share s LEFT JOIN earlier e USING (year_month, p_type, p_brand)
+LEFT JOIN share p ON p.p_type = s.p_type AND p.p_brand = s.p_brand
+     AND p.year_month = e.year_month_before"""
 
 ORACLE_SQL["prescriber_ranking"] = f"""
 WITH {RX_FACT}, volume AS (
@@ -363,6 +370,7 @@ ORACLE_SQL["hcp_dimension"] = f"""
 WITH {HCP_ROWS}, clean AS (
   SELECT *, CAST(CAST(trim(decile_text) AS DOUBLE) AS BIGINT) AS decile
   FROM hcp_row WHERE reason IS NULL
+  QUALIFY row_number() OVER (PARTITION BY hcp_id, day ORDER BY ordinal) = 1
 ), opening AS (
   SELECT *, lag(day) OVER w IS NULL OR decile <> lag(decile) OVER w AS opens
   FROM clean WINDOW w AS (PARTITION BY hcp_id ORDER BY day)
@@ -438,22 +446,26 @@ SELECT 'sales_calls', (SELECT count(*) FROM events), CAST(count_if(ok) AS BIGINT
 FROM judged_call"""
 
 # ------------------------------------------------------------------------ checks
-ORACLE_SQL["fk_orphans"] = """
+ORACLE_SQL["fk_orphans"] = f"""
+WITH {RX_TEXT}
 SELECT 'lineitem.p_partkey has no dimension row' AS "check", count(*) AS violations
-FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 1)
+FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part)
 UNION ALL
 SELECT 'lineitem.s_suppkey has no dimension row', count(*)
-FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0)
+FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)
 UNION ALL
 SELECT 'lineitem.date_key has no dimension row', count(*)
 FROM lineitem WHERE l_shipdate < (SELECT min(o_orderdate) FROM orders)
                  OR l_shipdate > (SELECT max(o_orderdate) FROM orders)
 UNION ALL
 SELECT 'orders.c_custkey has no dimension row', count(*)
-FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)
+FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
 UNION ALL
 SELECT 'customer.n_nationkey has no dimension row', count(*)
-FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey <> 0)"""
+FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation)
+UNION ALL
+SELECT 'feed.p_partkey has no dimension row', count(*) FROM feed
+WHERE product_code NOT IN (SELECT CAST(p_partkey AS VARCHAR) FROM part)"""
 
 ORACLE_SQL["null_and_range_checks"] = f"""
 WITH {TYPED}, {SPANS.strip()}, typed AS (
@@ -541,7 +553,8 @@ WHERE a.n IS DISTINCT FROM b.n OR a.trx IS DISTINCT FROM b.trx
 
 ORACLE_SQL["source_vs_damaged_warehouse"] = f"""
 WITH {RESOLVED}, {DIFFERENCES.strip()}
-SELECT hcp_id, product_code, CAST(day AS VARCHAR) AS day, count(*) AS rows_diff,
-       CAST(sum(trx) AS BIGINT) AS trx_count_diff, CAST(sum(units) AS DOUBLE) AS units_diff,
-       CAST(sum(gross) AS DOUBLE) AS gross_sales_diff
-FROM source WHERE trx <= 1 GROUP BY 1, 2, 3"""
+SELECT hcp_id, if(sign = 1, product_code, 'MOVED') AS product_code, CAST(day AS VARCHAR) AS day,
+       CAST(sum(sign) AS BIGINT) AS rows_diff, CAST(sum(sign * trx) AS BIGINT) AS trx_count_diff,
+       CAST(sum(sign * units) AS DOUBLE) AS units_diff,
+       CAST(sum(sign * gross) AS DOUBLE) AS gross_sales_diff
+FROM source, (VALUES (1), (-1)) side(sign) WHERE trx <= 1 GROUP BY 1, 2, 3"""

@@ -16,24 +16,30 @@ PLACE = "line_place"
 def read_csv(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
     """Every line as text columns by position, the header line skipped.
 
-    A line with too few or too many fields is kept in ``malformed_line`` for quarantine.
-    ``line_place`` (file, block, row) orders lines as they stand in the files.
+    A line with too few or too many fields is kept in ``malformed_line`` for quarantine, and so is
+    a blank one, which the CSV reader leaves out without a word. ``line_place`` (file, block, row)
+    orders lines as they stand in the files.
     """
     schema = T.StructType([
         *[T.StructField(c, T.StringType()) for c in feed.columns],
         T.StructField(MALFORMED, T.StringType()),
     ])
-    return (
+    def placed(lines: DataFrame) -> DataFrame:
+        return lines.withColumn(PLACE, F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row")))
+
+    filled = placed(
         spark.read.schema(schema)
         .option("header", True).option("enforceSchema", True)
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED)
         .option("encoding", "UTF-8").option("escape", '"')
-        .csv(path)
-        .withColumn(PLACE, F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row")))
-    )
+        .csv(path))
+    blank = placed(spark.read.text(path)).where(F.col("value").rlike(r"\A[\x00-\x20]*\z")).select(
+        *[F.lit(None).cast("string").alias(c) for c in feed.columns],
+        F.col("value").alias(MALFORMED), PLACE)
+    return filled.unionByName(blank)
 
 
 def stage_feed(spark: SparkSession, path: str, feed: Feed, table: str,

@@ -32,7 +32,7 @@ def test_invalid_day_does_not_stop_the_bounds(spark):
 
 def test_no_valid_day_is_an_error(spark):
     rx = spark.createDataFrame([("x",)], "rx_date string")
-    with pytest.raises(ValueError, match="cannot build the calendar"):
+    with pytest.raises(ValueError, match="holds a valid day"):
         calendar_bounds(rx, rx.toDF("call_date"))
 
 

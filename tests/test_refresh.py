@@ -130,7 +130,7 @@ def test_a_run_without_facts_is_not_published(spark, feeds, tmp_path):
 def test_conflicting_history_stops_the_run(spark, feeds, tmp_path):
     feeds["hcp"] = write_csv(tmp_path / "bad_hcp.csv", HCP_FEED, [
         HCP[1], (*HCP[1][:3], "6", "T-001", "2024-01-01")])
-    with pytest.raises(Exception, match="SCD change for HCP-1"):
+    with pytest.raises(Exception, match="hcp_id HCP-1 changes twice"):
         refresh.run(spark, feeds, str(tmp_path / "warehouse"))
 
 
@@ -236,3 +236,15 @@ def test_layout_gathers_prescribers_and_splits_hot_groups(spark, tmp_path):
         assert slices_per_month(10**12, 100) == 1000 and slices_per_month(5, 0) == 1
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_blank_lines_are_counted_and_quarantined(spark, feeds, tmp_path):
+    plain = refresh.run(spark, feeds, str(tmp_path / "plain"))
+    with open(feeds["prescriptions"], "a", encoding="utf-8") as out:
+        out.write("\n   \n\t\n")
+    root = str(tmp_path / "blank")
+    stats = refresh.run(spark, feeds, root)
+    assert stats["staged_rx"] == plain["staged_rx"] + 3
+    rejects = refresh.all_rejects(Warehouse(spark, root).current())
+    assert rejects.where(F.col(REASON) == "malformed line").where(
+        F.trim(F.translate(MALFORMED, "\t", " ")) == "").count() == 3
