@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -26,7 +28,7 @@ def local_session(app_name: str = "starloom", cores: str = "*", shuffle_partitio
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables: the cluster's shared ``spark.checkpoint.dir``.
 
-    Only a local session without one gets a folder of its own.
+    Only a local session without one gets a folder of its own, which goes when the process ends.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
@@ -35,6 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="starloom-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
         context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
