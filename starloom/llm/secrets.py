@@ -1,8 +1,8 @@
 """Secret scans: fixed patterns, and strings that look random; DataFrame functions only.
 
 Two character Markov models (pairs of neighbouring characters) are trained from labelled strings:
-random ones are what the fixed patterns caught, ordinary ones the identifiers and words of texts
-in which they caught nothing. A long unbroken string is reported when its log-likelihood under the
+random ones are what the fixed patterns caught, ordinary ones the identifiers and words of 4 to 19
+characters of texts in which they caught nothing. A long unbroken string is reported when its log-likelihood under the
 first exceeds that under the second by ``LEAST_RATIO`` and on average by ``LEAST_MEAN`` per pair. The
 models are fitted on at most ``SAMPLE`` texts of each kind (smallest hash of the id), the tables have
 a row per pair of characters; all else runs over all texts.
@@ -30,9 +30,10 @@ LEAST = {"assign": 8, "access": 16, "hex": 32}
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 STRING = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
-IDENTIFIER = r"[A-Za-z0-9+/_-]{4,}"
+# Shorter than what is scanned, so that no secret the fixed patterns miss passes for an ordinary word.
+IDENTIFIER = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{4,19}(?![A-Za-z0-9+/_-])"
 SAMPLE = 2000
-LEAST_RATIO, LEAST_MEAN = 8.0, 0.5
+LEAST_RATIO, LEAST_MEAN, BACKED = 8.0, 0.5, 20
 KINDS = ("assign", "access", "hex", "markov")
 
 
@@ -121,11 +122,15 @@ def train(docs: DataFrame) -> list[float]:
                     lambda i: F.substring("string", i, F.lit(2)))).alias("pair"))
     counts = pairs.where(F.col("pair").rlike("^[A-Za-z0-9+/_-]{2}$")).groupBy("random", "pair").count()
     seen = {(r["random"], r["pair"]): r["count"] for r in counts.collect()}  # at most 2 * 66 * 66
-    ratio = []
+    ratio, size = [], len(ALPHABET)
+    into = [[sum(seen.get((c, a + b), 0) for a in ALPHABET) for b in ALPHABET] for c in (0, 1)]
+    share = [[(n + 0.5) / (sum(into[c]) + 0.5 * size) for n in into[c]] for c in (0, 1)]
     for a in ALPHABET:
         total = [sum(seen.get((c, a + b), 0) for b in ALPHABET) for c in (0, 1)]
-        for b in ALPHABET:
-            p = [(seen.get((c, a + b), 0) + 0.5) / (total[c] + 0.5 * len(ALPHABET)) for c in (0, 1)]
+        for k, b in enumerate(ALPHABET):
+            # After characters seldom seen, how common the next one is on the whole decides.
+            p = [(seen.get((c, a + b), 0) + BACKED * share[c][k]) / (total[c] + BACKED)
+                 for c in (0, 1)]
             ratio.append(math.log(p[1] / p[0]))
     return ratio
 
