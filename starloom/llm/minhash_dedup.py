@@ -45,6 +45,7 @@ N_VALUES = CHUNKS * WIDTH
 MOST_APART = CHUNKS * 2 - 1
 BLOCK_ROWS = 512
 LONG_VALUES = 256
+TILE = ("key", "i", "j")
 _draw = np.random.default_rng(20)
 _N = N_VALUES + LONG_VALUES
 FACTORS = _draw.integers(1, 2**63, _N, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -181,7 +182,8 @@ def _near_in_blocks(percent: int):
                 pairs.append(np.stack([np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])]))
             if pairs:
                 a, b = np.concatenate(pairs, axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                here = [pa.repeat(tile[c][0], len(a)) for c in TILE]
+                yield pa.RecordBatch.from_arrays([*here, pa.array(a), pa.array(b)], [*TILE, "a", "b"])
     return run
 
 
@@ -203,6 +205,15 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["id", "n", "sig", "shingles"])
 
 
+def _only_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in portions(batch, by_text):
+            hashes, first = _distinct(*shingles(words(*text_bytes(part["text"])), 5))
+            raw = [hashes[s:e].tobytes() for s, e in zip(first[:-1], first[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(raw, pa.binary())],
+                                             ["a", "shingles"])
+
+
 def _confirmed(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -231,6 +242,58 @@ def confirm(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
         .mapInArrow(_confirmed(percent), "a long, b long").distinct()
 
 
+def _confirmed_in_tiles(percent: int):
+    """Pairs (a, b) of each tile whose sets, sent along once per document, are similar enough.
+
+    A text's shingles are marked in a table of the tile's shingles; the marks under each partner's
+    shingles add up to their intersection.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in groups(batches, list(TILE)):
+            is_pair = tile["b"].is_valid()
+            pairs = tile.filter(is_pair).sort_by([("a", "ascending")])
+            texts = tile.filter(pa.compute.invert(is_pair)).sort_by([("a", "ascending")])
+            ids, a, b = numbers(texts["a"]), numbers(pairs["a"]), numbers(pairs["b"])
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for c in texts["shingles"].chunks for x in c]
+            n = np.array([len(x) for x in sets])
+            ends = np.cumsum(n)
+            known, number = np.unique(np.concatenate(sets), return_inverse=True)
+            mark = np.zeros(len(known), bool)
+            good = np.zeros(len(a), bool)
+            low, high = np.searchsorted(ids, b), np.searchsorted(ids, b, "right")
+            cuts = [0, *(np.flatnonzero(np.diff(a)) + 1), len(a)]
+            for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+                # Rows that repeat an id hold several texts of it; any of them may make the link.
+                which = np.repeat(np.arange(start, end), (high - low)[start:end])
+                right = np.concatenate([np.arange(low[k], high[k]) for k in range(start, end)])
+                for x in range(*np.searchsorted(ids, [a[start], a[start] + 1])):
+                    mine = number[ends[x] - n[x]:ends[x]]
+                    mark[mine] = True
+                    shared = np.array([np.count_nonzero(mark[number[ends[y] - n[y]:ends[y]]])
+                                       for y in right])
+                    mark[mine] = False
+                    good[which[100 * shared >= percent * (n[x] + n[right] - shared)]] = True
+            yield from pairs.select(["a", "b"]).filter(pa.array(good)).to_batches()
+    return run
+
+
+def confirm_in_tiles(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Like ``confirm`` for ``pairs`` (key, i, j, a, b): a tile gets each text's set once.
+
+    Within a group of near copies there are many more pairs than texts. A tile holds the sets of at
+    most two blocks of a bucket.
+    """
+    sides = pairs.select(*TILE, "a").union(pairs.select(*TILE, "b")).distinct()
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    sets = pin(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+               .join(ids, "doc_id", "left_semi")
+               .mapInArrow(_only_sets, "a long, shingles binary"))
+    texts = sides.join(sets, "a").select(*TILE, "a", F.lit(None).cast("long").alias("b"), "shingles")
+    rows = texts.union(pairs.select(*TILE, "a", "b", F.lit(None).cast("binary")))
+    return rows.repartition(*TILE).sortWithinPartitions(*TILE).mapInArrow(
+        _confirmed_in_tiles(percent), "a long, b long").distinct()
+
+
 # ------------------------------------------------------------------------ join
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text).
@@ -281,8 +344,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     more = (rows.select("key", "id", "component_id", "main", "block", F.inline(tiles))
             .join(signs, "id").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
             .select("key", "i", "j", "id", "component_id", "main", "block", "n", "sig")
-            .mapInArrow(_near_in_blocks(percent), "a long, b long").distinct())
-    later = confirm(docs, pin(more), percent)
+            .mapInArrow(_near_in_blocks(percent), "key long, i int, j int, a long, b long"))
+    later = confirm_in_tiles(docs, pin(more), percent)
     tied = pin(components(links.union(later).union(own)))
 
     named_classes = classes.join(tied, "id", "left").select(
