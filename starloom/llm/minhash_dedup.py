@@ -10,8 +10,8 @@ Documents with the same word sequence are one class and take part once. Buckets
 into all pairs at first: each member is compared with the bucket's smallest member, which ties a
 group of copies together however large it is. Only members of a bucket that are still apart are
 then compared with each other, in blocks; a pair is taken from the first key it shares. Pairs whose
-sizes or whose longer signatures rule the similarity out are dropped; the rest is confirmed on the
-full shingle sets.
+sizes or signatures rule the similarity out are dropped; the rest is confirmed on the full shingle
+sets. Two blocks get each text's set once, however many pairs they hold.
 
 Null and empty texts and texts of white space have no shingles, are linked with nothing and kept.
 A text of fewer than five words is one shingle. Rows that repeat a doc_id are one document, linked
@@ -205,15 +205,6 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["id", "n", "sig", "shingles"])
 
 
-def _only_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in portions(batch, by_text):
-            hashes, first = _distinct(*shingles(words(*text_bytes(part["text"])), 5))
-            raw = [hashes[s:e].tobytes() for s, e in zip(first[:-1], first[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(raw, pa.binary())],
-                                             ["a", "shingles"])
-
-
 def _confirmed(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,12 +220,20 @@ def _confirmed(percent: int):
     return run
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) with ``100 * intersection >= percent * union`` of their shingles."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = pin(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def shingle_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, n, sig, shingles) of the texts of ``ids`` (id), written down.
+
+    The texts are dealt out by id at every size of ``ids``: a broadcast would only do while the ids
+    are few.
+    """
+    ids = ids.distinct().withColumnRenamed("id", "doc_id").hint("shuffle_hash")
+    return pin(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
                .join(ids, "doc_id", "left_semi")
                .mapInArrow(_sets, "id long, n long, sig binary, shingles binary"))
+
+
+def confirm(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) with ``100 * intersection >= percent * union`` of their shingles."""
     likely = pin(near(pairs, sets, LONG_VALUES, long_distance(percent), percent))
     side = lambda x: sets.select(
         F.col("id").alias(x), F.col("shingles").alias(f"set_{x}"))
@@ -277,18 +276,15 @@ def _confirmed_in_tiles(percent: int):
     return run
 
 
-def confirm_in_tiles(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def confirm_in_tiles(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Like ``confirm`` for ``pairs`` (key, i, j, a, b): a tile gets each text's set once.
 
     Within a group of near copies there are many more pairs than texts. A tile holds the sets of at
     most two blocks of a bucket.
     """
     sides = pairs.select(*TILE, "a").union(pairs.select(*TILE, "b")).distinct()
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = pin(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-               .join(ids, "doc_id", "left_semi")
-               .mapInArrow(_only_sets, "a long, shingles binary"))
-    texts = sides.join(sets, "a").select(*TILE, "a", F.lit(None).cast("long").alias("b"), "shingles")
+    texts = sides.join(sets.select(F.col("id").alias("a"), "shingles"), "a").select(
+        *TILE, "a", F.lit(None).cast("long").alias("b"), "shingles")
     rows = texts.union(pairs.select(*TILE, "a", "b", F.lit(None).cast("binary")))
     return rows.repartition(*TILE).sortWithinPartitions(*TILE).mapInArrow(
         _confirmed_in_tiles(percent), "a long, b long").distinct()
@@ -320,7 +316,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     signs = classes.select("id", "n", "sig")
     stars = members.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"))
     pairs = near(stars.distinct(), signs, N_VALUES, MOST_APART, percent)
-    links = pin(confirm(docs, pin(pairs), percent))
+    sets = shingle_sets(docs, members.select("id"))
+    links = pin(confirm(sets, pin(pairs), percent))
     tied = components(links)
 
     apart = members.join(tied, "id", "left").withColumn(
@@ -345,7 +342,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
             .join(signs, "id").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
             .select("key", "i", "j", "id", "component_id", "main", "block", "n", "sig")
             .mapInArrow(_near_in_blocks(percent), "key long, i int, j int, a long, b long"))
-    later = confirm_in_tiles(docs, pin(more), percent)
+    later = confirm_in_tiles(sets, pin(more), percent)
     tied = pin(components(links.union(later).union(own)))
 
     named_classes = classes.join(tied, "id", "left").select(
