@@ -11,7 +11,7 @@ into all pairs at first: each member is compared with the bucket's smallest memb
 group of copies together however large it is. Only members of a bucket that are still apart are
 then compared with each other, in blocks; a pair is taken from the first key it shares. Pairs whose
 sizes or signatures rule the similarity out are dropped; the rest is confirmed on the full shingle
-sets. Two blocks get each text's set once, however many pairs they hold.
+sets. Blocks are confirmed where they meet, and give only the links that tie components together.
 
 Null and empty texts and texts of white space have no shingles, are linked with nothing and kept.
 A text of fewer than five words is one shingle. Rows that repeat a doc_id are one document, linked
@@ -45,7 +45,6 @@ N_VALUES = CHUNKS * WIDTH
 MOST_APART = CHUNKS * 2 - 1
 BLOCK_ROWS = 512
 LONG_VALUES = 256
-TILE = ("key", "i", "j")
 _draw = np.random.default_rng(20)
 _N = N_VALUES + LONG_VALUES
 FACTORS = _draw.integers(1, 2**63, _N, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -155,35 +154,50 @@ def near(pairs: DataFrame, signed: DataFrame, width: int, most: int, percent: in
         _near(width, most, percent), "a long, b long")
 
 
-def _near_in_blocks(percent: int):
-    """Within each (key, i, j), pairs of different components that meet at this key first.
+def _linked_in_blocks(percent: int):
+    """Links within each (key, i, j) that tie its components together, at most one per row.
 
-    Tile (-1, j) holds members of the bucket's main component and all others; tile (i, j) holds
-    others of two blocks.
+    Tile (-1 - i, j) holds others of block i and members of the bucket's main component of block j;
+    tile (i, j) holds others of two blocks. A pair is compared at the first key it shares, by its
+    signatures, then on the full sets: one text's shingles are marked in a table of the tile's, and
+    the marks under its partners' shingles add up to the intersections.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tile in groups(batches, ["key", "i", "j"]):
             i, j = tile["i"][0].as_py(), tile["j"][0].as_py()
             slot = tile["key"][0].as_py() & 63
-            ids, component, n = (numbers(tile[c]) for c in ("id", "component_id", "n"))
-            block, main = numbers(tile["block"]), numbers(tile["main"])
+            ids, block, main = (numbers(tile[c]) for c in ("id", "block", "main"))
+            label = numbers(tile["component_id"]).copy()
             sig = _matrix(tile["sig"].combine_chunks())
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in tile["shingles"]]
+            n = np.array([len(x) for x in sets])
+            number = mark = None
             left = np.flatnonzero(main == 0 if i < 0 else block == i)
             right = np.flatnonzero(main == 1 if i < 0 else block == j)
-            pairs = []
+            links = []
             for x in left:
                 y = right if i != j else right[ids[right] > ids[x]]
-                y = y[(component[y] != component[x])
+                y = y[(label[y] != label[x])
                       & (100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x]))]
                 same = sig[y] == sig[x]
                 close = (~same).sum(axis=1) <= MOST_APART
                 close[close] = _first_slot(same[close]) == slot
                 y = y[close]
-                pairs.append(np.stack([np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])]))
-            if pairs:
-                a, b = np.concatenate(pairs, axis=1)
-                here = [pa.repeat(tile[c][0], len(a)) for c in TILE]
-                yield pa.RecordBatch.from_arrays([*here, pa.array(a), pa.array(b)], [*TILE, "a", "b"])
+                if not len(y):
+                    continue
+                if number is None:
+                    known, flat = np.unique(np.concatenate(sets), return_inverse=True)
+                    number, mark = np.split(flat, np.cumsum(n)[:-1]), np.zeros(len(known), bool)
+                mark[number[x]] = True
+                shared = np.array([np.count_nonzero(mark[number[k]]) for k in y])
+                mark[number[x]] = False
+                for k in y[100 * shared >= percent * (n[x] + n[y] - shared)]:
+                    if label[k] != label[x]:
+                        label[label == label[k]] = label[x]
+                        links.append((min(ids[x], ids[k]), max(ids[x], ids[k])))
+            if links:
+                a, b = np.array(links, np.int64).T.copy()
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
     return run
 
 
@@ -241,55 +255,6 @@ def confirm(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
         .mapInArrow(_confirmed(percent), "a long, b long").distinct()
 
 
-def _confirmed_in_tiles(percent: int):
-    """Pairs (a, b) of each tile whose sets, sent along once per document, are similar enough.
-
-    A text's shingles are marked in a table of the tile's shingles; the marks under each partner's
-    shingles add up to their intersection.
-    """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tile in groups(batches, list(TILE)):
-            is_pair = tile["b"].is_valid()
-            pairs = tile.filter(is_pair).sort_by([("a", "ascending")])
-            texts = tile.filter(pa.compute.invert(is_pair)).sort_by([("a", "ascending")])
-            ids, a, b = numbers(texts["a"]), numbers(pairs["a"]), numbers(pairs["b"])
-            sets = [np.frombuffer(x.as_buffer(), np.uint64) for c in texts["shingles"].chunks for x in c]
-            n = np.array([len(x) for x in sets])
-            ends = np.cumsum(n)
-            known, number = np.unique(np.concatenate(sets), return_inverse=True)
-            mark = np.zeros(len(known), bool)
-            good = np.zeros(len(a), bool)
-            low, high = np.searchsorted(ids, b), np.searchsorted(ids, b, "right")
-            cuts = [0, *(np.flatnonzero(np.diff(a)) + 1), len(a)]
-            for start, end in zip(cuts[:-1], cuts[1:], strict=True):
-                # Rows that repeat an id hold several texts of it; any of them may make the link.
-                which = np.repeat(np.arange(start, end), (high - low)[start:end])
-                right = np.concatenate([np.arange(low[k], high[k]) for k in range(start, end)])
-                for x in range(*np.searchsorted(ids, [a[start], a[start] + 1])):
-                    mine = number[ends[x] - n[x]:ends[x]]
-                    mark[mine] = True
-                    shared = np.array([np.count_nonzero(mark[number[ends[y] - n[y]:ends[y]]])
-                                       for y in right])
-                    mark[mine] = False
-                    good[which[100 * shared >= percent * (n[x] + n[right] - shared)]] = True
-            yield from pairs.select(["a", "b"]).filter(pa.array(good)).to_batches()
-    return run
-
-
-def confirm_in_tiles(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Like ``confirm`` for ``pairs`` (key, i, j, a, b): a tile gets each text's set once.
-
-    Within a group of near copies there are many more pairs than texts. A tile holds the sets of at
-    most two blocks of a bucket.
-    """
-    sides = pairs.select(*TILE, "a").union(pairs.select(*TILE, "b")).distinct()
-    texts = sides.join(sets.select(F.col("id").alias("a"), "shingles"), "a").select(
-        *TILE, "a", F.lit(None).cast("long").alias("b"), "shingles")
-    rows = texts.union(pairs.select(*TILE, "a", "b", F.lit(None).cast("binary")))
-    return rows.repartition(*TILE).sortWithinPartitions(*TILE).mapInArrow(
-        _confirmed_in_tiles(percent), "a long, b long").distinct()
-
-
 # ------------------------------------------------------------------------ join
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text).
@@ -331,18 +296,19 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
                .withColumn("blocks", blocks)
                .withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
                .select("key", "id", "component_id", "main", "block", "blocks"))
-    # A member of the main component meets the others in one tile; the others go to all tiles.
+    # Two blocks meet in a tile; members of the main component meet the others only.
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     tile = lambda i, j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
-    tiles = F.when(F.col("main") == 1, F.array(tile(F.lit(-1), F.col("block")))).otherwise(F.concat(
-        F.transform(every, lambda other: tile(F.lit(-1), other)),
-        F.transform(every, lambda other: tile(F.least("block", other),
-                                              F.greatest("block", other)))))
-    more = (rows.select("key", "id", "component_id", "main", "block", F.inline(tiles))
-            .join(signs, "id").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .select("key", "i", "j", "id", "component_id", "main", "block", "n", "sig")
-            .mapInArrow(_near_in_blocks(percent), "key long, i int, j int, a long, b long"))
-    later = confirm_in_tiles(sets, pin(more), percent)
+    tiles = F.when(F.col("main") == 1, F.transform(
+        every, lambda other: tile(-1 - other, F.col("block")))).otherwise(F.concat(
+            F.transform(every, lambda other: tile(-1 - F.col("block"), other)),
+            F.transform(every, lambda other: tile(F.least("block", other),
+                                                  F.greatest("block", other)))))
+    later = (rows.select("key", "id", "component_id", "main", "block", F.inline(tiles))
+             .join(signs.select("id", "sig"), "id").join(sets.select("id", "shingles"), "id")
+             .select("key", "i", "j", "id", "component_id", "main", "block", "sig", "shingles")
+             .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+             .mapInArrow(_linked_in_blocks(percent), "a long, b long").distinct())
     tied = pin(components(links.union(later).union(own)))
 
     named_classes = classes.join(tied, "id", "left").select(
