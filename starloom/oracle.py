@@ -486,6 +486,57 @@ UNION ALL SELECT 'nrx above a third of units', CAST(count_if(nrx * 3 > units) AS
 UNION ALL SELECT 'inverted window', CAST(count_if(valid_from > valid_to) AS BIGINT) FROM span
 UNION ALL SELECT 'territory outside 1..20', CAST(count_if(territory_key NOT BETWEEN 1 AND 20) AS BIGINT) FROM span"""
 
+ORACLE_SQL["row_condition_checks"] = """
+WITH fact AS (
+  SELECT *, l_extendedprice * (l_discount - l_tax) AS gross FROM lineitem
+), contact AS (
+  SELECT e.*, c_nationkey FROM events e LEFT JOIN customer ON user_id = c_custkey
+), version AS (
+  SELECT l.*, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) + 30 AS valid_to
+  FROM lineitem l JOIN orders ON l_orderkey = o_orderkey
+), counted AS (
+  FROM fact SELECT {
+    'fact_prescriptions.date_key is null': count_if(l_shipdate IS NULL),
+    'fact_prescriptions.hcp_key is null': count_if(l_orderkey IS NULL),
+    'fact_prescriptions.product_key is null': count_if(l_partkey IS NULL),
+    'fact_prescriptions.territory_key is null': count_if(l_suppkey IS NULL),
+    'fact_prescriptions.trx_count is null': count_if(l_quantity IS NULL),
+    'fact_prescriptions.nrx_count is null': count_if(l_linenumber IS NULL),
+    'fact_prescriptions.units is null': count_if(l_extendedprice IS NULL),
+    'fact_prescriptions.gross_sales is null': count_if(gross IS NULL),
+    'fact_prescriptions has a negative measure':
+      count_if(l_quantity < 0 OR l_linenumber < 0 OR l_extendedprice < 0 OR gross < 0),
+    'fact_prescriptions has nrx above trx': count_if(l_linenumber > l_quantity)} AS found
+), counted_calls AS (
+  FROM contact SELECT {
+    'fact_sales_calls.date_key is null': count_if(ts IS NULL),
+    'fact_sales_calls.hcp_key is null': count_if(user_id IS NULL),
+    'fact_sales_calls.product_key is null': count_if(event_id IS NULL),
+    'fact_sales_calls.territory_key is null': count_if(c_nationkey IS NULL),
+    'fact_sales_calls.call_type is null': count_if(event_type IS NULL),
+    'fact_sales_calls.duration_minutes is null': count_if(value IS NULL),
+    'fact_sales_calls.samples_dropped is null': count_if(value IS NULL),
+    'fact_sales_calls has an unlisted call_type': count_if(event_type <> 'click')} AS found
+), counted_versions AS (
+  FROM version SELECT {
+    'dim_hcp.hcp_key is null': count_if(l_orderkey IS NULL),
+    'dim_hcp.hcp_id is null': count_if(o_custkey IS NULL),
+    'dim_hcp.full_name is null': count_if(l_returnflag IS NULL),
+    'dim_hcp.specialty is null': count_if(l_linestatus IS NULL),
+    'dim_hcp.territory_key is null': count_if(l_suppkey IS NULL),
+    'dim_hcp.valid_from is null': count_if(l_shipdate IS NULL),
+    'dim_hcp.valid_to is null': count_if(valid_to IS NULL),
+    'dim_hcp.is_current is null': count_if(o_orderstatus IS NULL),
+    'dim_hcp has a decile outside 1..10': count_if(l_quantity NOT BETWEEN 1 AND 10),
+    'dim_hcp has an inverted window': count_if(CAST(l_shipdate AS DATE) > valid_to)} AS found
+), listed AS (
+  SELECT unnest(json_keys(to_json(found))) AS "check", to_json(found) AS found FROM counted
+  UNION ALL SELECT unnest(json_keys(to_json(found))), to_json(found) FROM counted_calls
+  UNION ALL SELECT unnest(json_keys(to_json(found))), to_json(found) FROM counted_versions
+)
+SELECT "check", CAST(json_extract_string(found, '$."' || "check" || '"') AS BIGINT) AS violations
+FROM listed"""
+
 ORACLE_SQL["scd2_invariants"] = f"""
 WITH {SPANS}, bounds AS (SELECT min(valid_from) AS lo, max(valid_from) AS hi FROM span)
 SELECT 'people without exactly one current version' AS "check", count(*) AS violations

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from starloom.schemas import FactFeed
 from starloom.sources.feeds import MALFORMED
 from starloom.sources.tables import LOADED, OUTCOME, REJECTED
 
+NATURAL_KEYS = ("hcp_id", "product_code", "day")
+
 
 def annotate_fact(staged: DataFrame, feed: FactFeed, stretches: DataFrame, products: DataFrame,
                   dim_date: DataFrame) -> DataFrame:
@@ -48,6 +52,14 @@ def split_ready(annotated: DataFrame, feed: FactFeed) -> DataFrame:
     )
 
 
+def text_measures(lines: DataFrame, feed: FactFeed, measures: Sequence[str]) -> DataFrame:
+    """Natural keys and ``measures`` of each line, typed from its text; untypable ones count as 0."""
+    typed = annotate_types(lines.select(*feed.columns), numeric=feed.numeric,
+                           integer=feed.integer, dates=feed.dates)
+    return typed.select("hcp_id", "product_code", F.col(f"{TYPED}.{feed.date_col}").alias("day"),
+                        *[F.coalesce(f"{TYPED}.{m}", F.lit(0)).alias(m) for m in measures])
+
+
 def raw_columns(df: DataFrame, feed: FactFeed) -> list[str]:
     return [*feed.columns, *([MALFORMED] if MALFORMED in df.columns else [])]
 

@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from starloom.operators import quality
 from starloom.operators.calendar import build_dim_date
-from starloom.operators.coerce import REASON, TYPED, annotate_types
+from starloom.operators.coerce import REASON
 from starloom.operators.resolve import unique_lookup, version_segments
 from starloom.plans import dimensions as dims
-from starloom.plans.facts import annotate_fact, split_ready
+from starloom.plans.facts import NATURAL_KEYS, annotate_fact, split_ready, text_measures
 from starloom.schemas import (
     CALL_FEED,
     FACT_FEEDS,
@@ -134,24 +134,17 @@ def audit_totals(run: Run, feed: FactFeed = RX_FEED) -> DataFrame:
 
     Counts can balance while the wrong lines were rejected; totals per natural key cannot.
     """
-    keys = ["hcp_id", "product_code", "day"]
     measures = [m for m in feed.measures if m in (*feed.numeric, *feed.integer)]
-
-    def of_text(lines: DataFrame) -> DataFrame:
-        typed = annotate_types(lines.select(*feed.columns), numeric=feed.numeric,
-                               integer=feed.integer, dates=feed.dates)
-        return typed.select("hcp_id", "product_code", F.col(f"{TYPED}.{feed.date_col}").alias("day"),
-                            *[F.coalesce(f"{TYPED}.{m}", F.lit(0)).alias(m) for m in measures])
-
     facts = run.read(feed.target)
     loaded = (
         facts.join(run.read("dim_hcp").select("hcp_key", "hcp_id"), "hcp_key")
         .join(run.read("dim_product").select("product_key", "product_code"), "product_key")
         .join(run.read("dim_date").select("date_key", F.col("full_date").alias("day")), "date_key")
-        .select(*keys, *measures))
+        .select(*NATURAL_KEYS, *measures))
     return quality.differing_totals(
-        of_text(run.read_staging(feed.name)),
-        of_text(fact_rejects(run, feed)).unionByName(loaded), keys, measures)
+        text_measures(run.read_staging(feed.name), feed, measures),
+        text_measures(fact_rejects(run, feed), feed, measures).unionByName(loaded),
+        NATURAL_KEYS, measures)
 
 
 def gate(run: Run) -> None:
@@ -161,6 +154,9 @@ def gate(run: Run) -> None:
     bad = quality.failed(quality.warehouse_checks(star))
     if bad:
         raise RefreshError(f"quality checks failed: {bad}")
+    for feed in FACT_FEEDS:
+        if not audit_totals(run, feed).isEmpty():
+            raise RefreshError(f"{feed.name}: staged text differs from rejects plus facts")
 
 
 def run(spark: SparkSession, paths: dict[str, str], root: str, publish: bool = True) -> dict:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +22,7 @@ from starloom.operators.exposure import (
 from starloom.operators.resolve import resolve_surrogate_keys, version_segments
 from starloom.operators.scd2 import apply_scd2, scd2_conflicts
 from starloom.plans import dimensions, reports
-from starloom.plans.facts import annotate_fact, reconciliation
+from starloom.plans.facts import NATURAL_KEYS, annotate_fact, reconciliation, text_measures
 from starloom.schemas import CALL_FEED, HCP_FEED, RX_FEED
 from starloom.session import pin
 
@@ -30,6 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 ORDER_HISTORY = dict(business_key="hcp_id", tracked=("priority", "status"),
                      effective_col="effective_date", ordinal_col="ordinal")
 SECOND_BATCH_FROM = "1998-06-01"
+TOTALLED = ("trx_count", "units", "gross_sales")
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -232,6 +233,37 @@ def null_and_range_checks(spark: SparkSession, d: str) -> DataFrame:
     }))
 
 
+def row_condition_checks(spark: SparkSession, d: str) -> DataFrame:
+    """The publish gate's own row conditions, over order lines and events that break them."""
+    lines = b.table(spark, d, "lineitem")
+    orders = b.table(spark, d, "orders")
+    people = b.table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    margin = F.col("l_extendedprice") * (F.col("l_discount") - F.col("l_tax"))
+    prescribed = lines.select(
+        F.date_format("l_shipdate", "yyyyMMdd").cast("int").alias("date_key"),
+        F.col("l_orderkey").alias("hcp_key"), F.col("l_partkey").alias("product_key"),
+        F.col("l_suppkey").alias("territory_key"), F.col("l_quantity").alias("trx_count"),
+        F.col("l_linenumber").alias("nrx_count"), F.col("l_extendedprice").alias("units"),
+        margin.alias("gross_sales"))
+    call_type = F.when(F.col("event_type") == "click", "DETAIL").otherwise(F.col("event_type"))
+    calls = b.table(spark, d, "events").join(
+        people, F.col("user_id") == F.col("c_custkey"), "left").select(
+        F.date_format("ts", "yyyyMMdd").cast("int").alias("date_key"),
+        F.col("user_id").alias("hcp_key"), F.col("event_id").alias("product_key"),
+        F.col("c_nationkey").alias("territory_key"), call_type.alias("call_type"),
+        F.col("value").alias("duration_minutes"), F.col("value").alias("samples_dropped"))
+    versions = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("l_orderkey").alias("hcp_key"), F.col("o_custkey").alias("hcp_id"),
+        F.col("l_returnflag").alias("full_name"), F.col("l_linestatus").alias("specialty"),
+        F.col("l_suppkey").alias("territory_key"), F.col("l_quantity").alias("decile"),
+        F.col("l_shipdate").cast("date").alias("valid_from"),
+        F.date_add(F.col("o_orderdate").cast("date"), 30).alias("valid_to"),
+        (F.col("o_orderstatus") == "O").alias("is_current"))
+    star = {"fact_prescriptions": prescribed, "fact_sales_calls": calls, "dim_hcp": versions}
+    return quality.stack([quality.count_rows_where(rows, quality.row_conditions(t))
+                          for t, rows in star.items()])
+
+
 def scd2_invariants(spark: SparkSession, d: str) -> DataFrame:
     windows = b.order_windows(spark, d)
     orders = b.table(spark, d, "orders").select("o_orderkey")
@@ -264,38 +296,34 @@ def distribution_checks(spark: SparkSession, d: str) -> DataFrame:
     return quality.distribution(versions, b.order_calendar(spark, d))
 
 
-def _source_and_warehouse(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Totals by (person, product, day): of the accepted lines' text, and of the loaded facts."""
-    _, annotated = _rx_annotated(spark, d)
-    accepted = annotated.where(F.col(REASON).isNull())
-    source = accepted.select(
-        "hcp_id", "product_code", F.col("rx_date").cast("date").alias("day"),
-        F.expr("cast(cast(trx_count as double) as int)").alias("trx_count"),
-        F.col("units").cast("decimal(12,2)").alias("units"),
-        F.col("gross_sales").cast("decimal(14,2)").alias("gross_sales"))
-    facts = accepted.select("hcp_key", "product_key", "date_key", "typed.*")
+def _differing_totals(spark: SparkSession, d: str, product: Column) -> DataFrame:
+    """(person, product, day) groups where staged text differs from rejected text plus facts, which
+    stand under ``product``.
+
+    The source does not pass through the verdict, so a line that is lost or changed on its way shows.
+    """
+    staged, annotated = _rx_annotated(spark, d)
+    facts = annotated.where(F.col(REASON).isNull()).select(
+        "hcp_key", "product_key", "date_key", "typed.*")
+    rejects = annotated.where(F.col(REASON).isNotNull())
     days = b.order_calendar(spark, d).select("date_key", F.col("full_date").alias("day"))
     loaded = (
         facts.join(b.order_windows(spark, d).select("hcp_key", "hcp_id"), "hcp_key")
         .join(b.product_codes(spark, d), "product_key").join(days, "date_key")
-        .select("hcp_id", "product_code", "day", "trx_count", "units", "gross_sales"))
-    return source, loaded
-
-
-def _totals_diff(source: DataFrame, loaded: DataFrame) -> DataFrame:
-    return quality.differing_totals(source, loaded, ["hcp_id", "product_code", "day"],
-                                    ["trx_count", "units", "gross_sales"])
+        .withColumn("product_code", product).select(*NATURAL_KEYS, *TOTALLED))
+    return quality.differing_totals(
+        text_measures(staged, RX_FEED, TOTALLED),
+        text_measures(rejects, RX_FEED, TOTALLED).unionByName(loaded), NATURAL_KEYS, TOTALLED)
 
 
 def source_vs_warehouse(spark: SparkSession, d: str) -> DataFrame:
-    return _totals_diff(*_source_and_warehouse(spark, d))
+    return _differing_totals(spark, d, F.col("product_code"))
 
 
 def source_vs_damaged_warehouse(spark: SparkSession, d: str) -> DataFrame:
     """The same audit over a warehouse whose one-script facts stand under another product."""
-    source, loaded = _source_and_warehouse(spark, d)
     moved = F.when(F.col("trx_count") <= 1, F.lit("MOVED")).otherwise(F.col("product_code"))
-    return _totals_diff(source, loaded.withColumn("product_code", moved))
+    return _differing_totals(spark, d, moved)
 
 
 QUERIES: dict[str, Query] = {
@@ -323,6 +351,7 @@ QUERIES: dict[str, Query] = {
     "reconcile": reconcile,
     "fk_orphans": fk_orphans,
     "null_and_range_checks": null_and_range_checks,
+    "row_condition_checks": row_condition_checks,
     "scd2_invariants": scd2_invariants,
     "uniqueness_checks": uniqueness_checks,
     "distribution_checks": distribution_checks,
