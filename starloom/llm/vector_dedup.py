@@ -34,7 +34,7 @@ THRESHOLD = 0.93
 TABLES, BITS, AHEAD = 24, 32, 16
 LIST, LONGEST, ROUNDS = 8, 64, 3
 AUDITED, RECALL, TRIES = 1000, 0.995, 3
-TILE = 1024
+TILE = 256
 EDGE = "a long, b long, sim double"
 NODE = ("label", "dim")
 
