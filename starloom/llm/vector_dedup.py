@@ -4,11 +4,14 @@ Equal vectors of a label are one node. The graph starts from random projections:
 are sorted by the signs of their projections and compared with the next few in that order. Then, in
 rounds, all neighbours of a node (also those that list it) are compared with each other and improve
 each other's lists. A node whose list is full of vectors within the threshold gets a list twice as
-long, up to ``LONGEST``. Edges within the threshold form components.
+long, up to ``LONGEST``. Edges within the threshold form components, also those that no list has room
+for: of what a comparison finds, as many are kept as tie the same vectors together. A list full of
+vectors within the threshold may still hide links; nodes with such lists are compared exactly, block by
+block, across any two components that lie near enough to each other to be linked.
 
 The result is audited: a bounded, documented number of vectors is compared with all of their label,
 and as long as too many of their links are not inside a component, further projections are added and
-the rounds repeated. Links are finally counted exactly inside each component, in tiles of a bounded
+the rounds repeated. If that does not help, the exact comparison takes in all vectors. Links are finally counted exactly inside each component, in tiles of a bounded
 number of vectors, so vectors with more links than any list holds are counted right, and no pair of
 a group is ever written out. All similarities are computed in double precision.
 
@@ -35,7 +38,7 @@ TABLES, BITS, AHEAD = 24, 32, 16
 LIST, LONGEST, ROUNDS = 8, 64, 3
 AUDITED, RECALL, TRIES = 1000, 0.995, 3
 TILE = 256
-EDGE = "a long, b long, sim double"
+EDGE = "a long, b long, sim double, tie boolean"
 NODE = ("label", "dim")
 
 
@@ -81,86 +84,137 @@ def _projected(seed: int, tables: int):
     return run
 
 
-def _next_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compares each row with the next ones of its (table, label, dim), also across batches."""
-    held = None
-    for batch in batches:
-        if held is not None:
-            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        new_from = 0 if held is None else held.num_rows
-        keys = [numbers(batch[k]) for k in ("table", "label", "dim")]
-        ids, n = numbers(batch["id"]), batch.num_rows
-        out = []
-        for dim in np.unique(keys[2]):
-            at = np.flatnonzero(keys[2] == dim)
-            rows = _unit(batch["vec"].take(pa.array(at)))
-            for step in range(1, AHEAD + 1):
-                same = (keys[0][at][step:] == keys[0][at][:-step]) & (
-                    keys[1][at][step:] == keys[1][at][:-step]) & (at[step:] >= new_from)
-                i = np.flatnonzero(same)
-                sims = np.einsum("ij,ij->i", rows[i], rows[i + step])
-                out.append((ids[at[i]], ids[at[i + step]], sims))
-        if out:
-            a, b, sim = (np.concatenate(x) for x in zip(*out, strict=True))
-            yield _best_edges(a, b, sim)
-        held = batch.slice(max(0, n - AHEAD))
-
-
-def _best_edges(a: np.ndarray, b: np.ndarray, sim: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(sim)], ["a", "b", "sim"])
-
-
-def first_edges(nodes: DataFrame, seed: int, tables: int = TABLES) -> DataFrame:
+def _next_in_order(threshold: float):
+    """Compares each row with the next ones of its (table, label, dim), also across batches.
+
+    Edges within the threshold are ties, but not those between rows that a chain of neighbours ties.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            new_from = 0 if held is None else held.num_rows
+            keys = [numbers(batch[k]) for k in ("table", "label", "dim")]
+            ids, n = numbers(batch["id"]), batch.num_rows
+            out = []
+            for dim in np.unique(keys[2]):
+                at = np.flatnonzero(keys[2] == dim)
+                rows = _unit(batch["vec"].take(pa.array(at)))
+                chain = np.zeros(len(at), np.int64)
+                for step in range(1, AHEAD + 1):
+                    same = (keys[0][at][step:] == keys[0][at][:-step]) & (
+                        keys[1][at][step:] == keys[1][at][:-step])
+                    if step > 1:
+                        same &= at[step:] >= new_from
+                    i = np.flatnonzero(same)
+                    sims = np.einsum("ij,ij->i", rows[i], rows[i + step])
+                    tie = sims >= threshold
+                    if step == 1:
+                        broken = np.ones(len(at), bool)
+                        broken[i[tie] + 1] = False
+                        chain = np.cumsum(broken)
+                        new = at[i + 1] >= new_from
+                        i, sims, tie = i[new], sims[new], tie[new]
+                    else:
+                        tie &= chain[i] != chain[i + step]
+                    out.append((ids[at[i]], ids[at[i + step]], sims, tie))
+            if out:
+                yield _edges(*(np.concatenate(x) for x in zip(*out, strict=True)))
+            held = batch.slice(max(0, n - AHEAD))
+    return run
+
+
+def _edges(a: np.ndarray, b: np.ndarray, sim: np.ndarray, tie: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (a, b, sim, tie)],
+                                      ["a", "b", "sim", "tie"])
+
+
+def first_edges(nodes: DataFrame, seed: int, threshold: float, tables: int = TABLES) -> DataFrame:
     order = ["table", "label", "dim", "code", "id"]
     return (
         nodes.select("label", "dim", "id", "vec")
         .mapInArrow(_projected(seed, tables),
                     "table int, label int, dim int, code long, id long, vec array<float>")
         .repartitionByRange(*order).sortWithinPartitions(*order)
-        .mapInArrow(_next_in_order, EDGE)
+        .mapInArrow(_next_in_order(threshold), EDGE)
     )
 
 
 # ------------------------------------------------------------------ NN-descent
-def nearest(edges: DataFrame, lists: DataFrame) -> DataFrame:
-    """Each node's nearest: both directions of ``edges``, cut to the length of the node's list."""
-    both = edges.union(edges.select("b", "a", "sim")).where("a <> b").groupBy("a", "b").agg(
-        F.max("sim").alias("sim"))
+def nearest(edges: DataFrame, lists: DataFrame, threshold: float) -> DataFrame:
+    """Each node's nearest: both directions of ``edges``, cut to the length of the node's list.
+
+    ``listed`` tells the rows of the lists; ties and what was listed within the threshold stay beside
+    them once, from the smaller id.
+    """
+    both = edges.select("a", "b", "sim", "tie").union(edges.select("b", "a", "sim", "tie")).where(
+        "a <> b").groupBy("a", "b").agg(F.max("sim").alias("sim"), F.max("tie").alias("tie"))
     place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("sim"), "b"))
-    ranked = both.withColumn("place", place).where(F.col("place") <= LONGEST)
-    return ranked.join(lists.hint("rebalance"), ranked.a == lists.id).where(
-        F.col("place") <= F.col("k")).select("a", "b", "sim")
-
-
-def _local_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs among a node's neighbours that would improve one of the two lists."""
-    for run in groups(batches, ["u"]):
-        if run.num_rows < 2:
+    ranked = both.withColumn("place", place)
+    ranked = ranked.where((F.col("place") <= LONGEST) | (F.col("tie") & (F.col("a") < F.col("b"))))
+    listed = F.col("place") <= F.col("k")
+    return ranked.join(lists.hint("rebalance"), ranked.a == lists.id).select(
+        "a", "b", "sim", (F.col("tie") | (listed & (F.col("sim") >= threshold))).alias("tie"),
+        listed.alias("listed")).where(F.col("listed") | (F.col("tie") & (F.col("a") < F.col("b"))))
+
+
+def _forest(hit: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that tie together what the symmetric matrix ``hit`` does; trees grow from ``start`` on."""
+    left, pairs = hit.any(axis=1), []
+    for root in np.roll(np.arange(len(hit)), -start):
+        if not left[root]:
             continue
-        ids, worst = numbers(run["v"]), numbers(run["worst"])
-        rows = _unit(run["vec"])
-        sims = rows @ rows.T
-        i, j = np.triu_indices(len(ids), 1)
-        better = sims[i, j] > np.minimum(worst[i], worst[j])
-        i, j = i[better], j[better]
-        if len(i):
-            yield _best_edges(ids[i], ids[j], sims[i, j])
+        left[root], front = False, np.array([root])
+        while len(front):
+            new = np.flatnonzero(hit[front].any(axis=0) & left)
+            pairs.append((front[hit[np.ix_(front, new)].argmax(axis=0)], new))
+            left[new], front = False, new
+    if not pairs:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    i, j = (np.concatenate(x) for x in zip(*pairs, strict=True))
+    return i, j
+
+
+def _local_join(threshold: float):
+    """All pairs among a node's neighbours that would improve one of the two lists, and ties.
+
+    Neighbours within the threshold of the node itself are tied already.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for near in groups(batches, ["u"]):
+            if near.num_rows < 2:
+                continue
+            ids, worst = numbers(near["v"]), numbers(near["worst"])
+            rows, tied = _unit(near["vec"]), numbers(near["sim"]) >= threshold
+            sims = rows @ rows.T
+            i, j = np.triu_indices(len(ids), 1)
+            better = sims[i, j] > np.minimum(worst[i], worst[j])
+            i, j = i[better], j[better]
+            if len(i):
+                yield _edges(ids[i], ids[j], sims[i, j], np.zeros(len(i), bool))
+            hit = (sims >= threshold) & ~(tied[:, None] & tied[None, :])
+            np.fill_diagonal(hit, False)
+            if hit.any():
+                i, j = _forest(hit, int(near["u"][0].as_py() % len(ids)))
+                yield _edges(ids[i], ids[j], sims[i, j], np.ones(len(i), bool))
+    return run
 
 
-def improved(graph: DataFrame, nodes: DataFrame, lists: DataFrame) -> DataFrame:
+def improved(graph: DataFrame, nodes: DataFrame, lists: DataFrame, threshold: float) -> DataFrame:
     """Edges found through neighbours of neighbours."""
     listing = Window.partitionBy("u").orderBy(F.desc("sim"), "v")
     back = (graph.select(F.col("b").alias("u"), F.col("a").alias("v"), "sim")
             .withColumn("place", F.row_number().over(listing)).where(F.col("place") <= LONGEST))
-    near = graph.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
-        back.select("u", "v")).distinct()
+    near = graph.select(F.col("a").alias("u"), F.col("b").alias("v"), "sim").union(
+        back.select("u", "v", "sim")).groupBy("u", "v").agg(F.max("sim").alias("sim"))
     worst = graph.groupBy("a").agg(F.min("sim").alias("least"), F.count(F.lit(1)).alias("n"))
     worst = lists.join(worst, lists.id == worst.a, "left").select(
         F.col("id").alias("v"), F.when(F.col("n") >= F.col("k"), F.col("least")).otherwise(-2.0)
         .alias("worst"))
     known = nodes.select(F.col("id").alias("v"), "vec").join(worst, "v")
     joined = near.join(known.hint("rebalance"), "v").repartition("u").sortWithinPartitions("u")
-    return joined.select("u", "v", "worst", "vec").mapInArrow(_local_join, EDGE)
+    return joined.select("u", "v", "sim", "worst", "vec").mapInArrow(_local_join(threshold), EDGE)
 
 
 def longer_lists(graph: DataFrame, lists: DataFrame, threshold: float) -> DataFrame:
@@ -172,6 +226,104 @@ def longer_lists(graph: DataFrame, lists: DataFrame, threshold: float) -> DataFr
         .cast("int").alias("k"))
 
 
+def full_lists(graph: DataFrame, threshold: float) -> DataFrame:
+    """(id) of the nodes whose lists hold vectors within the threshold only, so may hide more."""
+    return graph.groupBy("a").agg(F.min("sim").alias("least"), F.count(F.lit(1)).alias("n")).where(
+        (F.col("least") >= threshold) & (F.col("n") >= LIST)).select(F.col("a").alias("id"))
+
+
+# ------------------------------------------------------------ exact comparison
+def _from_centre(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        dims = numbers(batch["dim"])
+        for dim in np.unique(dims):
+            part = batch.filter(pa.array(dims == dim))
+            cos = np.einsum("ij,ij->i", _unit(part["vec"]), _unit(part["centre"]))
+            yield pa.RecordBatch.from_arrays([part["component_id"], pa.array(cos)],
+                                             ["component_id", "cos"])
+
+
+def _balls_in_reach(threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in groups(batches, ["label", "dim", "i", "j"]):
+            block, i, j = numbers(tile["block"]), tile["i"][0].as_py(), tile["j"][0].as_py()
+            ids, size, blocks = (numbers(tile[k]) for k in ("component_id", "size", "blocks"))
+            rows = _unit(tile["centre"])
+            radius = np.arccos(np.clip(numbers(tile["cos"]), -1, 1))
+            radius[size == 1] = 0
+            left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            apart = np.arccos(np.clip(rows[left] @ rows[right].T, -1, 1))
+            reach = radius[left][:, None] + radius[right][None, :] + np.arccos(threshold) + 1e-6
+            near = apart <= reach
+            if i == j:
+                near = np.triu(near, 1)
+            x, y = np.nonzero(near)
+            x, y = left[x], right[y]
+            if len(x):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v) for v in (ids[x], ids[y], blocks[x], blocks[y])],
+                    ["x", "y", "x_blocks", "y_blocks"])
+    return run
+
+
+def _first_tie(threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in groups(batches, ["x", "y", "i", "j"]):
+            ids, side, rows = numbers(tile["id"]), numbers(tile["side"]), _unit(tile["vec"])
+            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            hit = np.argwhere(rows[left] @ rows[right].T >= threshold)[:1]
+            if len(hit):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[left[hit[:, 0]]]), pa.array(ids[right[hit[:, 1]]])], ["a", "b"])
+    return run
+
+
+def missing_ties(nodes: DataFrame, tied: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) that tie any two components of which some of ``nodes`` are linked; nothing is left out.
+
+    Two components can be linked only if their balls, each about the member with the smallest id, come
+    as near as the threshold; of such pairs all members are compared, in tiles.
+    """
+    members = pin(nodes.join(tied, "id", "left").select(
+        "id", "label", "dim", "vec", F.coalesce("component_id", "id").alias("component_id")))
+    centres = members.groupBy("component_id").agg(
+        F.min_by(F.struct("label", "dim", F.col("vec").alias("centre")), "id").alias("c"),
+        F.count(F.lit(1)).alias("size")).select("component_id", "size", "c.*")
+    centres = pin(centres.withColumn("blocks", F.ceil(F.col("size") / TILE).cast("int")))
+    least = members.join(centres.select("component_id", "centre").hint("rebalance"), "component_id").select(
+        "component_id", "dim", "vec", "centre").mapInArrow(
+        _from_centre, "component_id long, cos double").groupBy("component_id").agg(
+        F.min("cos").alias("cos"))
+    groups_of = centres.groupBy(*NODE).agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("parts"))
+    both = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda other: F.struct(
+        F.least("block", other).alias("i"), F.greatest("block", other).alias("j")))
+    key = [*NODE, "i", "j"]
+    balls = (centres.join(least, "component_id").join(groups_of.hint("rebalance"), list(NODE))
+             .withColumn("block", F.pmod(F.xxhash64("component_id"), "parts").cast("int"))
+             .select("component_id", "size", "blocks", "centre", "cos", *NODE, "block", F.inline(both)))
+    pairs = pin(balls.repartition(*key).sortWithinPartitions(*key).mapInArrow(
+        _balls_in_reach(threshold), "x long, y long, x_blocks int, y_blocks int"))
+
+    def side(number: int, own: str, other: str, own_block: str, other_block: str) -> DataFrame:
+        joined = members.join(pairs.hint("rebalance"), members.component_id == pairs[own])
+        return joined.withColumn(own_block, F.pmod(F.xxhash64("id"), f"{own}_blocks").cast("int")).withColumn(
+            other_block, F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1))).select(
+            "x", "y", "i", "j", F.lit(number).alias("side"), "id", "vec")
+
+    tile = ["x", "y", "i", "j"]
+    rows = side(0, "x", "y", "i", "j").union(side(1, "y", "x", "j", "i"))
+    return rows.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(
+        _first_tie(threshold), "a long, b long")
+
+
+def with_missing(nodes: DataFrame, tied: DataFrame, threshold: float) -> DataFrame:
+    """``tied`` after the exact comparison of ``nodes``."""
+    more = pin(missing_ties(nodes, tied, threshold))
+    if more.isEmpty():
+        return tied
+    return pin(components(more.union(tied.select("id", "component_id"))))
+
+
 # --------------------------------------------------------------- audit, counts
 def audit(nodes: DataFrame, tied: DataFrame, threshold: float) -> float:
     """The share of true links of ``AUDITED`` nodes (smallest hash) that lie inside a component."""
@@ -247,19 +399,24 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
                           F.col("label").cast("int").alias("label"))
     nodes = pin(nodes_of(rows))
     lists = nodes.select("id", F.lit(LIST).alias("k"))
-    links, graph = None, None
+    edges = None
     for attempt in range(TRIES):
-        found = first_edges(nodes, attempt)
-        graph = pin(nearest(found if graph is None else found.union(graph), lists))
+        found = first_edges(nodes, attempt, threshold)
+        edges = pin(nearest(found if edges is None else found.union(edges.drop("listed")), lists,
+                            threshold))
         for _ in range(ROUNDS):
-            new = improved(graph, nodes, lists)
-            graph = pin(nearest(graph.union(new), lists))
+            graph = edges.where("listed").drop("listed")
+            new = improved(graph, nodes, lists, threshold)
+            edges = pin(nearest(edges.drop("listed").union(new), lists, threshold))
+            graph = edges.where("listed").drop("listed")
             lists = pin(longer_lists(graph, lists, threshold))
-        near = graph.where(F.col("sim") >= threshold).select("a", "b")
-        links = near if links is None else links.union(near)
-        tied = pin(components(links))
+        tied = pin(components(edges.where("tie").select("a", "b")))
+        tied = with_missing(nodes.join(full_lists(graph, threshold).hint("rebalance"), "id"), tied,
+                            threshold)
         if audit(nodes, tied, threshold) >= RECALL:
             break
+    else:
+        tied = with_missing(nodes, tied, threshold)
     counts = count_links(nodes, tied, threshold)
     named = nodes.join(tied, "id", "left").join(counts, "id", "left").select(
         F.col("label").alias("l"), F.col("vec").alias("v"),

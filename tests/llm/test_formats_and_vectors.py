@@ -130,3 +130,31 @@ def test_vectors_match_brute_force(spark):
 def test_vectors_without_rows(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert vector_dedup.near_duplicates(none).collect() == []
+
+
+def tight_groups(n, inside=0.99, across=0.95):
+    """Two groups of ``n`` vectors with these cosines inside and between them."""
+    eye = np.eye(2 * n + 3)
+    return [np.sqrt(across) * eye[0] + np.sqrt(inside - across) * eye[1 + g]
+            + np.sqrt(1 - inside) * eye[3 + g * n + k] for g in range(2) for k in range(n)]
+
+
+VECTORS = "vec_id long, embedding array<float>, label int"
+
+
+def test_groups_that_fill_all_lists_are_tied(spark):
+    rows = [(k, [float(x) for x in v], 0) for k, v in enumerate(tight_groups(100))]
+    got = vector_dedup.near_duplicates(spark.createDataFrame(rows, VECTORS)).collect()
+    assert {(r["n_links"], r["component_id"]) for r in got} == {(199, 0)}
+
+
+def test_exact_comparison_finds_every_tie_of_components(spark):
+    rows = [(k, [float(x) for x in v], 0) for k, v in enumerate(tight_groups(300))]
+    rows += [(1000 + k, [float(x) for x in np.eye(603)[k]], 0) for k in range(3, 300)]
+    rows += [(2000, rows[0][1], 1), (2001, [1.0, 0.0], 0), (2002, [1.0, 0.1], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, vec array<float>, label int")
+    nodes = vector_dedup.nodes_of(df)
+    tied = spark.createDataFrame([(k, 300 * (k // 300)) for k in range(600)], "id long, component_id long")
+    found = vector_dedup.with_missing(nodes, tied, 0.93).collect()
+    assert {(r["id"], r["component_id"]) for r in found} == {
+        *((k, 0) for k in range(600)), (2001, 2001), (2002, 2001)}
