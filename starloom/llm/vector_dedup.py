@@ -1,7 +1,9 @@
 """Near-duplicate vectors: a neighbour graph by NN-descent, of which threshold edges are kept.
 
 Equal vectors of a label are one node. The graph starts from random projections: vectors of a label
-are sorted by the signs of their projections and compared with the next few in that order. Then, in
+are sorted by the signs of their projections and compared with the next few in that order, in as many
+projections as leave a lone pair at the threshold unseen with probability ``UNSEEN`` at most, so in
+more for larger labels. Then, in
 rounds, all neighbours of a node (also those that list it) are compared with each other and improve
 each other's lists. A node whose list is full of vectors within the threshold gets a list twice as
 long, up to ``LONGEST``. Edges within the threshold form components, also those that no list has room
@@ -9,8 +11,10 @@ for: of what a comparison finds, as many are kept as tie the same vectors togeth
 vectors within the threshold may still hide links; nodes with such lists are compared exactly, block by
 block, across any two components that lie near enough to each other to be linked.
 
-The result is audited: a bounded, documented number of vectors is compared with all of their label,
-and as long as too many of their links are not inside a component, further projections are added and
+The result is audited: a bounded, documented number of vectors, equally many from components of 1, of 2
+or 3, of 4 to 7 and of more nodes, is compared with all of their label. Each vector with links counts
+alike, whatever their number; as long as in one of these classes too many links are not inside a
+component, further projections are added and
 the rounds repeated. If that does not help, the exact comparison takes in all vectors. Links are finally counted exactly inside each component, in tiles of a bounded
 number of vectors, so vectors with more links than any list holds are counted right, and no pair of
 a group is ever written out. All similarities are computed in double precision.
@@ -23,9 +27,11 @@ and kept is true. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,7 +42,8 @@ from starloom.session import pin
 THRESHOLD = 0.93
 TABLES, BITS, AHEAD = 24, 32, 16
 LIST, LONGEST, ROUNDS = 8, 64, 3
-AUDITED, RECALL, TRIES = 1000, 0.995, 3
+UNSEEN = 0.001
+AUDITED, CLASSES, RECALL, TRIES = 1000, 4, 0.995, 3
 TILE = 256
 EDGE = "a long, b long, sim double, tie boolean"
 NODE = ("label", "dim")
@@ -63,16 +70,31 @@ def nodes_of(vectors: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------- first neighbours
-def _projected(seed: int, tables: int):
+def tables_for(size: int, threshold: float) -> int:
+    """Projections for a label of ``size`` nodes.
+
+    Two vectors get the same sign with probability 1 - angle / pi. Those that agree in the first
+    log2(size / AHEAD) signs share them with about ``AHEAD`` nodes, so are compared.
+    """
+    if size <= AHEAD:
+        return TABLES
+    met = (1 - math.acos(threshold) / math.pi) ** math.log2(size / AHEAD)
+    return max(TABLES, math.ceil(math.log(UNSEEN) / math.log1p(-met)))
+
+
+def _projected(seed: int, large: dict[tuple[int, int], int]):
+    """Rows of each projection; ``large`` has the numbers of projections other than ``TABLES``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
         for batch in batches:
-            dims = numbers(batch["dim"])
-            for dim in np.unique(dims):
-                part = batch.filter(pa.array(dims == dim))
-                if dim not in planes:
-                    draw = np.random.default_rng([seed, int(dim)])
-                    planes[dim] = draw.standard_normal((tables, int(dim), BITS))
+            dims, labels = numbers(batch["dim"]), numbers(batch["label"])
+            for dim, tables in {(int(d), large.get((int(n), int(d)), TABLES))
+                                for n, d in set(zip(labels, dims, strict=True))}:
+                those = [n for n in np.unique(labels) if large.get((int(n), dim), TABLES) == tables]
+                part = batch.filter(pa.array((dims == dim) & np.isin(labels, those)))
+                if len(planes.get(dim, ())) < tables:  # the first ones are the same for any number
+                    draw = np.random.default_rng([seed, dim])
+                    planes[dim] = draw.standard_normal((tables, dim, BITS))
                 rows = _unit(part["vec"])
                 for t in range(tables):
                     signs = rows @ planes[dim][t] > 0
@@ -130,11 +152,21 @@ def _edges(a: np.ndarray, b: np.ndarray, sim: np.ndarray, tie: np.ndarray) -> pa
                                       ["a", "b", "sim", "tie"])
 
 
-def first_edges(nodes: DataFrame, seed: int, threshold: float, tables: int = TABLES) -> DataFrame:
+def large_labels(nodes: DataFrame, threshold: float) -> dict[tuple[int, int], int]:
+    """The number of projections by (label, dim), where it is more than ``TABLES``: few large labels."""
+    least = AHEAD
+    while tables_for(least, threshold) == TABLES:
+        least *= 2
+    sizes = nodes.groupBy(*NODE).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > least // 2)
+    return {(r["label"], r["dim"]): tables_for(r["n"], threshold) for r in sizes.collect()}
+
+
+def first_edges(nodes: DataFrame, seed: int, threshold: float,
+                large: dict[tuple[int, int], int]) -> DataFrame:
     order = ["table", "label", "dim", "code", "id"]
     return (
         nodes.select("label", "dim", "id", "vec")
-        .mapInArrow(_projected(seed, tables),
+        .mapInArrow(_projected(seed, large),
                     "table int, label int, dim int, code long, id long, vec array<float>")
         .repartitionByRange(*order).sortWithinPartitions(*order)
         .mapInArrow(_next_in_order(threshold), EDGE)
@@ -326,16 +358,24 @@ def with_missing(nodes: DataFrame, tied: DataFrame, threshold: float) -> DataFra
 
 # --------------------------------------------------------------- audit, counts
 def audit(nodes: DataFrame, tied: DataFrame, threshold: float) -> float:
-    """The share of true links of ``AUDITED`` nodes (smallest hash) that lie inside a component."""
+    """The mean share of an audited node's true links that lie inside its component.
+
+    Nodes are audited by the size of their component, equally many (smallest hashes) for each of
+    ``CLASSES``, and the least of these classes' shares counts.
+    """
     named = nodes.join(tied, "id", "left").select(
         "id", "label", "dim", "vec", F.coalesce("component_id", "id").alias("component_id"))
-    asked = named.orderBy(F.xxhash64("id"), "id").limit(AUDITED).toPandas()
-    asked = {key: (part["component_id"].to_numpy(), _unit(pa.array(list(part["vec"]))),
-                   part["id"].to_numpy())
+    size = tied.groupBy("component_id").agg(F.count(F.lit(1)).alias("size"))
+    grade = F.least(F.floor(F.log2(F.coalesce("size", F.lit(1)))), F.lit(CLASSES - 1)).cast("int")
+    named = pin(named.join(size.hint("rebalance"), "component_id", "left").withColumn("grade", grade))
+    asked = pd.concat([named.where(F.col("grade") == k).orderBy(F.xxhash64("id"), "id").limit(
+        AUDITED // CLASSES).toPandas() for k in range(CLASSES)])
+    grades = dict(zip(asked["id"].tolist(), asked["grade"].tolist(), strict=True))
+    asked = {key: (part["component_id"].to_numpy(np.int64), _unit(pa.array(list(part["vec"]))),
+                   part["id"].to_numpy(np.int64))
              for key, part in asked.groupby(["label", "dim"])}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        links = found = 0
         for batch in batches:
             label, dim = numbers(batch["label"]), numbers(batch["dim"])
             for key, (component, rows, ids) in asked.items():
@@ -343,14 +383,17 @@ def audit(nodes: DataFrame, tied: DataFrame, threshold: float) -> float:
                 if part.num_rows:
                     hit = rows @ _unit(part["vec"]).T >= threshold
                     hit &= ids[:, None] != numbers(part["id"])[None, :]
-                    links += int(hit.sum())
-                    found += int((hit & (component[:, None]
-                                         == numbers(part["component_id"])[None, :])).sum())
-        yield pa.RecordBatch.from_arrays([pa.array([links]), pa.array([found])], ["links", "found"])
+                    same = component[:, None] == numbers(part["component_id"])[None, :]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x) for x in (ids, hit.sum(axis=1), (hit & same).sum(axis=1))],
+                        ["id", "links", "found"])
 
-    links, found = named.mapInArrow(run, "links long, found long").agg(
-        F.sum("links"), F.sum("found")).first()
-    return found / links if links else 1.0
+    shares: dict[int, list[float]] = {}
+    for r in named.mapInArrow(run, "id long, links long, found long").groupBy("id").agg(
+            F.sum("links").alias("links"), F.sum("found").alias("found")).where(
+            "links > 0").collect():
+        shares.setdefault(grades[r["id"]], []).append(r["found"] / r["links"])
+    return min((float(np.mean(x)) for x in shares.values()), default=1.0)
 
 
 def _count_tile(threshold: float):
@@ -399,9 +442,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
                           F.col("label").cast("int").alias("label"))
     nodes = pin(nodes_of(rows))
     lists = nodes.select("id", F.lit(LIST).alias("k"))
+    large = large_labels(nodes, threshold)
     edges = None
     for attempt in range(TRIES):
-        found = first_edges(nodes, attempt, threshold)
+        found = first_edges(nodes, attempt, threshold, large)
         edges = pin(nearest(found if edges is None else found.union(edges.drop("listed")), lists,
                             threshold))
         for _ in range(ROUNDS):

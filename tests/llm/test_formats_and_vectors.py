@@ -158,3 +158,39 @@ def test_exact_comparison_finds_every_tie_of_components(spark):
     found = vector_dedup.with_missing(nodes, tied, 0.93).collect()
     assert {(r["id"], r["component_id"]) for r in found} == {
         *((k, 0) for k in range(600)), (2001, 2001), (2002, 2001)}
+
+
+def test_audit_sees_lost_pairs_beside_a_hot_group(spark):
+    draw = np.random.default_rng(2)
+    hot = draw.standard_normal(32)
+    rows = [hot + 0.01 * draw.standard_normal(32) for _ in range(400)]
+    for _ in range(30):
+        one = draw.standard_normal(32)
+        rows += [one, one + 0.05 * draw.standard_normal(32)]
+    nodes = vector_dedup.nodes_of(spark.createDataFrame(
+        [(k, [float(x) for x in v], 0) for k, v in enumerate(rows)],
+        "vec_id long, vec array<float>, label int"))
+    ties = [(k, 0) for k in range(400)]
+    pairs = [(k, k - k % 2) for k in range(400, 460)]
+    schema = "id long, component_id long"
+    assert vector_dedup.audit(nodes, spark.createDataFrame(ties, schema), 0.93) < 0.9
+    assert vector_dedup.audit(nodes, spark.createDataFrame(ties + pairs[:50], schema), 0.93) < 0.9
+    assert vector_dedup.audit(nodes, spark.createDataFrame(ties + pairs, schema), 0.93) == 1
+
+
+@pytest.mark.parametrize("size", [5, 1000, 10**5, 10**6, 10**7])
+def test_projections_grow_with_the_label(size):
+    tables = vector_dedup.tables_for(size, 0.93)
+    same = 1 - np.arccos(0.93) / np.pi
+    met = same ** max(0.0, np.log2(size / vector_dedup.AHEAD))
+    assert (1 - met) ** tables <= 0.001 and tables >= 24
+
+
+def test_large_labels_get_rows_in_all_their_projections(spark):
+    rows = [(k, [float(x) for x in np.eye(8)[k]], k % 2) for k in range(8)]
+    nodes = vector_dedup.nodes_of(spark.createDataFrame(
+        rows, "vec_id long, vec array<float>, label int")).select("label", "dim", "id", "vec")
+    got = nodes.mapInArrow(vector_dedup._projected(0, {(1, 8): 30}),
+                           "table int, label int, dim int, code long, id long, vec array<float>")
+    assert {(r["label"], r["n"]) for r in got.groupBy("label").agg({"table": "max"}).toDF(
+        "label", "n").collect()} == {(0, 23), (1, 29)}
