@@ -19,6 +19,7 @@ the order of their texts' hashes. Other columns are ignored.
 from __future__ import annotations
 
 import os
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -34,13 +35,16 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from starloom.llm.common import by_text, portions, table, text_bytes
-from starloom.llm.wordhash import LOWER
 from starloom.session import pin, shared_folder
 
 END_ID = 1
 SEQUENCE, ROWS = 1024, 1024
 KNOWN_WORDS, PORTION = 1_000_000, 16_000_000
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task per core already
+#: Letters that composing and lower-casing turn into a letter and a mark, which keeps a full stop with it.
+MARKED = "".join(c for c in map(chr, range(128, 0x30000)) if unicodedata.category(c)[0] == "L"
+                 and unicodedata.category(unicodedata.normalize("NFC", c).lower()[-1])[0] != "L")
+FULL_STOP = rf"([^\P{{L}}{MARKED}])([.,]+)(\s|$)"
 _encoders: dict[str, Encoder] = {}
 
 
@@ -76,12 +80,13 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
-        # A-Z are lower-cased, and full stops and commas after a letter set apart, as the tokenizer
-        # does later anyway; fewer distinct pieces are left to encode.
+        # Full stops and commas after a letter are set apart, as the tokenizer does later anyway; fewer
+        # distinct pieces are left to encode. Case stays: special tokens are matched before it goes, and
+        # marks are composed before it goes.
         data, offsets = text_bytes(texts)
         plain = pa.LargeStringArray.from_buffers(
-            len(texts), pa.py_buffer(offsets.copy()), pa.py_buffer(LOWER[data]))
-        plain = pc.replace_substring_regex(plain, r"(\p{L})([.,]+)(\s|$)", r"\1 \2\3")
+            len(texts), pa.py_buffer(offsets.copy()), pa.py_buffer(data))
+        plain = pc.replace_substring_regex(plain, FULL_STOP, r"\1 \2\3")
         split = pc.split_pattern(pc.replace_substring(plain, "\n", " "), " ")
         words = split.flatten().dictionary_encode()
         n_words = np.diff(split.offsets.to_numpy())

@@ -37,6 +37,19 @@ def test_token_files_hold_the_tokenizer_ids(documents, tmp_path, repeat):
         start += len(ids)
 
 
+def test_case_is_left_to_the_tokenizer(documents, tmp_path):
+    plain = Tokenizer.from_file(TOKENIZER)
+    texts = ["<|ENDOFTEXT|>", "<|EndOfText|> x", "A<|endoftext|>B", "H\u0331", "T\u0308 J\u030c.", "W\u030aA",
+             "H\u0331, The THE the.", "\u03a3\u03a3 \u0130X \u1e9eA", "IT'S It's A.B, C",
+             "\u0130. x", "\u0958, x", "\ufb1d. x"]
+    folder = f"file://{tmp_path}/{uuid.uuid4().hex}"
+    files = token_files.write(documents(list(enumerate(texts))), folder, TOKENIZER)
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in token_files.read(files, folder).collect()}
+    for k, text in enumerate(texts):
+        ids = [*plain.encode(text, add_special_tokens=False).ids, 1]
+        assert got[k] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), text
+
+
 def test_sequences_are_equal_in_length_and_read_at_random(documents, tmp_path):
     folder = f"file://{tmp_path}/{uuid.uuid4().hex}"
     files = token_files.write(documents([(1, "a b c " * 50), (2, "d")]).coalesce(1), folder, TOKENIZER,
