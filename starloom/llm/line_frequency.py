@@ -5,10 +5,12 @@ with the host, which is ``source``. Lines that stand in more than ``MOST_DOCUMEN
 of a host are boilerplate; exact copies of a text count once. A document of whose characters in
 lines less than ``LEAST_LEFT`` percent would be left without them is depleted and not kept, nor is
 one that fails the base rules (fewer than 50 words, or more than half of them in repeated windows).
+``keep_good`` gives the documents that are kept, with the boilerplate taken out; ``judge`` the verdicts.
 
 Null and empty texts have no words and fail the base rules. A null source is a host of its own.
 Repeated rows (same doc_id, source and text) get the same verdict and count as one document. Other
-columns are ignored.
+columns are ignored by ``judge`` and passed through by the others; there a null text stays null and a
+column ``n_chars`` is brought up to date.
 """
 
 from __future__ import annotations
@@ -65,12 +67,15 @@ def base_measures(docs: DataFrame) -> DataFrame:
 
 
 def _host_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``host_lines``: (key of host and line, characters) of each line that is not blank."""
+    """``docs`` with ``host_lines``: (key of host and line, characters, place) of each line not blank."""
     plain = F.regexp_replace(F.lower("text"), "[0-9]+", "0")
-    lines = F.filter(F.transform(F.split(plain, "\n"), lambda x: F.btrim(x, F.lit(SPACES))),
-                     lambda x: F.length(x) > 0)
+    lines = F.filter(
+        F.transform(F.split(plain, "\n"), lambda x, i: F.struct(
+            F.btrim(x, F.lit(SPACES)).alias("line"), i.alias("place"))),
+        lambda x: F.length(x["line"]) > 0)
     return docs.select(*KEY, F.transform(lines, lambda x: F.struct(
-        F.xxhash64("source", x).alias("line_key"), F.length(x).cast("long").alias("chars")))
+        F.xxhash64("source", x["line"]).alias("line_key"),
+        F.length(x["line"]).cast("long").alias("chars"), x["place"].alias("place")))
         .alias("host_lines"))
 
 
@@ -82,28 +87,72 @@ def frequent_lines(docs: DataFrame, most: int) -> DataFrame:
         F.col("n") > most).select("line_key")
 
 
-def judge(docs: DataFrame, most: int = MOST_DOCUMENTS, least_left: int = LEAST_LEFT) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, source, text): counts, ``base_failed`` and ``kept``."""
-    rows = docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text")).withColumn(
+def _rows(docs: DataFrame) -> DataFrame:
+    """``docs`` as ``row``, with the columns the rules read."""
+    return docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"),
+                       F.struct(*docs.columns).alias("row")).withColumn(
         "text_hash", F.xxhash64("text"))
-    frequent = pin(frequent_lines(rows, most))
+
+
+def _with_lost(rows: DataFrame, docs: DataFrame, most: int) -> DataFrame:
+    """``rows`` with ``lost`` and ``gone``: characters and places of the frequent lines, null without any.
+
+    ``docs`` has the text of each of the ``rows``.
+    """
+    frequent = pin(frequent_lines(docs, most))
     lost = (
-        _host_lines(rows).select(*KEY, F.posexplode("host_lines"))
-        .select(*KEY, "pos", "col.line_key", "col.chars").join(frequent, "line_key")
-        .groupBy(*KEY, "pos").agg(F.max("chars").alias("chars"))
-        .groupBy(*KEY).agg(F.sum("chars").alias("lost"))
+        _host_lines(docs).select(*KEY, F.explode("host_lines"))
+        .select(*KEY, "col.place", "col.line_key", "col.chars").join(frequent, "line_key")
+        .groupBy(*KEY, "place").agg(F.max("chars").alias("chars"))
+        .groupBy(*KEY).agg(F.sum("chars").alias("lost"), F.collect_list("place").alias("gone"))
         .withColumnsRenamed({c: f"{c}_" for c in KEY}))
-    plain_chars = F.aggregate(_line_lengths(F.col("text")), F.lit(0).cast("long"),
-                              lambda total, n: total + n)
-    base = base_measures(rows.withColumn("line_chars", plain_chars))
     same = F.lit(True)
     for c in KEY:
         same = same & F.col(c).eqNullSafe(F.col(f"{c}_"))
+    return rows.join(lost, same, "left")
+
+
+def _judged(docs: DataFrame, most: int, least_left: int) -> DataFrame:
+    """``_rows`` with counts, ``base_failed``, ``gone`` and ``kept``."""
+    rows = _rows(docs)
+    plain_chars = F.aggregate(_line_lengths(F.col("text")), F.lit(0).cast("long"),
+                              lambda total, n: total + n)
+    base = base_measures(rows.withColumn("line_chars", plain_chars))
     left = F.col("line_chars") - F.coalesce("lost", F.lit(0))
     depleted = 100 * left < least_left * F.col("line_chars")
-    return base.join(lost, same, "left").select(
+    return _with_lost(base, rows, most).withColumn("kept", ~F.col("base_failed") & ~depleted)
+
+
+def _without_lost(judged: DataFrame, docs: DataFrame) -> DataFrame:
+    """The ``row`` of each row with the lines at ``gone`` taken out of its text."""
+    lines = F.split("row.text", "\n")
+    stay = F.filter(lines, lambda _, i: ~F.array_contains("gone", i))
+    text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(stay, "\n"))
+    new = {"text": text}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.col("gone").isNull(), F.col("row.n_chars")).otherwise(
+            F.length(text).cast(docs.schema["n_chars"].dataType))
+    return judged.select(*(new.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
+
+
+def judge(docs: DataFrame, most: int = MOST_DOCUMENTS, least_left: int = LEAST_LEFT) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, source, text): counts, ``base_failed`` and ``kept``."""
+    return _judged(docs.select("doc_id", "source", "text"), most, least_left).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", (~F.col("base_failed") & ~depleted).alias("kept"))
+        "base_failed", "kept")
+
+
+def drop_frequent_lines(docs: DataFrame, most: int = MOST_DOCUMENTS) -> DataFrame:
+    """All rows of ``docs`` with the columns they came with, frequent lines taken out of ``text``."""
+    rows = _rows(docs)
+    return _without_lost(_with_lost(rows, rows, most), docs)
+
+
+def keep_good(docs: DataFrame, most: int = MOST_DOCUMENTS, least_left: int = LEAST_LEFT) -> DataFrame:
+    """The rows of ``docs`` that are kept, frequent lines taken out of ``text``."""
+    # A filter on a plain column would be rewritten into the rules and pushed down, again and again.
+    judged = _judged(docs, most, least_left).withColumn("good", F.explode(F.array("kept")))
+    return _without_lost(judged.where("good"), docs)
 
 
 def _line_lengths(text: Column) -> Column:

@@ -147,6 +147,25 @@ def test_line_frequency_rejects_depleted_documents(documents):
     assert not any(got[k] for k in range(6)) and got[50]
 
 
+def test_line_frequency_takes_frequent_lines_out(documents):
+    own = lambda k: " ".join(f"{chr(97 + k)}{'x' * j}" for j in range(60))
+    rows = [(k, f"Menu {k}\n\n{own(k)}\n  menu 77 \nend {'abcde'[k]}", "en", "a") for k in range(5)]
+    rows += [(9, f"Menu 9\n{own(9)}", "en", "b"), (None, f"{own(7)}\nMENU 1", "en", "a"), (11, None, "en", "a"),
+             (12, "menu 5\nmenu 6", "en", "a"), (0, rows[0][1], "en", "a")]
+    df = documents(rows)
+    want = {k: f"\n{own(k)}\nend {'abcde'[k]}" for k in range(5)}
+    want |= {9: f"Menu 9\n{own(9)}", None: own(7), 11: None, 12: ""}
+    got = line_frequency.drop_frequent_lines(df, most=3)
+    assert got.columns == df.columns and got.count() == len(rows)
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == want
+    assert all(r["n_chars"] == len(r["text"] or "") and r["hi"] == "extra" for r in got.collect())
+    good = line_frequency.keep_good(df, most=3)
+    kept = {r["doc_id"] for r in line_frequency.judge(df, most=3).where("kept").collect()}
+    assert {r["doc_id"]: r["text"] for r in good.collect()} == {k: want[k] for k in kept}
+    assert kept == {0, 1, 2, 3, 4, 9, None} and good.count() == 8
+    assert line_frequency.keep_good(documents([])).collect() == []
+
+
 # ---------------------------------------------------------------------- secrets
 def plain_spans(text):
     out = []
