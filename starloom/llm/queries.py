@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm.chat import OP7_SQL, op7_chat_format
+from starloom.llm.filter_audit import OP13_SQL, op13_filter_audit
 from starloom.llm.line_dedup import OP4_SQL, op4_line_dedup
 from starloom.llm.line_frequency import OP3_SQL, op3_line_frequency
 from starloom.llm.minhash_dedup import op9_minhash_near_dedup
@@ -31,9 +32,10 @@ QUERIES: dict[str, Query] = {
     "op8_hierarchical_mixing": op8_hierarchical_mixing,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op13_filter_audit": op13_filter_audit,
 }
 SQL = {"op3_line_frequency": OP3_SQL, "op4_line_dedup": OP4_SQL, "op7_chat_format": OP7_SQL,
-       "op8_hierarchical_mixing": mixing_sql("documents")}
+       "op8_hierarchical_mixing": mixing_sql("documents"), "op13_filter_audit": OP13_SQL}
 
 
 def import_path(spark: SparkSession) -> None:
