@@ -16,6 +16,7 @@ from starloom.llm.minhash_dedup import op9_minhash_near_dedup
 from starloom.llm.mixing import mixing_sql, op8_hierarchical_mixing
 from starloom.llm.packing import op10_best_fit_packing
 from starloom.llm.secrets import op5_secret_scan
+from starloom.llm.substring_dedup import OP11_SQL, op11_substring_dedup
 from starloom.llm.token_files import op1_token_files
 from starloom.llm.toxicity import op6_toxicity
 from starloom.llm.vector_dedup import op2_vector_near_dedup
@@ -32,10 +33,12 @@ QUERIES: dict[str, Query] = {
     "op8_hierarchical_mixing": op8_hierarchical_mixing,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_substring_dedup": op11_substring_dedup,
     "op13_filter_audit": op13_filter_audit,
 }
 SQL = {"op3_line_frequency": OP3_SQL, "op4_line_dedup": OP4_SQL, "op7_chat_format": OP7_SQL,
-       "op8_hierarchical_mixing": mixing_sql("documents"), "op13_filter_audit": OP13_SQL}
+       "op8_hierarchical_mixing": mixing_sql("documents"), "op11_substring_dedup": OP11_SQL,
+       "op13_filter_audit": OP13_SQL}
 
 
 def import_path(spark: SparkSession) -> None:

@@ -72,8 +72,9 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = WHITE) -> Words:
-    """Words of lower-cased (A-Z) texts, split at the given bytes."""
+def words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = WHITE,
+          case: np.ndarray = LOWER) -> Words:
+    """Words split at the given bytes, of texts lower-cased (A-Z) unless ``case`` says otherwise."""
     inside = ~separator[data]
     edge = np.empty(len(data), bool)
     edge[:1] = True
@@ -87,7 +88,7 @@ def words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = WHITE)
     end = np.flatnonzero(inside & edge) + 1
     power, unpower = _power_table(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE[LOWER[data]] * power[:len(data)], out=sums[1:])
+    np.cumsum(BYTE[case[data]] * power[:len(data)], out=sums[1:])
     return Words(start, end, np.searchsorted(start, offsets), sums, unpower)
 
 
