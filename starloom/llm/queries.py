@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm.chat import OP7_SQL, op7_chat_format
 from starloom.llm.filter_audit import OP13_SQL, op13_filter_audit
+from starloom.llm.hard_negatives import OP12_SQL, op12_hard_negatives
 from starloom.llm.line_dedup import OP4_SQL, op4_line_dedup
 from starloom.llm.line_frequency import OP3_SQL, op3_line_frequency
 from starloom.llm.minhash_dedup import op9_minhash_near_dedup
@@ -34,11 +35,12 @@ QUERIES: dict[str, Query] = {
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_substring_dedup": op11_substring_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_filter_audit": op13_filter_audit,
 }
 SQL = {"op3_line_frequency": OP3_SQL, "op4_line_dedup": OP4_SQL, "op7_chat_format": OP7_SQL,
        "op8_hierarchical_mixing": mixing_sql("documents"), "op11_substring_dedup": OP11_SQL,
-       "op13_filter_audit": OP13_SQL}
+       "op12_hard_negatives": OP12_SQL, "op13_filter_audit": OP13_SQL}
 
 
 def import_path(spark: SparkSession) -> None:
