@@ -102,9 +102,8 @@ def scripts_and_calls(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     return scripts, events.where("event_type = 'click'").select("hcp_id", "day")
 
 
-def contact_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def contact_versions(events: DataFrame) -> DataFrame:
     """People start without a decile; each day's last signup may set one."""
-    events = contacts(spark, sf_dir)
     start = events.groupBy("hcp_id").agg(F.date_sub(F.min("day"), 1).alias("effective_date"))
     signup = events.where("event_type = 'signup'").groupBy("hcp_id", "day").agg(
         F.max_by("value", "event_id").alias("value"))
@@ -116,12 +115,12 @@ def contact_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contact_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    events = contacts(spark, sf_dir)
+    events = pin(contacts(spark, sf_dir))  # parsed once for its five uses
     days = calendar_over(day_bounds(events.select("day")))
     codes = events.select("product_code").distinct().select(
         "product_code", F.col("product_code").alias("product_key"),
         (F.col("product_code") >= OWN_PRODUCTS_BELOW).alias("is_competitor"))
-    versions = contact_versions(spark, sf_dir)
+    versions = contact_versions(events)
     stretches = pin(version_segments(versions))
 
     def fact(event_type: str, *measures: str) -> DataFrame:

@@ -7,10 +7,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.operators.resolve import version_marks
 from starloom.schemas import CALL_TYPES, FACT_KEYS, LEAST_SPREAD, NOT_NULL, UNIQUE
 
+PRIME, DIGESTS = 2 ** 31 - 1, 2
+PERIODS, BUCKETS = 256, 64
+
 
 def stack(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
@@ -134,15 +138,73 @@ def facts_outside_version(facts: Mapping[str, DataFrame], dim_hcp: DataFrame,
     return _per_check(dated, F.when(inside, 0).otherwise(F.col("n")))
 
 
+def _whole(measure: Column, kind: T.DataType) -> Column:
+    """A measure as a long: decimals in units of their last place."""
+    if isinstance(kind, T.DecimalType) and kind.scale:
+        return F.rint(measure.cast("double") * float(10 ** kind.scale)).cast("long")
+    return measure.cast("long")
+
+
+def _digests(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> list[Column]:
+    """Two numbers per row whose sums over rows tell totals per key apart.
+
+    Each is the row's count and measures weighted by hashes of its key, modulo a prime. Sums do not
+    depend on the order of rows, and rows of one key add up like their measures do, so equal totals
+    give equal sums. Different ones give equal sums with a chance of some 2 ** -62.
+    """
+    values = [F.lit(1).cast("long"), *[_whole(F.col(m), df.schema[m].dataType) for m in measures]]
+    out = []
+    for digest in range(DIGESTS):
+        terms = [
+            F.pmod(F.coalesce(v, F.lit(0)), F.lit(PRIME))
+            * F.pmod(F.xxhash64(F.lit(digest * 100 + k), *keys), F.lit(PRIME)) % PRIME
+            for k, v in enumerate(values)]
+        out.append(reduce(lambda a, b: a + b, terms) % PRIME)
+    return out
+
+
+def differing_buckets(left: DataFrame, right: DataFrame, keys: Sequence[str],
+                      measures: Sequence[str]) -> DataFrame:
+    """(period, bucket) groups of key values in which two frames hold different totals per key.
+
+    The month of a key's days and a hash of its other parts choose the group, so there are at most
+    ``PERIODS * BUCKETS`` of them however many rows there are.
+    """
+    def summed(df: DataFrame, sign: int) -> DataFrame:
+        return df.select(*branch(df, keys), F.lit(sign).alias("rows"), *[
+            (d * sign).alias(f"digest_{k}") for k, d in enumerate(_digests(df, keys, measures))])
+
+    sums = ["rows", *[f"digest_{k}" for k in range(DIGESTS)]]
+    found = summed(left, 1).unionByName(summed(right, -1)).groupBy("period", "bucket").agg(
+        *[F.sum(c).alias(c) for c in sums])
+    apart = [F.col("rows") != 0, *[F.col(c) % PRIME != 0 for c in sums[1:]]]
+    return found.where(reduce(lambda a, b: a | b, apart)).select("period", "bucket")
+
+
+def branch(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """Group of a key: the month of its days and a hash of the rest (of all if there is no rest)."""
+    days = [k for k in keys if isinstance(df.schema[k].dataType, T.DateType)]
+    rest = [k for k in keys if k not in days] or list(keys)
+    month = F.xxhash64(F.lit(0), *[F.trunc(F.col(k), "month") for k in days])
+    return [F.pmod(month, F.lit(PERIODS)).alias("period"),
+            F.pmod(F.xxhash64(*rest), F.lit(BUCKETS)).alias("bucket")]
+
+
 def differing_totals(left: DataFrame, right: DataFrame, keys: Sequence[str],
                      measures: Sequence[str]) -> DataFrame:
     """Key groups whose rows or sums differ between two frames, with left minus right.
 
-    One aggregation over the signed union takes the place of a full outer join of two.
+    Digests are compared first, a row per group of keys; only rows of groups that differ are then
+    added up per key, so two frames that agree shuffle next to nothing. One aggregation over the
+    signed union takes the place of a full outer join of two.
     """
+    # At most PERIODS * BUCKETS rows, so the broadcast is bounded.
+    damaged = F.broadcast(differing_buckets(left, right, keys, measures))
+
     def signed(df: DataFrame, sign: int) -> DataFrame:
-        return df.select(*keys, F.lit(sign).alias("rows_diff"),
-                         *[(F.col(m) * sign).alias(f"{m}_diff") for m in measures])
+        rows = df.select("*", *branch(df, keys)).join(damaged, ["period", "bucket"], "left_semi")
+        return rows.select(*keys, F.lit(sign).alias("rows_diff"),
+                           *[(F.col(m) * sign).alias(f"{m}_diff") for m in measures])
 
     columns = ["rows_diff", *[f"{m}_diff" for m in measures]]
     totals = signed(left, 1).unionByName(signed(right, -1)).groupBy(*keys).agg(

@@ -609,3 +609,115 @@ SELECT hcp_id, if(sign = 1, product_code, 'MOVED') AS product_code, CAST(day AS
        CAST(sum(sign * units) AS DOUBLE) AS units_diff,
        CAST(sum(sign * gross) AS DOUBLE) AS gross_sales_diff
 FROM source, (VALUES (1), (-1)) side(sign) WHERE trx <= 1 GROUP BY 1, 2, 3"""
+
+
+# --------------------------------------------------------------------- load path
+ORACLE_SQL["quoted_feed"] = """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, source,
+       replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS text,
+       CAST(NULL AS VARCHAR) AS malformed_line
+FROM documents"""
+
+ORACLE_SQL["fact_load"] = f"""
+WITH {RESOLVED}, verdict AS (
+  SELECT *, coalesce(type_reason, key_reason) AS reason FROM resolved
+)
+SELECT CASE WHEN reason IS NULL THEN date_key END AS date_key,
+       CASE WHEN reason IS NULL THEN hcp_key END AS hcp_key,
+       CASE WHEN reason IS NULL THEN product_key END AS product_key,
+       CASE WHEN reason IS NULL THEN CAST(territory_key AS BIGINT) END AS territory_key,
+       CASE WHEN reason IS NULL THEN CAST(trx_count_n AS BIGINT) END AS trx_count,
+       CASE WHEN reason IS NULL THEN CAST(nrx_count_n AS BIGINT) END AS nrx_count,
+       CASE WHEN reason IS NULL THEN CAST(units_m AS DOUBLE) END AS units,
+       CASE WHEN reason IS NULL THEN CAST(gross_sales_m AS DOUBLE) END AS gross_sales,
+       CASE WHEN reason IS NOT NULL THEN rx_date END AS raw_rx_date,
+       CASE WHEN reason IS NOT NULL THEN hcp_id END AS raw_hcp_id,
+       CASE WHEN reason IS NOT NULL THEN product_code END AS raw_product_code,
+       CASE WHEN reason IS NOT NULL THEN trx_count END AS raw_trx_count,
+       CASE WHEN reason IS NOT NULL THEN nrx_count END AS raw_nrx_count,
+       CASE WHEN reason IS NOT NULL THEN units END AS raw_units,
+       CASE WHEN reason IS NOT NULL THEN gross_sales END AS raw_gross_sales,
+       reason AS reject_reason, if(reason IS NULL, 'loaded', 'rejected') AS outcome,
+       if(reason IS NULL, strftime(day, '%Y-%m'), 'none') AS year_month
+FROM verdict"""
+
+ORACLE_SQL["reject_sink"] = f"""
+WITH {RESOLVED}, {HCP_ROWS.strip()}
+SELECT hcp_id, full_name, specialty, decile_text AS decile,
+       CASE WHEN nation > 0 THEN 'T-' || lpad(CAST(nation AS VARCHAR), 3, '0') END AS territory_code,
+       CAST(day AS VARCHAR) AS effective_date, reason AS reject_reason, 'hcp' AS entity
+FROM hcp_row WHERE reason IS NOT NULL
+UNION ALL BY NAME
+SELECT rx_date, hcp_id, product_code, trx_count, nrx_count, units, gross_sales,
+       coalesce(type_reason, key_reason) AS reject_reason, 'prescriptions' AS entity
+FROM resolved WHERE type_reason IS NOT NULL OR key_reason IS NOT NULL
+UNION ALL BY NAME
+SELECT strftime(ts, '%Y-%m-%d') AS call_date, CAST(user_id AS VARCHAR) AS hcp_id,
+       json_extract_string(props, '$.k') AS product_code,
+       if(event_type = 'purchase', 'PURCHASE', NULL) AS call_type,
+       CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS duration_minutes, '0' AS samples_dropped,
+       'invalid call_type' AS reject_reason, 'sales_calls' AS entity
+FROM events WHERE event_type NOT IN ('click', 'view', 'signup')"""
+
+ORACLE_SQL["literal_products"] = """
+WITH product(n, product_code, brand_name, is_competitor) AS (VALUES
+  (1, 'RX-CARDIO-01', 'Cardiova', FALSE), (2, 'RX-ENDO-01', 'Glucoron', FALSE),
+  (3, 'RX-RESP-01', 'Pulmovent', FALSE), (4, 'CM-CARDIO-01', 'Lipitrex', TRUE),
+  (5, 'CM-CARDIO-02', 'Statinex', TRUE), (6, 'CM-ENDO-01', 'Glycomet', TRUE),
+  (7, 'CM-RESP-01', 'Airomax', TRUE), (8, 'CM-RESP-02', 'Bronchol', TRUE))
+SELECT product_code, brand_name, is_competitor, CAST(sum(l_quantity) AS BIGINT) AS trx
+FROM lineitem JOIN product ON l_partkey % 8 + 1 = n GROUP BY ALL"""
+
+ORACLE_SQL["corrected_history"] = f"""
+SELECT * EXCLUDE (hcp_key) FROM ({ORACLE_SQL["hcp_dimension"]})"""
+
+ORACLE_SQL["dimension_checks"] = """
+WITH bounds AS (SELECT count(*) AS n FROM orders WHERE o_orderdate IS NULL), dates AS (
+  SELECT unnest(['date_key', 'full_date', 'year', 'quarter', 'month', 'month_name', 'year_month']) AS c
+), products AS (
+  FROM part SELECT {
+    'dim_product.product_key is null': count_if(p_partkey IS NULL),
+    'dim_product.product_code is null': count_if(p_name IS NULL),
+    'dim_product.brand_name is null': count_if(p_brand IS NULL OR p_size <= 5),
+    'dim_product.molecule is null': count_if(p_type IS NULL OR p_size <= 10),
+    'dim_product.therapeutic_area is null': count_if(p_type IS NULL),
+    'dim_product.is_competitor is null': count_if(p_size >= 49)} AS found
+), places AS (
+  FROM customer SELECT {
+    'dim_territory.territory_key is null': count_if(c_custkey % 9 = 0),
+    'dim_territory.territory_code is null': count_if(c_name IS NULL),
+    'dim_territory.territory_name is null': count_if(c_mktsegment IS NULL),
+    'dim_territory.region is null': count_if(c_acctbal <= 0),
+    'dim_territory.country is null': count_if(FALSE)} AS found
+), listed AS (
+  SELECT unnest(json_keys(to_json(found))) AS "check", to_json(found) AS found FROM products
+  UNION ALL SELECT unnest(json_keys(to_json(found))), to_json(found) FROM places
+)
+SELECT "check", CAST(json_extract_string(found, '$."' || "check" || '"') AS BIGINT) AS violations
+FROM listed
+UNION ALL SELECT 'dim_date.' || c || ' is null', n FROM dates, bounds"""
+
+ORACLE_SQL["stored_drilldown"] = ORACLE_SQL["prescriber_drilldown"]
+
+# ------------------------------------------------------------------ large groups
+ORACLE_SQL["scanned_lines"] = """
+SELECT p_brand AS brand, strftime(l_shipdate, '%Y-%m-%d') AS day, l_orderkey AS order_key,
+       CAST(l_linenumber AS BIGINT) AS line, CAST(l_quantity AS BIGINT) AS trx,
+       l_extendedprice AS price, l_returnflag, l_linestatus,
+       lag(l_extendedprice) OVER w AS price_before,
+       CAST(sum(CAST(l_quantity AS BIGINT)) OVER w AS BIGINT) AS trx_to_date,
+       row_number() OVER w = 1 OR (l_returnflag, l_linestatus) IS DISTINCT FROM
+         (lag(l_returnflag) OVER w, lag(l_linestatus) OVER w) AS changed
+FROM lineitem JOIN part ON l_partkey = p_partkey
+WINDOW w AS (PARTITION BY p_brand ORDER BY CAST(l_shipdate AS DATE), l_orderkey, l_linenumber
+             ROWS UNBOUNDED PRECEDING)"""
+
+ORACLE_SQL["median_prices"] = """
+SELECT p_brand AS brand, median(CAST(round(l_extendedprice * 100) AS BIGINT)) AS median_cents
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand"""
+
+ORACLE_SQL["distinct_buyers"] = f"""
+WITH {RX_FACT}
+SELECT p_brand AS brand_name, year_month, count(DISTINCT person) AS ids,
+       CAST(2 * grouping(p_brand) + grouping(year_month) AS BIGINT) AS set_id
+FROM fact GROUP BY GROUPING SETS ((p_brand, year_month), (p_brand), (year_month), ())"""

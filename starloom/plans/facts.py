@@ -12,7 +12,7 @@ from starloom.operators.coerce import REASON, TYPED, annotate_types
 from starloom.operators.resolve import annotate_keys
 from starloom.schemas import FactFeed
 from starloom.sources.feeds import MALFORMED
-from starloom.sources.tables import LOADED, OUTCOME, REJECTED
+from starloom.sources.tables import LOADED, NO_MONTH, OUTCOME, REJECTED
 
 NATURAL_KEYS = ("hcp_id", "product_code", "day")
 
@@ -47,7 +47,7 @@ def split_ready(annotated: DataFrame, feed: FactFeed) -> DataFrame:
     return annotated.select(
         *keys, *values, *raw, REASON,
         F.when(loaded, F.lit(LOADED)).otherwise(F.lit(REJECTED)).alias(OUTCOME),
-        F.when(loaded, year_month(F.col(f"{TYPED}.{feed.date_col}"))).otherwise(F.lit("none"))
+        F.when(loaded, year_month(F.col(f"{TYPED}.{feed.date_col}"))).otherwise(F.lit(NO_MONTH))
         .alias("year_month"),
     )
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,15 +31,26 @@ from starloom.schemas import (
     Feed,
 )
 from starloom.sources import tables
-from starloom.sources.feeds import MALFORMED, PLACE, stage_feed
-from starloom.sources.tables import LOADED, OUTCOME, REJECTED, Run, Warehouse, write_table
+from starloom.sources.feeds import MALFORMED, PLACE, read_staged, stage_feed
+from starloom.sources.tables import (
+    HCP_ROWS,
+    LOADED,
+    OUTCOME,
+    REJECTED,
+    Run,
+    Warehouse,
+    write_table,
+)
+
+
+LOADED_IN = "loaded_in"
 
 
 class RefreshError(RuntimeError):
     """The run must not be published."""
 
 
-def _for_each(feeds: Sequence[Feed], job: Callable[[Feed], Any]) -> dict[str, Any]:
+def for_each(feeds: Sequence[Feed], job: Callable[[Feed], Any]) -> dict[str, Any]:
     """Run independent feeds side by side, so that one fills the executors the other leaves idle."""
     with ThreadPoolExecutor(len(feeds)) as pool:
         return dict(zip([f.name for f in feeds], pool.map(job, feeds), strict=True))
@@ -46,67 +58,78 @@ def _for_each(feeds: Sequence[Feed], job: Callable[[Feed], Any]) -> dict[str, An
 
 def stage_all(spark: SparkSession, paths: dict[str, str], run: Run) -> dict[str, int]:
     """Land the three feeds as text tables; returns their row counts."""
-    return _for_each(FEEDS, lambda feed: stage_feed(
-        spark, paths[feed.name], feed, run.staging(feed.name), keep_place=feed is HCP_FEED))
+    return for_each(FEEDS, lambda feed: stage_feed(
+        spark, paths[feed.name], feed, run.staging(feed.name)))
 
 
 def build_dimensions(spark: SparkSession, run: Run) -> dict[str, int]:
     """Write the four dimensions of the run. Returns the prescriber row accounting."""
-    staged_hcp = run.read_staging(HCP_FEED.name)
+    staged_hcp = read_staged(spark, run.staging(HCP_FEED.name))
     write_table(dims.dim_product(spark).coalesce(1), run.table("dim_product"))
     write_table(dims.dim_territory(staged_hcp), run.table("dim_territory"))
     first, last = dims.calendar_bounds(
-        run.read_staging(RX_FEED.name), run.read_staging(CALL_FEED.name))
+        *[read_staged(spark, run.staging(f.name)) for f in FACT_FEEDS])
     write_table(build_dim_date(spark, first, last), run.table("dim_date"))
 
-    annotated = dims.annotate_hcp(staged_hcp, spark.read.parquet(run.table("dim_territory")))
-    broken = F.when(F.col(MALFORMED).isNotNull(), F.lit("malformed line"))
-    annotated = annotated.withColumn(REASON, F.coalesce(broken, REASON)).withColumn(
-        OUTCOME, F.when(F.col(REASON).isNull(), F.lit(LOADED)).otherwise(F.lit(REJECTED)))
-    tables.write_outcome(annotated, run.table("hcp_rows"), [OUTCOME])
+    people = annotate_people(staged_hcp, spark.read.parquet(run.table("dim_territory")), 0)
+    tables.write_outcome(people, run.table(HCP_ROWS), [OUTCOME])
 
-    clean = tables.read_outcome(spark, run.table("hcp_rows"), LOADED)
+    clean = tables.read_outcome(spark, run.table(HCP_ROWS), LOADED)
     versions = dims.hcp_versions(clean, ordinal_col=PLACE)
     write_table(dims.key_new_versions(versions), run.table("dim_hcp"))
     write_table(version_segments(run.read("dim_hcp")), run.table("hcp_stretches"))
-    return tables.outcome_counts(spark, run.table("hcp_rows"))
+    return tables.outcome_counts(spark, run.table(HCP_ROWS))
+
+
+def annotate_people(staged_hcp: DataFrame, territories: DataFrame, loaded_in: int) -> DataFrame:
+    """Typed prescriber rows with reason and outcome; ``loaded_in`` orders them between batches."""
+    broken = F.when(F.col(MALFORMED).isNotNull(), F.lit("malformed line"))
+    annotated = dims.annotate_hcp(staged_hcp, territories).withColumn(
+        REASON, F.coalesce(broken, REASON))
+    return annotated.withColumn(LOADED_IN, F.lit(loaded_in)).withColumn(
+        OUTCOME, F.when(F.col(REASON).isNull(), F.lit(LOADED)).otherwise(F.lit(REJECTED)))
 
 
-def load_fact(spark: SparkSession, run: Run, feed: FactFeed) -> dict[str, int]:
+def load_fact(spark: SparkSession, run: Run, feed: FactFeed, n_staged: int) -> dict[str, int]:
     """Type, resolve and write one feed: loaded and rejected lines in one pass."""
-    staged, dim_date = run.read_staging(feed.name), run.read("dim_date")
+    staged, dim_date = read_staged(spark, run.staging(feed.name)), run.read("dim_date")
     products = unique_lookup(run.read("dim_product"), "product_code", "product_key")
     stretches = spark.read.parquet(run.table("hcp_stretches"))
     annotated = annotate_fact(staged, feed, stretches, products, dim_date)
     months = dim_date.select("year_month").distinct().count()
-    slices = tables.slices_per_month(staged.count(), months)
+    slices = tables.slices_per_month(n_staged, months)
     # Keys are dense from 1, so their number is the highest one.
     versions = tables.row_count(spark, run.table("dim_hcp"))
     rows = tables.cluster_fact(split_ready(annotated, feed), versions, months, slices, [OUTCOME])
     tables.write_outcome(rows, run.table(feed.target), [OUTCOME, "year_month"])
+    if feed is RX_FEED:
+        tables.write_by_prescriber(run.read(feed.target), run.table(tables.BY_PRESCRIBER))
     return tables.outcome_counts(spark, run.table(feed.target))
 
 
 def fact_rejects(run: Run, feed: FactFeed) -> DataFrame:
     """Rejected lines of a fact feed as they came, with the reason."""
-    written = tables.read_outcome(run.spark, run.table(feed.target), REJECTED)
+    written = run.rows(feed.target, REJECTED)
     raw = [c for c in (*feed.columns, MALFORMED) if f"raw_{c}" in written.columns]
     return written.select(*[F.col(f"raw_{c}").alias(c) for c in raw], REASON)
 
 
 def hcp_rejects(run: Run) -> DataFrame:
-    written = tables.read_outcome(run.spark, run.table("hcp_rows"), REJECTED)
+    written = run.rows(HCP_ROWS, REJECTED)
     return written.select(*HCP_FEED.columns, MALFORMED, REASON)
 
 
 def all_rejects(run: Run) -> DataFrame:
     """Rejects of the three feeds in one frame; columns a feed does not have are null."""
-    frames = [hcp_rejects(run).withColumn("entity", F.lit(HCP_FEED.name))]
-    frames += [fact_rejects(run, f).withColumn("entity", F.lit(f.name)) for f in FACT_FEEDS]
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame, allowMissingColumns=True)
-    return out
+    return stack_rejects({
+        HCP_FEED.name: hcp_rejects(run), **{f.name: fact_rejects(run, f) for f in FACT_FEEDS}})
+
+
+def stack_rejects(rejects: dict[str, DataFrame]) -> DataFrame:
+    """Frames of unlike columns under each other, ``entity`` naming where a row comes from."""
+    return reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [rows.withColumn("entity", F.lit(name)) for name, rows in rejects.items()])
 
 
 def export_rejects(run: Run) -> dict[str, str]:
@@ -129,34 +152,40 @@ def reconcile(staged: dict[str, int], outcomes: dict[str, dict[str, int]]) -> No
         raise RefreshError(f"row-count reconciliation failed: {lost}")
 
 
-def audit_totals(run: Run, feed: FactFeed = RX_FEED) -> DataFrame:
+def audit_totals(run: Run, feed: FactFeed = RX_FEED, base: Run | None = None) -> DataFrame:
     """(person, product, day) groups where staged text differs from rejected text plus facts.
 
-    Counts can balance while the wrong lines were rejected; totals per natural key cannot.
+    Counts can balance while the wrong lines were rejected; totals per natural key cannot. What a
+    run took over from ``base`` counts as staged.
     """
     measures = [m for m in feed.measures if m in (*feed.numeric, *feed.integer)]
-    facts = run.read(feed.target)
+    staged = text_measures(read_staged(run.spark, run.staging(feed.name)), feed, measures)
+    if base is not None:
+        staged = staged.unionByName(accounted(base, feed, measures))
+    return quality.differing_totals(staged, accounted(run, feed, measures), NATURAL_KEYS, measures)
+
+
+def accounted(run: Run, feed: FactFeed, measures: Sequence[str]) -> DataFrame:
+    """Natural keys and measures of the rejected lines and the facts of a run."""
     loaded = (
-        facts.join(run.read("dim_hcp").select("hcp_key", "hcp_id"), "hcp_key")
+        run.read(feed.target).join(run.read("dim_hcp").select("hcp_key", "hcp_id"), "hcp_key")
         .join(run.read("dim_product").select("product_key", "product_code"), "product_key")
         .join(run.read("dim_date").select("date_key", F.col("full_date").alias("day")), "date_key")
         .select(*NATURAL_KEYS, *measures))
-    return quality.differing_totals(
-        text_measures(run.read_staging(feed.name), feed, measures),
-        text_measures(fact_rejects(run, feed), feed, measures).unionByName(loaded),
-        NATURAL_KEYS, measures)
+    return text_measures(fact_rejects(run, feed), feed, measures).unionByName(loaded)
 
 
-def gate(run: Run) -> None:
+def gate(run: Run, base: Run | None = None) -> None:
+    """Refuse a run that breaks a check or does not hold all that was staged on top of ``base``."""
     star = run.star()
     if star[RX_FEED.target].isEmpty():
         raise RefreshError("no prescriptions were loaded")
     bad = quality.failed(quality.warehouse_checks(star))
     if bad:
         raise RefreshError(f"quality checks failed: {bad}")
-    for feed in FACT_FEEDS:
-        if not audit_totals(run, feed).isEmpty():
-            raise RefreshError(f"{feed.name}: staged text differs from rejects plus facts")
+    whole = for_each(FACT_FEEDS, lambda feed: audit_totals(run, feed, base).isEmpty())
+    for name in (n for n, same in whole.items() if not same):
+        raise RefreshError(f"{name}: staged text differs from rejects plus facts")
 
 
 def run(spark: SparkSession, paths: dict[str, str], root: str, publish: bool = True) -> dict:
@@ -170,10 +199,12 @@ def run(spark: SparkSession, paths: dict[str, str], root: str, publish: bool = T
     staged = stage_all(spark, paths, current)
     outcomes = {HCP_FEED.name: build_dimensions(spark, current)}
     facts_started = time.time()
-    outcomes |= _for_each(FACT_FEEDS, lambda feed: load_fact(spark, current, feed))
+    outcomes |= for_each(FACT_FEEDS, lambda feed: load_fact(
+        spark, current, feed, staged[feed.name]))
     reconcile(staged, outcomes)
     gate(current)
     fact_seconds = round(time.time() - facts_started, 1)
+    export_rejects(current)
     if publish:
         warehouse.publish(current)
 

@@ -13,9 +13,13 @@ from starloom.functions.dates import year_month
 from starloom.functions.numbers import ntile_of, percent, ratio, whole
 from starloom.operators.exposure import add_up, script_and_call_marks, with_prior_calls
 from starloom.operators.positions import with_ranks
+from starloom.operators.selection import distinct_ids, medians
 from starloom.schemas import BASELINE_MONTHS, DRILLDOWN_HCP_KEY, GROWTH_ASK, WATCH_FLOOR
+from starloom.session import pin
+from starloom.sources.tables import Run
 
 Star = dict[str, DataFrame]
+VOLUME_BITS = 44
 
 
 def _with_days(fact: DataFrame, star: Star, *columns: str) -> DataFrame:
@@ -149,8 +153,9 @@ def own_person_days(star: Star) -> DataFrame:
     return add_up(dated, "hcp_id", "day")
 
 
-def person_months(star: Star) -> DataFrame:
-    """One row per person and month with scripts: volume, exposure, cohort, decile as of month end."""
+def person_months(star: Star, *attributes: str) -> DataFrame:
+    """One row per person and month with scripts: volume, exposure, cohort, and ``attributes`` of the
+    version as of the month's last day with scripts."""
     exposed = F.col("prior_calls") > 0
     months = (
         with_prior_calls(own_person_days(star))
@@ -166,40 +171,53 @@ def person_months(star: Star) -> DataFrame:
         .withColumn("cohort", F.when(F.col("was_called"), F.lit("CALLED"))
                     .otherwise(F.lit("NOT CALLED")))
     )
-    return label_as_of(months, star["dim_hcp"], "last_rx_day", "decile")
+    return label_as_of(months, star["dim_hcp"], "last_rx_day", *attributes)
+
+
+def _numbered(dim_hcp: DataFrame) -> DataFrame:
+    """Versions with ``person``, a dense number that all versions of a person share."""
+    return dim_hcp.withColumn("person", F.min("hcp_key").over(Window.partitionBy("hcp_id")))
 
 
 def call_effectiveness(star: Star) -> DataFrame:
     """Prescribing of called and uncalled person-months, nationally and per decile.
 
-    People are counted by marking one row per (person, cohort) and one per (person, cohort, decile)
-    while a person's rows are together. Everything else is additive, so the person-months shrink to
-    one row per (decile, cohort, volume) and the grouping sets, median included, run on that.
+    The person-months are written down once. People are counted by merging bitmaps, all else from
+    one row per (decile, cohort, volume): sums by grouping sets, medians by selection.
     """
-    in_cohort = Window.partitionBy("hcp_id", "cohort").orderBy("decile", "year_month")
-    in_stratum = Window.partitionBy("hcp_id", "cohort", "decile").orderBy("year_month")
-    months = (
-        person_months(star)
-        .withColumn("_cohort_person", (F.row_number().over(in_cohort) == 1).cast("bigint"))
-        .withColumn("_stratum_person", (F.row_number().over(in_stratum) == 1).cast("bigint"))
-        .withColumn("_exposed_pct", percent(F.col("exposed_days"), F.col("rx_days"), 12))
-    )
+    months = pin(
+        person_months({**star, "dim_hcp": _numbered(star["dim_hcp"])}, "decile", "person")
+        .withColumn("_exposed_pct", percent(F.col("exposed_days"), F.col("rx_days"), 12)))
     volumes = months.groupBy("decile", "cohort", "trx_in_month").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum("_cohort_person").alias("cohort_people"),
-        F.sum("_stratum_person").alias("stratum_people"),
         F.sum(F.col("_exposed_pct").cast("decimal(20,12)")).alias("exposed_pct"),
     )
-    strata = volumes.groupingSets(
+    in_strata = volumes.select("cohort", "trx_in_month", "n", F.inline(F.array(
+        F.struct(F.lit(1).alias("national"), F.lit(None).cast(
+            volumes.schema["decile"].dataType).alias("in_decile")),
+        F.struct(F.lit(0).alias("national"), F.col("decile").alias("in_decile")))))
+    middle = medians(in_strata, ["national", "in_decile", "cohort"], "trx_in_month", "n",
+                     VOLUME_BITS).select(
+        "national", "in_decile", F.col("cohort").alias("in_cohort"),
+        ((F.col("low") + F.col("high")) / F.lit(2)).alias("_median"))
+    people = distinct_ids(months, "person", [["cohort"], ["decile", "cohort"]]).select(
+        (1 - F.col("set_id")).alias("national"), F.col("decile").alias("in_decile"),
+        F.col("cohort").alias("in_cohort"), F.col("ids").alias("hcps"))
+    figures = middle.join(people, (middle["national"] == people["national"])
+                          & middle["in_decile"].eqNullSafe(people["in_decile"])
+                          & (middle["in_cohort"] == people["in_cohort"])).select(
+        middle["*"], "hcps")
+    sums = volumes.groupingSets(
         [[F.col("cohort")], [F.col("decile"), F.col("cohort")]], F.col("decile"), F.col("cohort")
     ).agg(
-        F.grouping("decile").alias("is_national_row"),
-        F.when(F.grouping("decile") == 1, F.sum("cohort_people"))
-        .otherwise(F.sum("stratum_people")).alias("hcps"),
+        F.grouping("decile").cast("int").alias("is_national_row"),
         F.sum("n").alias("hcp_months"),
         F.sum(F.col("trx_in_month") * F.col("n")).alias("total_trx"),
-        F.percentile(F.col("trx_in_month"), 0.5, F.col("n")).alias("_median"),
         F.sum(F.col("exposed_pct").cast("decimal(20,12)")).alias("_exposed_pct"),
+    )
+    strata = sums.join(
+        figures, (F.col("is_national_row") == F.col("national"))
+        & F.col("decile").eqNullSafe(F.col("in_decile")) & (F.col("cohort") == F.col("in_cohort"))
     ).select(
         F.when(F.col("is_national_row") == 1, F.lit("ALL DECILES"))
         .when(F.col("decile").isNull(), F.lit("DECILE UNKNOWN"))
@@ -243,6 +261,11 @@ def prescriber_drilldown(star: Star, hcp_key: int = DRILLDOWN_HCP_KEY) -> DataFr
     )
 
 
+def stored_drilldown(run: Run, hcp_key: int = DRILLDOWN_HCP_KEY) -> DataFrame:
+    """``prescriber_drilldown`` of a published run, by the access path beside the facts."""
+    return run.prescriber(hcp_key).groupBy("year_month").agg(F.sum("trx").alias("trx"))
+
+
 REPORTS = {
     "brand_share_mom": brand_share_mom,
     "prescriber_ranking": prescriber_ranking,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,11 +21,23 @@ from starloom.operators.exposure import (
     with_prior_calls,
 )
 from starloom.operators.resolve import resolve_surrogate_keys, version_segments
+from starloom.operators.scans import with_scans
 from starloom.operators.scd2 import apply_scd2, scd2_conflicts
+from starloom.operators.selection import distinct_ids, medians
 from starloom.plans import dimensions, reports
-from starloom.plans.facts import NATURAL_KEYS, annotate_fact, reconciliation, text_measures
-from starloom.schemas import CALL_FEED, HCP_FEED, RX_FEED
-from starloom.session import pin
+from starloom.plans.append import refold
+from starloom.plans.facts import (
+    NATURAL_KEYS,
+    annotate_fact,
+    reconciliation,
+    split_ready,
+    text_measures,
+)
+from starloom.plans.refresh import LOADED_IN, stack_rejects
+from starloom.schemas import CALL_FEED, DRILLDOWN_HCP_KEY, HCP_FEED, RX_FEED, Feed
+from starloom.session import pin, shared_folder
+from starloom.sources.feeds import MALFORMED, PLACE, read_csv
+from starloom.sources.tables import read_prescriber, write_by_prescriber
 
 Query = Callable[[SparkSession, str], DataFrame]
 ORDER_HISTORY = dict(business_key="hcp_id", tracked=("priority", "status"),
@@ -181,14 +194,7 @@ def _rx_annotated(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 def reconcile(spark: SparkSession, d: str) -> DataFrame:
     rx, rx_annotated = _rx_annotated(spark, d)
-    calls = b.call_text(spark, d)
-    events = b.contacts(spark, d)
-    codes = events.select("product_code").distinct().select(
-        F.col("product_code").cast("string").alias("product_code"),
-        F.col("product_code").alias("product_key"))
-    versions = b.contact_versions(spark, d).withColumn("hcp_id", F.col("hcp_id").cast("string"))
-    calls_annotated = annotate_fact(calls, CALL_FEED, pin(version_segments(versions)), codes,
-                                    calendar_over(day_bounds(events.select("day"))))
+    calls, calls_annotated = _calls_annotated(spark, d)
     return reconciliation("prescriptions", rx, rx_annotated).unionByName(
         reconciliation("sales_calls", calls, calls_annotated))
 
@@ -326,6 +332,118 @@ def source_vs_damaged_warehouse(spark: SparkSession, d: str) -> DataFrame:
     return _differing_totals(spark, d, moved)
 
 
+# ------------------------------------------------------------------- load path
+def quoted_feed(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as a CSV feed whose texts hold line breaks, quotes and commas, staged again."""
+    feed = Feed(name="documents", columns=("doc_id", "lang", "source", "text"), dates=())
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    b.table(spark, d, "documents").select(*feed.columns).write.option("header", True).option(
+        "escape", '"').csv(path)
+    return read_csv(spark, path, feed).select(*feed.columns, MALFORMED)
+
+
+def fact_load(spark: SparkSession, d: str) -> DataFrame:
+    """Every prescription line as it is written: typed and keyed, or raw with its reason."""
+    _, annotated = _rx_annotated(spark, d)
+    return split_ready(annotated, RX_FEED)
+
+
+def _calls_annotated(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    calls, events = b.call_text(spark, d), b.contacts(spark, d)
+    codes = events.select("product_code").distinct().select(
+        F.col("product_code").cast("string").alias("product_code"),
+        F.col("product_code").alias("product_key"))
+    versions = b.contact_versions(events).withColumn("hcp_id", F.col("hcp_id").cast("string"))
+    return calls, annotate_fact(calls, CALL_FEED, pin(version_segments(versions)), codes,
+                                calendar_over(day_bounds(events.select("day"))))
+
+
+def reject_sink(spark: SparkSession, d: str) -> DataFrame:
+    """Rejected lines of the three feeds in one frame, each with the columns of its feed."""
+    lines = [(HCP_FEED, _hcp_rows(spark, d)), (RX_FEED, _rx_annotated(spark, d)[1]),
+             (CALL_FEED, _calls_annotated(spark, d)[1])]
+    return stack_rejects({
+        feed.name: rows.where(F.col(REASON).isNotNull()).select(*feed.columns, REASON)
+        for feed, rows in lines})
+
+
+def literal_products(spark: SparkSession, d: str) -> DataFrame:
+    """Order lines dealt to the fixed products."""
+    products = dimensions.dim_product(spark)
+    key = (F.col("l_partkey") % 8 + 1).alias("product_key")
+    return b.table(spark, d, "lineitem").select(key, "l_quantity").join(
+        products, "product_key").groupBy("product_code", "brand_name", "is_competitor").agg(
+        F.sum(F.col("l_quantity").cast("int")).alias("trx"))
+
+
+def corrected_history(spark: SparkSession, d: str) -> DataFrame:
+    """The prescriber dimension from two batches, of which the second corrects the past of the first."""
+    rows = _hcp_rows(spark, d).where(F.col(REASON).isNull()).withColumn(
+        PLACE, F.struct("ordinal")).withColumn(LOADED_IN, F.lit(0))
+    late = F.col("ordinal") % 3 == 0
+    first, second = pin(rows.where(~late)), pin(rows.where(late))
+    start = dimensions.key_new_versions(dimensions.hcp_versions(
+        first, ordinal_col=PLACE, same_day="first"))
+    return refold(pin(start), first, second, same_day="first").drop("hcp_key")
+
+
+def dimension_checks(spark: SparkSession, d: str) -> DataFrame:
+    """The gate's row conditions over calendar, products and territories with holes."""
+    size = F.col("p_size")
+    products = b.table(spark, d, "part").select(
+        F.col("p_partkey").alias("product_key"), F.col("p_name").alias("product_code"),
+        F.when(size > 5, F.col("p_brand")).alias("brand_name"),
+        F.when(size > 10, F.col("p_type")).alias("molecule"),
+        F.col("p_type").alias("therapeutic_area"), F.when(size < 49, size > 20).alias("is_competitor"))
+    places = b.table(spark, d, "customer").select(
+        F.when(F.col("c_custkey") % 9 > 0, F.col("c_custkey")).alias("territory_key"),
+        F.col("c_name").alias("territory_code"), F.col("c_mktsegment").alias("territory_name"),
+        F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")).alias("region"),
+        F.lit("India").alias("country"))
+    rows = {"dim_date": b.order_calendar(spark, d), "dim_product": products, "dim_territory": places}
+    return quality.stack([quality.count_rows_where(table, quality.row_conditions(name))
+                          for name, table in rows.items()])
+
+
+def stored_drilldown(spark: SparkSession, d: str) -> DataFrame:
+    """The drill-down by its access path, built from all prescriptions."""
+    folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    write_by_prescriber(b.prescriptions(spark, d, False), folder)
+    return read_prescriber(spark, folder, DRILLDOWN_HCP_KEY).groupBy("year_month").agg(
+        F.sum("trx").alias("trx"))
+
+
+# ----------------------------------------------------------------- large groups
+def scanned_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Order lines of a brand in order: price of the line before, volume to date, change of status."""
+    parts = b.table(spark, d, "part").select("p_partkey", "p_brand")
+    lines = b.table(spark, d, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.col("p_brand").alias("brand"), F.col("l_shipdate").cast("date").alias("day"),
+        F.col("l_orderkey").alias("order_key"), F.col("l_linenumber").alias("line"),
+        F.col("l_quantity").cast("long").alias("trx"), F.col("l_extendedprice").alias("price"),
+        "l_returnflag", "l_linestatus")
+    return with_scans(
+        lines, ["brand"], ["day", "order_key", "line"], {"price_before": "price"},
+        {"trx_to_date": "trx"}, {"changed": ["l_returnflag", "l_linestatus"]})
+
+
+def median_prices(spark: SparkSession, d: str) -> DataFrame:
+    """Median price of the order lines of each brand, in whole cents."""
+    parts = b.table(spark, d, "part").select("p_partkey", F.col("p_brand").alias("brand"))
+    cents = F.rint(F.col("l_extendedprice") * 100).cast("long").alias("cents")
+    lines = b.table(spark, d, "lineitem").select("l_partkey", cents, F.lit(1).alias("n"))
+    found = medians(lines.join(parts, F.col("l_partkey") == F.col("p_partkey")), ["brand"], "cents", "n")
+    return found.select("brand", ((F.col("low") + F.col("high")) / 2).alias("median_cents"))
+
+
+def distinct_buyers(spark: SparkSession, d: str) -> DataFrame:
+    """Different customers per brand and month, per brand, per month and in all."""
+    rx = b.prescriptions(spark, d, False).join(
+        b.products(spark, d).select("product_key", "brand_name"), "product_key")
+    return distinct_ids(rx, "hcp_key", [
+        ["brand_name", "year_month"], ["brand_name"], ["year_month"], []])
+
+
 QUERIES: dict[str, Query] = {
     "brand_share_mom": brand_share_mom,
     "prescriber_ranking": prescriber_ranking,
@@ -357,6 +475,16 @@ QUERIES: dict[str, Query] = {
     "distribution_checks": distribution_checks,
     "source_vs_warehouse": source_vs_warehouse,
     "source_vs_damaged_warehouse": source_vs_damaged_warehouse,
+    "quoted_feed": quoted_feed,
+    "fact_load": fact_load,
+    "reject_sink": reject_sink,
+    "literal_products": literal_products,
+    "corrected_history": corrected_history,
+    "dimension_checks": dimension_checks,
+    "stored_drilldown": stored_drilldown,
+    "scanned_lines": scanned_lines,
+    "median_prices": median_prices,
+    "distinct_buyers": distinct_buyers,
 }
 
 

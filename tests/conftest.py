@@ -12,7 +12,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 def spark(tmp_path_factory):
     from starloom.session import local_session
 
-    session = local_session("tests", cores="4", shuffle_partitions=4, memory="4g")
+    session = local_session("tests", cores="8", shuffle_partitions=4, memory="4g")
     session.sparkContext.setLogLevel("ERROR")
     session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))
     yield session

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from starloom.operators.coerce import REASON
 from starloom.plans import dimensions, refresh, reports
 from starloom.schemas import CALL_FEED, HCP_FEED, RX_FEED
-from starloom.sources.feeds import MALFORMED, read_csv
+from starloom.sources.feeds import MALFORMED, PLACE, read_csv
+from starloom.sources import tables
 from starloom.sources.tables import Warehouse, append_rows, cluster_fact, slices_per_month
 
 HCP = [
@@ -146,9 +147,9 @@ def test_clean_feeds_leave_header_only_rejects(spark, feeds, tmp_path):
 def test_csv_is_positional_text(spark, tmp_path):
     path = tmp_path / "rx.csv"
     path.write_text('h\n"2024-01-01","A ""x"", é",P,,"","1\n2",3\nshort,line\n', encoding="utf-8")
-    found = read_csv(spark, str(path), RX_FEED).collect()
-    assert found[0][:4] == ("2024-01-01", 'A "x", é', "P", None)
-    assert found[-1][MALFORMED] is not None
+    found = read_csv(spark, str(path), RX_FEED).orderBy(PLACE).collect()
+    assert found[0][:7] == ("2024-01-01", 'A "x", é', "P", None, "", "1\n2", "3")
+    assert [r[MALFORMED] for r in found] == [None, "short,line"]
 
 
 def test_lost_rows_fail_reconciliation():
@@ -219,6 +220,32 @@ def test_drilldown_reads_only_its_prescriber(spark, feeds, tmp_path):
     assert "gross_sales" not in plan and "date_key" not in plan
 
 
+def test_drilldown_by_the_access_path_reads_one_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "KEYS_PER_SLICE", 10)
+    folder = str(tmp_path / "path")
+    facts = spark.range(3000).select(
+        (F.col("id") % 300 + 1).alias("hcp_key"),
+        F.concat(F.lit("2024-0"), F.col("id") % 7 + 1).alias("year_month"),
+        F.col("id").alias("trx_count"))
+    tables.write_by_prescriber(facts, folder)
+    assert len(spark.read.parquet(folder).inputFiles()) >= 30
+    for key in (1, 10, 11, 42, 300):
+        found = tables.read_prescriber(spark, folder, key)
+        assert len(found.inputFiles()) == 1
+        assert rows(found) == rows(facts.where(F.col("hcp_key") == key).groupBy(
+            "hcp_key", "year_month").agg(F.sum("trx_count").alias("trx")))
+    assert tables.read_prescriber(spark, folder, 301).isEmpty()
+
+
+def test_stored_drilldown_equals_the_report(spark, feeds, tmp_path):
+    root = str(tmp_path / "warehouse")
+    refresh.run(spark, feeds, root)
+    run = Warehouse(spark, root).current()
+    for key in (1, 2, 3, 99):
+        assert rows(reports.stored_drilldown(run, key)) == rows(
+            reports.prescriber_drilldown(run.star(), key))
+
+
 def test_layout_gathers_prescribers_and_splits_hot_groups(spark, tmp_path):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
     try:
