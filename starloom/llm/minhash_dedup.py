@@ -3,13 +3,17 @@
 Every document gets ``CHUNKS * WIDTH`` MinHash values of 16 bits. Two documents whose signatures
 differ in at most ``CHUNKS * 2 - 1`` values have, by the pigeonhole principle, a chunk that differs
 in at most one value. So each chunk is indexed with each of its values left out in turn: two
-documents within that distance always share a key. At a Jaccard similarity of 0.85 the distance has
-mean 9 and deviation 2.8; more than 23 come up about twice in a million pairs.
+documents within that distance always share a key. Pairs farther apart mostly share one, too: with
+values equal at the rate of the similarity, no chunk of a pair agrees in four of its five values
+with a chance of 4e-10 at 0.85 and 1e-7 at 0.80. Pairs that share a key are dropped by their
+signatures only beyond six deviations, one in 10^9.
 
 Documents with the same word sequence are one class and take part once. Buckets are not expanded
 into all pairs at first: each member is compared with the bucket's smallest member, which ties a
 group of copies together however large it is. Only members of a bucket that are still apart are
-then compared with each other, in blocks; a pair is taken from the first key it shares. Pairs whose
+then compared with each other, in blocks: those outside the bucket's main component with one another
+and with that component, each side in as few blocks as its rows and shingles ask for. Of buckets with
+the same members one is taken, and a pair is taken from the first key it shares. Pairs whose
 sizes or signatures rule the similarity out are dropped; the rest is confirmed on the full shingle
 sets. Blocks are confirmed where they meet, and give only the links that tie components together.
 
@@ -25,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.common import (
@@ -42,8 +46,7 @@ from starloom.session import pin
 
 CHUNKS, WIDTH = 12, 5
 N_VALUES = CHUNKS * WIDTH
-MOST_APART = CHUNKS * 2 - 1
-BLOCK_ROWS = 512
+BLOCK_ROWS, BLOCK_SHINGLES = 512, 1_000_000
 LONG_VALUES = 256
 _draw = np.random.default_rng(20)
 _N = N_VALUES + LONG_VALUES
@@ -154,6 +157,12 @@ def near(pairs: DataFrame, signed: DataFrame, width: int, most: int, percent: in
         _near(width, most, percent), "a long, b long")
 
 
+def farthest(n_values: int, percent: int) -> int:
+    """Six deviations above the mean number of differing values at the similarity asked for."""
+    apart = 1 - percent / 100
+    return round(n_values * apart + 6 * (n_values * apart * (1 - apart)) ** 0.5)
+
+
 def _linked_in_blocks(percent: int):
     """Links within each (key, i, j) that tie its components together, at most one per row.
 
@@ -162,6 +171,8 @@ def _linked_in_blocks(percent: int):
     signatures, then on the full sets: one text's shingles are marked in a table of the tile's, and
     the marks under its partners' shingles add up to the intersections.
     """
+    most = farthest(N_VALUES, percent)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tile in groups(batches, ["key", "i", "j"]):
             i, j = tile["i"][0].as_py(), tile["j"][0].as_py()
@@ -180,7 +191,7 @@ def _linked_in_blocks(percent: int):
                 y = y[(label[y] != label[x])
                       & (100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x]))]
                 same = sig[y] == sig[x]
-                close = (~same).sum(axis=1) <= MOST_APART
+                close = (~same).sum(axis=1) <= most
                 close[close] = _first_slot(same[close]) == slot
                 y = y[close]
                 if not len(y):
@@ -202,12 +213,6 @@ def _linked_in_blocks(percent: int):
 
 
 # ---------------------------------------------------------------- confirmation
-def long_distance(percent: int) -> int:
-    """Six deviations above the mean number of differing values at the similarity asked for."""
-    apart = 1 - percent / 100
-    return round(LONG_VALUES * apart + 6 * (LONG_VALUES * apart * (1 - apart)) ** 0.5)
-
-
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in portions(batch, by_text):
@@ -248,7 +253,7 @@ def shingle_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def confirm(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) with ``100 * intersection >= percent * union`` of their shingles."""
-    likely = pin(near(pairs, sets, LONG_VALUES, long_distance(percent), percent))
+    likely = pin(near(pairs, sets, LONG_VALUES, farthest(LONG_VALUES, percent), percent))
     side = lambda x: sets.select(
         F.col("id").alias(x), F.col("shingles").alias(f"set_{x}"))
     return likely.join(side("b"), "b").join(side("a"), "a").select("a", "b", "set_a", "set_b") \
@@ -280,32 +285,44 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     signs = classes.select("id", "n", "sig")
     stars = members.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"))
-    pairs = near(stars.distinct(), signs, N_VALUES, MOST_APART, percent)
+    pairs = near(stars.distinct(), signs, N_VALUES, farthest(N_VALUES, percent), percent)
     sets = shingle_sets(docs, members.select("id"))
     links = pin(confirm(sets, pin(pairs), percent))
     tied = components(links)
 
     apart = members.join(tied, "id", "left").withColumn(
         "component_id", F.coalesce("component_id", "id"))
+    low_half, high_half = F.lit(0xFFFFFFFF), 32
     mixed = apart.where("members > 2").groupBy("key").agg(
         F.min("component_id").alias("low"), F.max("component_id").alias("high"),
-        F.min_by("component_id", "id").alias("main_component")).where("low <> high")
-    blocks = F.ceil(F.col("members") / BLOCK_ROWS).cast("int")
-    rows = pin(apart.join(mixed.select("key", "main_component").hint("rebalance"), "key")
+        F.min_by("component_id", "id").alias("main_component"), F.count(F.lit(1)).alias("n"),
+        F.sum(F.xxhash64("id").bitwiseAND(low_half)).alias("mark_a"),
+        F.sum(F.shiftrightunsigned(F.xxhash64("id"), high_half)).alias("mark_b")).where("low <> high")
+    # Of buckets with the same members the one with the first slot stays, where their pairs meet.
+    once = mixed.groupBy("n", "mark_a", "mark_b").agg(F.min_by(
+        F.struct("key", "main_component"), F.col("key").bitwiseAND(F.lit(63))).alias("kept"))
+    rows = pin(apart.join(once.select("kept.*").hint("rebalance"), "key")
                .withColumn("main", (F.col("component_id") == F.col("main_component")).cast("int"))
-               .withColumn("blocks", blocks)
-               .withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-               .select("key", "id", "component_id", "main", "block", "blocks"))
+               .select("key", "id", "component_id", "main").join(signs, "id"))
+
+    def blocks(main: int, name: str) -> Column:
+        mine = F.col("main") == main
+        return F.greatest(F.lit(1), F.ceil(F.count_if(mine) / BLOCK_ROWS), F.ceil(
+            F.sum(F.when(mine, F.col("n")).otherwise(0)) / BLOCK_SHINGLES)).cast("int").alias(name)
+    sizes = rows.groupBy("key").agg(blocks(1, "main_blocks"), blocks(0, "other_blocks"))
+    own_blocks = F.when(F.col("main") == 1, F.col("main_blocks")).otherwise(F.col("other_blocks"))
+    rows = pin(rows.join(sizes.hint("rebalance"), "key").withColumn(
+        "block", F.pmod(F.xxhash64("id"), own_blocks).cast("int")))
     # Two blocks meet in a tile; members of the main component meet the others only.
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     tile = lambda i, j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
     tiles = F.when(F.col("main") == 1, F.transform(
-        every, lambda other: tile(-1 - other, F.col("block")))).otherwise(F.concat(
-            F.transform(every, lambda other: tile(-1 - F.col("block"), other)),
-            F.transform(every, lambda other: tile(F.least("block", other),
-                                                  F.greatest("block", other)))))
-    later = (rows.select("key", "id", "component_id", "main", "block", F.inline(tiles))
-             .join(signs.select("id", "sig"), "id").join(sets.select("id", "shingles"), "id")
+        every("other_blocks"), lambda other: tile(-1 - other, F.col("block")))).otherwise(F.concat(
+            F.transform(every("main_blocks"), lambda main: tile(-1 - F.col("block"), main)),
+            F.transform(every("other_blocks"), lambda other: tile(
+                F.least("block", other), F.greatest("block", other)))))
+    later = (rows.select("key", "id", "component_id", "main", "block", "sig", F.inline(tiles))
+             .join(sets.select("id", "shingles"), "id")
              .select("key", "i", "j", "id", "component_id", "main", "block", "sig", "shingles")
              .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
              .mapInArrow(_linked_in_blocks(percent), "a long, b long").distinct())
