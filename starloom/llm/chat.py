@@ -12,7 +12,8 @@ reading back gives the very text. The loss mask of a turn is the stretch of its
 
 Each turn is formatted on its own; only the digests bring a conversation together, sorted and read
 as a stream, so that its length is not bounded by memory. Null texts and roles are empty. Turns sort
-by (turn, role, text), null turns first; repeated rows are repeated turns. Rows without a conv_id
+by (turn, role, text) as they were before escaping, null turns first; repeated rows are repeated
+turns. Rows without a conv_id
 form one conversation without an id. Fields beyond a layout's are another layout.
 """
 
@@ -25,13 +26,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.common import table
 from starloom.session import pin
 
 ASSISTANT = "assistant"
+LISTED = 64
 TURN = "conv_id long, turn long, role string, text string, problem string"
 
 
@@ -216,20 +218,64 @@ def digests(output: DataFrame) -> DataFrame:
             ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256",
              "formatted_chars"])
 
-    ordered = output.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "formatted")
+    head = F.locate(">", F.col("formatted"))
+    role = _plain(F.substring("formatted", F.lit(7), head - 7))
+    text = _plain(F.substring("formatted", head + 1, F.length("formatted")))
+    ordered = output.repartition("conv_id").sortWithinPartitions("conv_id", "turn", role, text)
     return ordered.mapInArrow(
         run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
         "loss_sha256 string, formatted_chars long")
 
 
+def _plain(escaped: Column) -> Column:
+    """``unescape`` as a column: between double backslashes the other codes stand for themselves."""
+    pieces = F.transform(F.split(escaped, r"\\\\"), lambda x: F.replace(
+        F.replace(x, F.lit("\\l"), F.lit("<")), F.lit("\\g"), F.lit(">")))
+    return F.array_join(pieces, "\\")
+
+
 # --------------------------------------------------------------------- queries
+def in_layouts(rows: DataFrame) -> DataFrame:
+    """(record) JSON of conversations (conv_id, turn, role, text), by id in one layout or another.
+
+    Conversations of more than ``LISTED`` turns stay a record per turn, however long they are; so do
+    those a layout has no room for.
+    """
+    pair = F.col("role").eqNullSafe(F.when(F.col("turn") == 0, "user").otherwise(ASSISTANT))
+    sizes = pin(rows.groupBy("conv_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(
+            pair & F.col("turn").isin(0, 1) & F.col("text").isNotNull()).alias("fitting"),
+        F.count_distinct("turn").alias("places")).where(
+        F.col("conv_id").isNotNull() & (F.col("n") <= LISTED)).select(
+        F.col("conv_id").alias("id"), F.pmod("conv_id", F.lit(4)).alias("kind"),
+        ((F.col("n") == 2) & (F.col("fitting") == 2) & (F.col("places") == 2)).alias("answered")))
+    kind = F.when(F.col("kind").isin(1, 2), F.col("kind")).when(
+        (F.col("kind") == 3) & F.col("answered"), 3).otherwise(0)
+    marked = rows.join(sizes, F.col("conv_id") == F.col("id"), "left").select(
+        *rows.columns, F.coalesce(kind, F.lit(0)).alias("kind"))
+    options = {"ignoreNullFields": "false"}
+    single = marked.where("kind = 0").select(F.to_json(F.struct(*rows.columns), options).alias("record"))
+    names = F.create_map(*[F.lit(x) for x in ("user", "human", ASSISTANT, "gpt")])
+    listed = marked.where("kind > 0").groupBy("conv_id", "kind").agg(F.array_sort(F.collect_list(
+        F.struct("turn", "role", "text"))).alias("turns"))
+
+    def written(k: int, *fields: Column) -> DataFrame:
+        return listed.where(F.col("kind") == k).select(
+            F.to_json(F.struct("conv_id", *fields), options).alias("record"))
+    messages = F.transform("turns", lambda t: F.struct(
+        t["role"].alias("role"), t["text"].alias("content"))).alias("messages")
+    shared = F.transform("turns", lambda t: F.struct(F.coalesce(F.try_element_at(
+        names, F.coalesce(t["role"], F.lit(""))), t["role"]).alias("from"), t["text"].alias("value")))
+    return (single.union(written(1, messages)).union(written(2, shared.alias("conversations")))
+            .union(written(3, F.get("turns", F.lit(0))["text"].alias("prompt"),
+                           F.get("turns", F.lit(1))["text"].alias("completion"))))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     tricky = r"\### Assistant: </turn> ok"
     added = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, ASSISTANT, tricky)], rows.schema)
-    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
-    turns = canonical(rows.union(added).select(record.alias("record")))
-    return digests(pin(formatted(turns)))
+    return digests(pin(formatted(canonical(in_layouts(rows.union(added))))))
 
 
 OP7_SQL = r"""

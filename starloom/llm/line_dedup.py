@@ -57,36 +57,43 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
 
 def with_kept_text(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_lines``, ``_covered`` (null if none) and ``_kept``, the text that stays."""
-    covered = repeated_lines(docs.select("doc_id", "text")).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"),
-        F.col("covered").alias("_covered"))
-    joined = docs.join(covered, F.col("doc_id").eqNullSafe(F.col("_id"))
-                       & (F.xxhash64("text") == F.col("_hash")), "left").drop("_id", "_hash")
-    joined = joined.withColumn("_split", _lines(F.col("text")))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("_split") - 1), F.col("_covered"))
-    kept = F.array_join(F.transform(stay, lambda i: F.get("_split", i)), "\n")
-    return joined.withColumns({
-        "_lines": F.size("_split").cast("long"),
-        "_kept": F.when(F.col("_covered").isNull(), F.col("text")).otherwise(kept)}).drop("_split")
-
-
-def drop_repeated_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with the columns it came with, repeated passages removed from ``text``."""
-    kept = with_kept_text(docs)
-    new = {"text": F.col("_kept")}
+    """(row, lines, covered, kept): every row as a struct, its lines, the numbers of those removed
+    (null if none) and the text that stays."""
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"),
+                       F.xxhash64("text").alias("hash"), _lines(F.col("text")).alias("lines"))
+    covered = repeated_lines(docs.select("doc_id", "text")).withColumnsRenamed(
+        {"doc_id": "covered_id", "text_hash": "covered_hash"})
+    joined = rows.join(covered, F.col("id").eqNullSafe(F.col("covered_id"))
+                       & (F.col("hash") == F.col("covered_hash")), "left")
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("covered"))
+    kept = F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n")
+    return joined.select("row", "lines", "covered", F.when(
+        F.col("covered").isNull(), F.col("row.text")).otherwise(kept).alias("kept"))
+
+
+def drop_repeated_lines(docs: DataFrame, drop_emptied: bool = False) -> DataFrame:
+    """``docs`` with the columns it came with, repeated passages removed from ``text``.
+
+    ``drop_emptied`` leaves out documents that lost lines and have nothing but white space left.
+    """
+    found = with_kept_text(docs)
+    if drop_emptied:
+        gone = F.col("covered").isNotNull() & (
+            F.length(F.btrim("kept", F.lit(SPACES))) == 0)
+        found = found.where(~gone)
+    new = {"text": F.col("kept")}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.length("_kept").cast(docs.schema["n_chars"].dataType)
-    return kept.withColumns(new).select(*docs.columns)
+        new["n_chars"] = F.length("kept").cast(docs.schema["n_chars"].dataType)
+    return found.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 # --------------------------------------------------------------------- queries
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return with_kept_text(docs).select(
-        "doc_id", F.col("_lines").alias("n_lines"),
-        F.coalesce(F.size("_covered"), F.lit(0)).cast("long").alias("n_removed"),
-        F.col("_kept").alias("text"))
+        F.col("row.doc_id").alias("doc_id"), F.size("lines").cast("long").alias("n_lines"),
+        F.coalesce(F.size("covered"), F.lit(0)).cast("long").alias("n_removed"),
+        F.col("kept").alias("text"))
 
 
 OP4_SQL = """

@@ -1,15 +1,16 @@
 """Quality rules from lines that many documents of a host share; DataFrame functions only.
 
 A line is normalised (lower case, digit runs as 0, no white space at its ends) and hashed together
-with the host, which is ``source``. Lines that stand in more than ``MOST_DOCUMENTS`` different texts
-of a host are boilerplate; exact copies of a text count once. A document of whose characters in
-lines less than ``LEAST_LEFT`` percent would be left without them is depleted and not kept, nor is
-one that fails the base rules (fewer than 50 words, or more than half of them in repeated windows).
+with the host, which is ``source``. Lines that stand in more than ``MOST_DOCUMENTS`` documents of a
+host are boilerplate. A document of whose characters in lines less than ``LEAST_LEFT`` percent would
+be left without them is depleted and not kept, nor is one that fails the base rules (fewer than 50
+words, or more than half of them in repeated windows). Hashes have 64 bits: among 10^11 different
+lines some 270 pairs share one, which matters only if one of the two is frequent or nearly so.
 ``keep_good`` gives the documents that are kept, with the boilerplate taken out; ``judge`` the verdicts.
 
 Null and empty texts have no words and fail the base rules. A null source is a host of its own.
-Repeated rows (same doc_id, source and text) get the same verdict and count as one document. Other
-columns are ignored by ``judge`` and passed through by the others; there a null text stays null and a
+Rows of a host that repeat a doc_id count as one document, each judged by its own text; rows without
+a doc_id are one document per text. Other columns are ignored by ``judge`` and passed through by the others; there a null text stays null and a
 column ``n_chars`` is brought up to date.
 """
 
@@ -80,10 +81,27 @@ def _host_lines(docs: DataFrame) -> DataFrame:
 
 
 def frequent_lines(docs: DataFrame, most: int) -> DataFrame:
-    """(line_key) of the lines that stand in more than ``most`` different texts of their host."""
-    once = _host_lines(docs).select("text_hash", F.explode(F.array_distinct(
-        F.col("host_lines.line_key"))).alias("line_key"))
-    return once.distinct().groupBy("line_key").agg(F.count(F.lit(1)).alias("n")).where(
+    """(line_key) of the lines that stand in more than ``most`` documents of their host.
+
+    A row is a document unless its doc_id is repeated, so lines are counted without telling rows
+    apart, but for the rows of repeated ids.
+    """
+    who = ["source", "doc_id", "unnamed"]
+    unnamed = F.when(F.col("doc_id").isNull(), F.col("text_hash")).alias("unnamed")
+    repeated = pin(docs.select("source", "doc_id", unnamed).groupBy(*who).agg(
+        F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        *[F.col(c).alias(f"{c}_") for c in who], F.lit(True).alias("again")))
+    same = F.lit(True)
+    for c in who:
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}_"))
+    lines = _host_lines(docs).select("source", "doc_id", unnamed, F.array_distinct(
+        F.col("host_lines.line_key")).alias("line_keys"))
+    held = lines.join(repeated, same, "left").select(
+        F.when(F.col("again"), F.xxhash64(*who)).alias("document"),
+        F.explode("line_keys").alias("line_key"))
+    counted = held.groupBy("line_key", "document").agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy("line_key").agg(
+        F.sum(F.when(F.col("document").isNull(), F.col("n")).otherwise(1)).alias("n")).where(
         F.col("n") > most).select("line_key")
 
 
@@ -187,7 +205,7 @@ with docs as (
 ), dups as (
   select doc_id, count(*) - count(distinct line) as n from solid group by doc_id
 ), frequent as (
-  select source, plain from solid group by all having count(distinct text) > {MOST_DOCUMENTS}
+  select source, plain from solid group by all having count(distinct doc_id) > {MOST_DOCUMENTS}
 ), chars as (
   select s.doc_id, sum(length(s.plain)) as total,
     coalesce(sum(length(s.plain)) filter (f.plain is not null), 0) as lost

@@ -1,11 +1,14 @@
 """Secret scans: fixed patterns, and strings that look random; DataFrame functions only.
 
 Two character Markov models (pairs of neighbouring characters) are trained from labelled strings:
-random ones are what the fixed patterns caught, ordinary ones the identifiers and words of 4 to 19
-characters of texts in which they caught nothing. A long unbroken string is reported when its log-likelihood under the
-first exceeds that under the second by ``LEAST_RATIO`` and on average by ``LEAST_MEAN`` per pair. The
-models are fitted on at most ``SAMPLE`` texts of each kind (smallest hash of the id), the tables have
-a row per pair of characters; all else runs over all texts.
+random ones are values of ``LEAST_RANDOM`` and more characters, letters and digits both, that the
+fixed patterns caught; ordinary ones the identifiers and words of 4 to 19 characters of texts in
+which they caught nothing. An unbroken string is reported when its log-likelihood under the first
+exceeds that under the second by ``LEAST_RATIO`` and on average by ``LEAST_MEAN`` per pair. Scored are
+all strings of 20 and more characters and, from 8 characters on, those with a digit or with a capital
+after a small letter; shorter runs of letters of one case are words. The models are fitted on at
+most ``SAMPLE`` texts of each kind (smallest hash of the id), the tables have a row per pair of
+characters; all else runs over all texts.
 
 Offsets count code points, ends are exclusive. Matches are leftmost and do not overlap within a kind;
 strings that touch a fixed pattern's match are not reported again. Null and empty texts have no
@@ -21,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.common import table
+from starloom.session import pin
 
 # The base patterns and the least length of what they must hold.
 ASSIGN = (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -29,8 +33,10 @@ ACCESS, HEX = "AKIA[A-Z0-9]+", "[0-9a-f]+"
 LEAST = {"assign": 8, "access": 16, "hex": 32}
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
-STRING = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
-# Shorter than what is scanned, so that no secret the fixed patterns miss passes for an ordinary word.
+LEAST_MIXED, LEAST_PLAIN, LEAST_RANDOM = 8, 20, 12
+MIXED = r"(?:[A-Za-z+/_-]*[0-9]|[A-Z0-9+/_-]*[a-z][a-z0-9+/_-]*[A-Z])"
+STRING = (rf"(?<![A-Za-z0-9+/_-])(?:(?={MIXED})[A-Za-z0-9+/_-]{{{LEAST_MIXED},}}"
+          rf"|[A-Za-z0-9+/_-]{{{LEAST_PLAIN},}})")
 IDENTIFIER = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{4,19}(?![A-Za-z0-9+/_-])"
 SAMPLE = 2000
 LEAST_RATIO, LEAST_MEAN, BACKED = 8.0, 0.5, 20
@@ -94,25 +100,24 @@ def written(spans: dict[str, Column]) -> Column:
 
 
 # ---------------------------------------------------------------------- models
-def _sampled(docs: DataFrame, which: Column) -> DataFrame:
-    """At most ``SAMPLE`` of the texts that ``which`` picks."""
-    order = F.xxhash64("doc_id")
-    ids = docs.where(which & F.col("doc_id").isNotNull()).select("doc_id").orderBy(
-        order, "doc_id").limit(SAMPLE).distinct()
-    return docs.join(F.broadcast(ids), "doc_id", "left_semi")
-
-
 def labelled_strings(docs: DataFrame) -> DataFrame:
     """(string, random): what the fixed patterns caught, and ordinary identifiers and words."""
     text = F.col("text")
     caught = text.rlike(ASSIGN) | text.contains("AKIA") | text.rlike(
         f"[0-9a-f]{{{LEAST['hex']}}}")
+    told = pin(docs.where("doc_id is not null").select(
+        F.col("doc_id").alias("id"), caught.cast("int").alias("random")))
+    # At most SAMPLE ids of each kind, so they are few enough to send to every task.
+    picked = [told.where(F.col("random") == r).distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
+              for r in (0, 1)]
+    texts = docs.join(F.broadcast(picked[0].union(picked[1])), F.col("doc_id") == F.col("id"))
     spans = base_spans(text)
-    rare = _sampled(docs, caught).select(F.explode(F.concat(
-        *[F.transform(s, lambda x: x["value"]) for s in spans.values()])).alias("string"))
-    usual = _sampled(docs, ~caught).select(F.explode(
-        F.regexp_extract_all(text, F.lit(IDENTIFIER), F.lit(0))).alias("string"))
-    return rare.withColumn("random", F.lit(1)).union(usual.withColumn("random", F.lit(0)))
+    values = F.concat(*[F.transform(s, lambda x: x["value"]) for s in spans.values()])
+    drawn = F.filter(values, lambda v: (F.length(v) >= LEAST_RANDOM) & v.rlike("[0-9]")
+                     & v.rlike("[A-Za-z]"))
+    usual = F.regexp_extract_all(text, F.lit(IDENTIFIER), F.lit(0))
+    return texts.select(F.explode(F.when(F.col("random") == 1, drawn).otherwise(usual))
+                        .alias("string"), "random")
 
 
 def train(docs: DataFrame) -> list[float]:
@@ -136,7 +141,7 @@ def train(docs: DataFrame) -> list[float]:
 
 
 def random_spans(text: Column, ratio: list[float]) -> Column:
-    """Long strings that are likelier under the model of random strings."""
+    """Strings that are likelier under the model of random strings."""
     table_of = F.split(F.lit(",".join(f"{x:.6f}" for x in ratio)), ",").cast("array<double>")
 
     def letter(s: Column, i: Column) -> Column:
@@ -149,7 +154,7 @@ def random_spans(text: Column, ratio: list[float]) -> Column:
             lambda acc, i: acc + F.get(table_of, letter(s, i) * len(ALPHABET) + letter(s, i + 1)))
         return (total >= LEAST_RATIO) & (total >= LEAST_MEAN * (F.length(s) - 1))
 
-    return F.coalesce(F.when(text.rlike(r"[A-Za-z0-9+/_-]{20}"), F.filter(
+    return F.coalesce(F.when(text.rlike(STRING), F.filter(
         matches(text, STRING), likely)), _none())
 
 

@@ -3,9 +3,12 @@
 The score is logistic in the densities of selected words and word starts (4 to 6 bytes), per hundred
 words. It is fitted on at most ``MAX_LABELLED`` labelled documents per class, those with the
 smallest hash of their id; nothing else about the fit is limited. For each of them that mentions a
-group (``IDENTITY``) a copy is made in which the terms are swapped for others of the same kind, and
-the squared change of the score's logit between the two is added to the loss. So a group's name gets
-no weight of its own, however unevenly the labels mention it.
+group (``IDENTITY``, or the terms that are given) a copy is made in which the terms are swapped for
+others of the same kind, and the squared change of the score's logit between the two is added to the
+loss. So a group's name gets no weight of its own, however unevenly the labels mention it.
+
+Labels of ids in fold 1 are never learnt from. The weight of the ridge is chosen among ``RIDGES`` by
+what a fit on one of the other two folds loses on the other; nothing is chosen on fold 1.
 
 Null and empty texts, and texts without words, get the score of a text in which nothing was found.
 Rows without a doc_id are scored but never learnt from; of several labels of one doc_id the highest
@@ -17,7 +20,7 @@ and ignored otherwise.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,7 +48,8 @@ N_FEATURES = 512
 LEAST_DOCUMENTS = 4
 STARTS = (4, 5, 6)
 THRESHOLD = 0.7
-RIDGE, FLOOR, FAIRNESS, STEPS, RATE = 0.5, 0.2, 1.0, 400, 0.3
+FLOOR, FAIRNESS, STEPS, RATE = 0.2, 1.0, 400, 0.3
+RIDGES = (0.1, 0.5, 2.0)
 BREAKS = separators(" \t\n\x0b\f\r!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
 SLOT_BITS = 20
 
@@ -106,18 +110,25 @@ class Model:
 
 
 # ------------------------------------------------------------------------- fit
-_TERMS = {term: kind for terms in IDENTITY.values() for term, kind in
-          zip(terms, (*terms[1:], terms[0]), strict=True)}
-_TERM = re.compile(rf"\b({'|'.join(_TERMS)})\b", re.IGNORECASE | re.ASCII)
+Terms = Mapping[str, Sequence[str]]
+
 
+class Swap:
+    """Replaces each group's term in a text by the next one of its kind."""
 
-def swap(text: str) -> str:
-    """The text with each group's term replaced by the next one of its kind."""
-    return _TERM.sub(lambda m: _TERMS[m[0].lower()], text)
+    def __init__(self, terms: Terms = IDENTITY):
+        self.next = {term: other for kind in terms.values() for term, other in
+                     zip(kind, (*kind[1:], *kind[:1]), strict=True)}
+        listed = "|".join(re.escape(t) for t in self.next)
+        self.pattern = re.compile(rf"\b({listed})\b" if listed else r"(?!)",
+                                  re.IGNORECASE | re.ASCII)
+
+    def __call__(self, text: str) -> str:
+        return self.pattern.sub(lambda m: self.next[m[0].lower()], text)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, swapped, toxic) of at most ``MAX_LABELLED`` labelled documents per class."""
+    """(doc_id, text, toxic) of at most ``MAX_LABELLED`` labelled documents per class."""
     known = labels.where(F.col("toxic").isin(0, 1) & (fold(F.col("doc_id")) != 1)).groupBy(
         F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64("doc_id")
@@ -146,8 +157,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["feature", "clean", "toxic"])
 
 
-def select_features(sample: DataFrame, n_clean: int, n_toxic: int) -> np.ndarray:
-    """The ``N_FEATURES`` features whose log odds between the classes stand out most."""
+def select_features(sample: DataFrame, n_clean: int, n_toxic: int, terms: Sequence[str]
+                    ) -> np.ndarray:
+    """The ``N_FEATURES`` features whose log odds between the classes stand out most, and ``terms``."""
     counts = sample.mapInArrow(_counted, "feature long, clean long, toxic long").groupBy(
         "feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     odds = lambda c, n: F.log((F.col(c) + 0.5) / (n + 0.5 - F.col(c)))
@@ -156,12 +168,11 @@ def select_features(sample: DataFrame, n_clean: int, n_toxic: int) -> np.ndarray
             .withColumn("z", F.abs(odds("toxic", n_toxic) - odds("clean", n_clean)) / spread)
             .orderBy(F.desc("z"), "feature").limit(N_FEATURES).select("feature"))
     chosen = [r["feature"] for r in best.collect()]
-    data, offsets = text_bytes(pa.array(list(_TERMS)))
-    _, terms = _features(words(data, offsets, BREAKS))
-    return np.unique(np.concatenate([np.array(chosen, np.int64).view(np.uint64), terms]))
+    _, named = _features(words(*text_bytes(pa.array(list(terms), pa.string())), BREAKS))
+    return np.unique(np.concatenate([np.array(chosen, np.int64).view(np.uint64), named]))
 
 
-def _vectors(model: Model):
+def _vectors(model: Model, swap: Swap):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in portions(batch, by_text):
@@ -178,8 +189,9 @@ def _vectors(model: Model):
                     for values, t in ((cell % width, pa.int32()), (share, pa.float32())):
                         cells.append(pa.ListArray.from_arrays(
                             pa.array(cuts, pa.int32()), pa.array(values).cast(t)))
-                yield pa.RecordBatch.from_arrays([part["toxic"].cast(pa.int32()), *cells],
-                                                 ["toxic", "at", "share", "at_swap", "share_swap"])
+                yield pa.RecordBatch.from_arrays(
+                    [part["toxic"].cast(pa.int32()), part["fold"], *cells],
+                    ["toxic", "fold", "at", "share", "at_swap", "share_swap"])
     return run
 
 
@@ -190,41 +202,81 @@ def _dense(rows: list, at: str, share: str, width: int) -> np.ndarray:
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
+@dataclass
+class Sample:
+    """Densities of labelled texts, and how a swap of terms changes those that mention a group."""
+
+    x: np.ndarray
+    y: np.ndarray
+    change: np.ndarray
+
+    def weight(self) -> np.ndarray:
+        ones = max(1.0, float(self.y.sum()))
+        return np.where(self.y == 1, 0.5 / ones, 0.5 / max(1.0, len(self.y) - ones)).astype(
+            np.float32)
+
+    def loss(self, w: np.ndarray, bias: float) -> float:
+        """Log loss, both classes weighing the same."""
+        margin = np.where(self.y == 1, 1, -1) * (self.x @ w + bias)
+        return float((self.weight() * np.logaddexp(0, -margin)).sum())
+
+
+def descend(sample: Sample, ridge: float, fairness: float) -> tuple[np.ndarray, float]:
+    """Weights and bias by Adam on the whole sample."""
+    x, y, change, weight = sample.x, sample.y, sample.change, sample.weight()
+    w, bias = np.zeros(x.shape[1], np.float32), 0.0
+    moment, square, b_moment, b_square = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
+    for step in range(1, STEPS + 1):
+        error = weight * (1 / (1 + np.exp(-np.clip(x @ w + bias, -60, 60))) - y)
+        slope = x.T @ error + ridge / len(x) * w
+        if len(change):
+            slope += fairness * change.T @ (change @ w) / len(change)
+        b_slope = error.sum()
+        moment, square = 0.9 * moment + 0.1 * slope, 0.99 * square + 0.01 * slope ** 2
+        b_moment, b_square = 0.9 * b_moment + 0.1 * b_slope, 0.99 * b_square + 0.01 * b_slope ** 2
+        first, second = 1 - 0.9 ** step, 1 - 0.99 ** step
+        w -= RATE * (1 - step / STEPS) * (moment / first) / (np.sqrt(square / second) + 1e-8)
+        bias -= RATE * (1 - step / STEPS) * (b_moment / first) / (np.sqrt(b_square / second) + 1e-8)
+    return w, float(bias)
+
+
+def chosen_ridge(sample: Sample, fold: np.ndarray, group: np.ndarray, fairness: float) -> float:
+    """The ridge whose fits on one fold lose least on the other; ``group`` is the fold of changes."""
+    parts = [Sample(sample.x[fold == f], sample.y[fold == f], sample.change[group == f])
+             for f in (0, 2)]
+    if any(len(set(p.y)) < 2 for p in parts):
+        return RIDGES[len(RIDGES) // 2]
+    losses = {r: sum(other.loss(*descend(part, r, fairness))
+                     for part, other in (parts, parts[::-1])) for r in RIDGES}
+    return min(RIDGES, key=lambda r: losses[r])
+
+
+def fit(docs: DataFrame, labels: DataFrame, fairness: float = FAIRNESS,
+        terms: Terms = IDENTITY) -> Model:
     """The classifier; what reaches the driver is bounded by ``MAX_LABELLED`` and ``N_FEATURES``."""
-    sample = pin(labelled_sample(docs, labels))
-    seen = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    picked = pin(labelled_sample(docs, labels).withColumn(
+        "fold", fold(F.col("doc_id")).cast("int")))
+    seen = {r["toxic"]: r["count"] for r in picked.groupBy("toxic").count().collect()}
     n_clean, n_toxic = seen.get(0, 0), seen.get(1, 0)
     none = np.zeros(0, np.uint64)
     if not n_clean or not n_toxic:
         return Model(none, none, 0.0, n_toxic / max(1, n_clean + n_toxic))
-    features = select_features(sample, n_clean, n_toxic)
+    swap = Swap(terms)
+    features = select_features(picked, n_clean, n_toxic, list(swap.next))
     model = Model(features, np.zeros(len(features)), 0.0)
-    rows = sample.mapInArrow(
-        _vectors(model), "toxic int, at array<int>, share array<float>, "
+    rows = picked.mapInArrow(
+        _vectors(model, swap), "toxic int, fold int, at array<int>, share array<float>, "
         "at_swap array<int>, share_swap array<float>").collect()
     x = _dense(rows, "at", "share", len(features))
-    y = np.array([r["toxic"] for r in rows], np.float32)
     mentions = [r for r in rows if r["at"] != r["at_swap"] or r["share"] != r["share_swap"]]
     change = _dense(mentions, "at_swap", "share_swap", len(features)) - _dense(
         mentions, "at", "share", len(features))
     size = np.sqrt((x ** 2).mean(axis=0)) + FLOOR
-    x, change = x / size, change / size
-    weight = np.where(y == 1, 0.5 / n_toxic, 0.5 / n_clean).astype(np.float32)
-    w, bias = np.zeros(len(features), np.float32), 0.0
-    moment, square, b_moment, b_square = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
-    for step in range(1, STEPS + 1):  # Adam on the whole sample
-        error = weight * (1 / (1 + np.exp(-np.clip(x @ w + bias, -60, 60))) - y)
-        slope = x.T @ error + RIDGE / len(x) * w
-        if len(change):
-            slope += FAIRNESS * change.T @ (change @ w) / len(change)
-        b_slope = error.sum()
-        moment, square = 0.9 * moment + 0.1 * slope, 0.99 * square + 0.01 * slope ** 2
-        b_moment, b_square = 0.9 * b_moment + 0.1 * b_slope, 0.99 * b_square + 0.01 * b_slope ** 2
-        first, second = 1 - 0.9 ** step, 1 - 0.99 ** step
-        w -= RATE * (1 - step / STEPS) * (moment / first) / (np.sqrt(square / second) + 1e-8)
-        bias -= RATE * (1 - step / STEPS) * (b_moment / first) / (np.sqrt(b_square / second) + 1e-8)
-    return Model(features, w.astype(np.float64) / size, float(bias))
+    sample = Sample(x / size, np.array([r["toxic"] for r in rows], np.float32), change / size)
+    ridge = chosen_ridge(sample, np.array([r["fold"] for r in rows]),
+                         np.array([r["fold"] for r in mentions]), fairness)
+    w, bias = descend(sample, ridge, fairness)
+    return Model(features, w.astype(np.float64) / size, bias)
 
 
 # ----------------------------------------------------------------------- score

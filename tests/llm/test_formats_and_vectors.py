@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import random
 import uuid
@@ -111,6 +112,48 @@ def test_chat_with_nulls_repeats_and_no_rows(spark):
     assert chat.digests(chat.formatted(spark.createDataFrame([], schema))).collect() == []
 
 
+def plain_digests(rows):
+    out = {}
+    order = lambda r: (r[1] is not None, r[1] or 0, (r[2] or "").encode(), (r[3] or "").encode())
+    for conv_id, group in itertools.groupby(
+            sorted(rows, key=lambda r: (r[0], *order(r))), key=lambda r: r[0]):
+        turns = [(r[2] or "", r[3] or "") for r in group]
+        learnt = "".join(t for r, t in turns if r == "assistant")
+        out[conv_id] = (
+            len(turns), hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest(),
+            len(learnt), hashlib.sha256(learnt.encode()).hexdigest())
+    return out
+
+
+def test_ties_and_null_turns_sort_by_what_was_said(spark):
+    said = ["<", "A", "\\", "]", "", None, "\\l", "<<", "\0", ">", "\\<"]
+    rows = [(c, t, r, x) for c in range(3) for t in (None, 0, 1) for r in ("user", "user2", "assistant", "a>", None)
+            for x in said]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    got = chat.digests(chat.formatted(df)).collect()
+    assert {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"])
+            for r in got} == plain_digests(rows)
+
+
+def test_conversations_survive_every_layout(spark):
+    draw = random.Random(7)
+    said = ["", None, "hi", "<turn user>", "a\\b", "two\nlines", "é"]
+    rows = []
+    for c in range(80):
+        pair = [(c, 0, "user", draw.choice(said)), (c, 1, "assistant", draw.choice(said))]
+        more = [(c, draw.choice([None, 0, 1, 2, 2]), draw.choice(["user", "assistant", "system", "tool", None]),
+                 draw.choice(said)) for _ in range(draw.choice([0, 0, 3, 70]))]
+        rows += pair + more
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    records = chat.in_layouts(df)
+    prints = {chat.fingerprint(set(chat.paths(json.loads(r["record"])))) for r in records.collect()}
+    assert {chat.registry()[p].name for p in prints} == {
+        "turn per record", "messages", "conversations", "prompt"}
+    got = chat.digests(chat.formatted(chat.canonical(records))).collect()
+    assert {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"])
+            for r in got} == plain_digests(rows)
+
+
 # ---------------------------------------------------------------------- vectors
 def test_vectors_match_brute_force(spark):
     draw = np.random.default_rng(6)

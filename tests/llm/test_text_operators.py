@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from starloom.llm import line_dedup, line_frequency, minhash_dedup, mixing, packing, secrets, toxicity
@@ -39,6 +41,25 @@ def test_line_dedup_without_rows(documents):
     assert line_dedup.drop_repeated_lines(documents([])).collect() == []
 
 
+def test_line_dedup_passes_columns_with_its_own_names(spark):
+    long = "\n".join(f"line {k % 5000}" for k in range(20_000))
+    names = ["_id", "_hash", "_covered", "_split", "_kept", "_lines", "row", "covered", "kept"]
+    df = spark.createDataFrame(
+        [(1, "a\nb\nc", *names), (2, "x\na\nb\nc", *names), (3, long, *names)],
+        "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    got = line_dedup.drop_repeated_lines(df)
+    assert got.columns == df.columns
+    kept = "\n".join(long.split("\n")[:5002])  # runs that begin with the last two lines are new
+    assert sorted(tuple(r) for r in got.collect()) == [
+        (1, "a\nb\nc", *names), (2, "x", *names), (3, kept[:kept.index("\nline 0", 9)], *names)]
+
+
+def test_line_dedup_drops_only_what_it_emptied(documents):
+    df = documents([(1, "a\nb\nc"), (2, "a\nb\nc"), (3, "a\nb\nc\n  "), (4, None), (5, ""), (6, " \n ")])
+    assert rows_of(line_dedup.drop_repeated_lines(df, drop_emptied=True), "doc_id", "text") == [
+        (1, "a\nb\nc"), (4, None), (5, ""), (6, " \n ")]
+
+
 # ------------------------------------------------------------------- near-dedup
 def plain_components(rows, percent):
     sets = {}
@@ -77,6 +98,29 @@ def test_near_duplicates_match_brute_force(documents, percent):
     assert found == plain_components(rows, percent)
 
 
+@pytest.mark.parametrize("rows_in_block,shingles_in_block", [(5, 10**6), (512, 900)])
+def test_near_duplicates_in_many_blocks(documents, monkeypatch, rows_in_block, shingles_in_block):
+    """A large group whose members lie at all distances, in buckets of many small blocks."""
+    monkeypatch.setattr(minhash_dedup, "BLOCK_ROWS", rows_in_block)
+    monkeypatch.setattr(minhash_dedup, "BLOCK_SHINGLES", shingles_in_block)
+    draw = random.Random(9)
+    base = [f"t{k}" for k in range(120)]
+    rows = []
+    for k in range(150):
+        copy = list(base)
+        for _ in range(draw.randrange(1, 9)):
+            copy[draw.randrange(len(copy))] = f"n{draw.randrange(40)}"
+        rows.append((k, " ".join(copy)))
+    got = minhash_dedup.near_duplicates(documents(rows), 80)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()}
+    assert found == plain_components(rows, 80)
+    assert len({c for _, c in found.values()}) > 5
+
+
+def test_distance_limits_follow_from_the_similarity():
+    assert minhash_dedup.farthest(60, 85) == 26 and minhash_dedup.farthest(60, 80) == 31
+
+
 def test_near_duplicates_without_ids_and_without_rows(documents):
     got = minhash_dedup.near_duplicates(documents([(None, "a b c"), (4, "a b c"), (4, "d e f")]))
     assert rows_of(got, "doc_id", "component_id", "kept") == [
@@ -115,6 +159,73 @@ def test_toxicity_learns_from_its_fold_only_and_ignores_groups(spark, documents)
     assert 350 <= clean.count() <= 420
 
 
+def test_penalty_takes_the_weight_off_group_terms(spark, documents):
+    """Neutral mentions of a group that the labels lean against: with and without the penalty."""
+    draw = random.Random(2)
+    words = [f"w{k}" for k in range(200)]
+    rows, labels = [], []
+    for i in range(900):
+        said, toxic = draw.choices(words, k=40), i % 3 == 0
+        if toxic and i % 2:
+            said[5] = "vile"
+        if toxic or i % 10 == 1:
+            said[10] = "women"
+        elif i % 4 == 0:
+            said[10] = "men"
+        rows.append((i, " ".join(said)))
+        labels.append((i, 1, int(toxic)))
+    neutral = [(2000 + i, " ".join(["women", *draw.choices(words, k=39)])) for i in range(100)]
+    swapped = [(i + 1000, text.replace("women", "men", 1)) for i, text in neutral]
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    alarms, change = {}, {}
+    for fairness in (toxicity.FAIRNESS * 10, 0.0):
+        model = toxicity.fit(documents(rows), marks, fairness, {"gender": ("women", "men")})
+        score = {r["doc_id"]: r["toxicity"] for r in
+                 toxicity.score(documents(neutral + swapped), model).collect()}
+        logit = {i: math.log(s / (1 - s)) for i, s in score.items()}
+        alarms[fairness] = sum(score[i] >= 0.5 for i, _ in neutral)
+        change[fairness] = sum(abs(logit[i] - logit[i + 1000]) for i, _ in neutral) / len(neutral)
+    with_penalty, without = toxicity.FAIRNESS * 10, 0.0
+    assert change[with_penalty] < 0.2 * change[without] and change[without] > 1
+    assert alarms[with_penalty] < 0.5 * alarms[without] and alarms[without] >= 20
+
+
+def test_score_is_the_sum_over_words_and_word_starts(spark, documents):
+    draw = random.Random(3)
+    words = [f"{draw.choice(['alpha', 'beta', 'gam'])}{k}" for k in range(60)]
+    rows = [(i, " ".join(draw.choices(words, k=30)) + ("! Awful" if i % 2 else "")) for i in range(200)]
+    marks = spark.createDataFrame([(i, 1, i % 2) for i in range(200)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(documents(rows), marks)
+    weight = dict(zip(model.features.tolist(), model.weights, strict=True))
+
+    def hashes(part):
+        found = toxicity.words(*toxicity.text_bytes(pa.array([part])), toxicity.BREAKS)
+        return found.hashes()[0]
+
+    got = {r["doc_id"]: r["toxicity"] for r in toxicity.score(documents(rows), model).collect()}
+    for i, text in rows[:40]:
+        told = re.findall(r"[a-z0-9]+", text.lower())
+        total = 0.0
+        for w in told:
+            total += weight.get(int(hashes(w)), 0.0)
+            for n in toxicity.STARTS:
+                if len(w) > n:
+                    total += weight.get(int(hashes(w[:n])) ^ n, 0.0)
+        plain = 1 / (1 + math.exp(-(model.bias + total * 100 / len(told))))
+        assert math.isclose(got[i], plain, rel_tol=1e-9)
+
+
+def test_settings_are_chosen_inside_the_allowed_folds(spark, documents, monkeypatch):
+    folds = []
+    was = toxicity.chosen_ridge
+    monkeypatch.setattr(toxicity, "chosen_ridge", lambda s, fold, g, f: (
+        folds.extend(fold.tolist()), was(s, fold, g, f))[1])
+    rows = [(i, "good day " * 5 if i % 2 else "vile night " * 5) for i in range(300)]
+    marks = spark.createDataFrame([(i, 1, 1 - i % 2) for i in range(300)], "doc_id long, quality int, toxic int")
+    toxicity.fit(documents(rows), marks)
+    assert set(folds) == {0, 2} and len(folds) == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(300))
+
+
 def test_toxicity_without_labels(spark, documents):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert toxicity.keep_clean(documents([(1, "a")]), none).count() == 1
@@ -138,6 +249,20 @@ def test_line_frequency_counts_texts_per_host(documents):
     assert line_frequency.judge(documents([])).collect() == []
 
 
+def test_line_frequency_counts_documents_not_texts(documents):
+    """A page of 1,000 copies is 1,000 documents; rows that repeat a doc_id are one."""
+    own = lambda k: " ".join(f"{chr(97 + k)}{chr(97 + j % 26)}{'x' * j}" for j in range(60))
+    rows = [(k, f"Shop line\n{own(0)}", "en", "a") for k in range(1000)]
+    rows += [(2000 + k, f"Shop line\n{own(k + 1)}", "en", "a") for k in range(15)]
+    rows += [(3000, f"Other line\n{own(3)}", "en", "b")] * 30 + [(3001, f"Other line\n{own(4)}", "en", "b")]
+    rows += [(None, f"None line\n{own(5)}", "en", "c")] * 30
+    got = line_frequency.drop_frequent_lines(documents(rows), most=20)
+    texts = {r["doc_id"]: r["text"] for r in got.collect()}
+    assert texts[2003] == own(4) and texts[3000].startswith("Other") and texts[None].startswith("None")
+    verdict = {r["doc_id"]: r["kept"] for r in line_frequency.judge(documents(rows), most=20).collect()}
+    assert not verdict[5] and not verdict[2003] is None and verdict[3000]
+
+
 def test_line_frequency_rejects_depleted_documents(documents):
     shared = "\n".join(f"menu {chr(97 + k)} " + " ".join(f"m{chr(97 + k)}{j}" for j in range(9))
                        for k in range(8))
@@ -203,7 +328,12 @@ def test_secrets_random_strings_are_told_from_identifiers(documents):
     rows += [(1000 + k, " ".join("_".join(draw.choices(usual, k=n)) for n in (1, 2, 3, 6, 6, 6)))
              for k in range(100)]
     rows += [(2000 + k, f"see {''.join(draw.choices(letters, k=28))} there") for k in range(50)]
+    lengths = (8, 12, 16, 20, 24)
+    rows += [(3000 + 100 * n + k, f"see {''.join(draw.choices(letters, k=n))} there")
+             for n in lengths for k in range(50)]
     got = {r["doc_id"]: r["markov"] for r in secrets.scan(documents(rows)).collect()}
+    recall = {n: sum(len(got[3000 + 100 * n + k]) > 0 for k in range(50)) / 50 for n in lengths}
+    assert recall[8] >= 0.3 and recall[12] >= 0.8 and min(recall[n] for n in (16, 20, 24)) >= 0.9, recall
     assert not any(got[k] for k in range(200))  # inside a fixed pattern's match
     assert sum(len(got[1000 + k]) for k in range(100)) == 0
     assert sum(len(got[2000 + k]) == 1 and got[2000 + k][0]["start"] == 4 for k in range(50)) >= 49
@@ -220,7 +350,7 @@ def test_mixing_shares_shortages_among_siblings_first(documents):
                              weights=({"domain0": 1, "domain1": 1}, {}, {}), share=50, max_epochs=2)
     used = Counter()
     for r in got.collect():
-        used[r["source"]] += r["_tokens"] * r["_copies"]
+        used[r["row"]["source"]] += r["_tokens"] * r["_copies"]
     total = 10 * 203 + 5
     assert used["src3"] == 40  # both documents twice
     # A third each for two domains and the one without; what that and src3 lack goes on.
@@ -231,6 +361,48 @@ def test_mixing_shares_shortages_among_siblings_first(documents):
     assert mixing.mix(documents([]), mixing.by_domain_language_source()).collect() == []
 
 
+def spent(got):
+    return Counter({k: sum(r["_tokens"] * r["_copies"] for r in got if r["row"]["source"] == k)
+                    for k in {r["row"]["source"] for r in got}})
+
+
+def test_mixing_gives_siblings_what_an_excluded_value_cannot_use(documents):
+    ten = " ".join(["w"] * 10)
+    rows = [(k, ten, "en", "src0") for k in range(10)] + [(100 + k, ten, "de", "src0") for k in range(50)]
+    rows += [(200 + k, ten, "en", "src1") for k in range(60)]
+    got = mixing.with_copies(
+        documents(rows), mixing.by_domain_language_source(),
+        weights=({"domain0": 1, "domain1": 1}, {"de": 0}, {}), share=50, max_epochs=1).collect()
+    assert spent(got) == {"src0": 100, "src1": 500}  # all of the 600 that may be spent
+    assert not any(r["_copies"] for r in got if r["row"]["lang"] == "de")
+
+
+def test_mixing_keeps_rows_without_tokens_and_columns_with_its_own_names(spark):
+    df = spark.createDataFrame(
+        [(1, "a b", "en", "src0", "x", 5, 6, 7, 8), (2, None, "fr", "src4", "y", 5, 6, 7, 8),
+         (3, "", "fr", "src4", "z", 5, 6, 7, 8)],
+        "doc_id long, text string, lang string, source string, _l0 string, _tokens int, "
+        "_copies int, _full int, row int")
+    got = mixing.with_copies(df, mixing.by_domain_language_source()).collect()
+    assert sorted((r["row"]["doc_id"], r["_copies"]) for r in got) == [(1, 1), (2, 0), (3, 0)]
+    mixed = mixing.mix(df, mixing.by_domain_language_source())
+    assert mixed.columns == df.columns
+    assert [tuple(r) for r in mixed.collect()] == [(1, "a b", "en", "src0", "x", 5, 6, 7, 8)]
+
+
+@pytest.mark.parametrize("most_rows", [100_000, 1, 0.0001])
+def test_mixing_searches_long_prefixes_like_short_ones(documents, monkeypatch, most_rows):
+    monkeypatch.setattr(mixing, "MOST_ROWS", most_rows)
+    assert mixing.steps_for(400) == {100_000: 1, 1: 1, 0.0001: 2}[most_rows]
+    draw = random.Random(8)
+    rows = [(k, "w " * draw.randrange(30), "en", f"src{k % 3}") for k in range(400)] + [(9, LONG, "de", "src0")]
+    got = mixing.with_copies(documents(rows), mixing.by_domain_language_source(), share=40)
+    found = {(r["row"]["doc_id"], r["_l2"]): r["_copies"] for r in got.collect()}
+    want = {100_000: found}.get(most_rows) or test_mixing_searches_long_prefixes_like_short_ones.seen
+    test_mixing_searches_long_prefixes_like_short_ones.seen = want
+    assert found == want and 0 < sum(found.values()) < 401
+
+
 # ---------------------------------------------------------------------- packing
 def plain_best_fit(sizes, capacity):
     room = []
