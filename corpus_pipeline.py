@@ -2,6 +2,11 @@
 
 Each stage takes what its predecessor kept, written as Parquet and read again. Rows of ``run`` are
 the packed pieces: sequence, place in it, document, tokens and text.
+
+Null, empty and blank texts pass the filters, which find nothing in them to reject. Rows that repeat
+a doc_id are kept or dropped together by the near-dedup, rows without one are kept. Documents
+without tokens come with each whole epoch of their mixing leaf, those of a leaf without any tokens
+not at all. Columns beyond those of documents pass all stages but the last. No documents give no rows.
 """
 
 from __future__ import annotations
@@ -30,10 +35,8 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated three-line passages go; documents of which nothing but white space is left, too."""
-    kept = line_dedup.drop_repeated_lines(docs)
-    gone = F.coalesce(F.length(F.btrim("text", F.lit(line_dedup.SPACES))), F.lit(0)) == 0
-    return kept.where(~gone)
+    """Repeated three-line passages go; documents that lose lines and keep only white space, too."""
+    return line_dedup.drop_repeated_lines(docs, drop_emptied=True)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
