@@ -85,3 +85,22 @@ def test_exposure_joins_nothing_and_history_shuffles_once_per_step(spark):
     assert "Join" not in physical_plan(spark, "exposure_days")
     # one to reduce to a row per day, one to bring a person together
     assert physical_plan(spark, "scd2_versions").count("Exchange hashpartitioning") == 2
+
+
+ORDERS = {
+    "brand_share_mom": ("year_month, therapeutic_area, share_pct DESC NULLS FIRST, brand_name",
+                        ("year_month", "therapeutic_area", "share_pct", "brand_name")),
+    "prescriber_ranking": ("territory_name, territory_rank", ("territory_name", "territory_rank")),
+    "territory_attainment": ("year_month, attainment_pct NULLS LAST, territory_code",
+                             ("year_month", "attainment_pct", "territory_code")),
+    "call_effectiveness": ("stratum = 'ALL DECILES' DESC, stratum, cohort", ("stratum", "cohort")),
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERS))
+def test_reports_come_in_order(spark, duck, name):
+    by, columns = ORDERS[name]
+    other = duck.execute(f"select {', '.join(columns)} from ({ORACLE_SQL[name]}) order by {by}")
+    expected = [tuple(map(plain, r)) for r in other.fetchall()]
+    found = [tuple(plain(r[c]) for c in columns) for r in registered()[name](spark, DATA).collect()]
+    assert found == expected
