@@ -230,7 +230,8 @@ with placed as (
   from {docs}
 ), leaves as (
   select domain, lang, source, sum(tokens)::hugeint as tokens,
-    case when {usable} then sum(tokens) else 0 end::hugeint as usable from placed group by all
+    case when {usable} then sum(tokens) else 0 end::hugeint as usable from placed
+  group by domain, lang, source
 ), budget0 as (
   select (sum(tokens) * {share}) // 100 as budget from leaves
 ), {",".join(steps)},
