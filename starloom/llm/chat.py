@@ -220,7 +220,7 @@ def digests(output: DataFrame) -> DataFrame:
 
     head = F.locate(">", F.col("formatted"))
     role = _plain(F.substring("formatted", F.lit(7), head - 7))
-    text = _plain(F.substring("formatted", head + 1, F.length("formatted")))
+    text = _plain(F.substring("formatted", head + 1, F.length("formatted") - head - 8))
     ordered = output.repartition("conv_id").sortWithinPartitions("conv_id", "turn", role, text)
     return ordered.mapInArrow(
         run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "

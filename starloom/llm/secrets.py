@@ -3,10 +3,11 @@
 Two character Markov models (pairs of neighbouring characters) are trained from labelled strings:
 random ones are values of ``LEAST_RANDOM`` and more characters, letters and digits both, that the
 fixed patterns caught; ordinary ones the identifiers and words of 4 to 19 characters of texts in
-which they caught nothing. An unbroken string is reported when its log-likelihood under the first
+which they caught nothing, but for those that are scored. An unbroken string is reported when its log-likelihood under the first
 exceeds that under the second by ``LEAST_RATIO`` and on average by ``LEAST_MEAN`` per pair. Scored are
-all strings of 20 and more characters and, from 8 characters on, those with a digit or with a capital
-after a small letter; shorter runs of letters of one case are words. The models are fitted on at
+all strings of 20 and more characters and, from 8 characters on, those with a letter and a digit or
+with a capital after a small letter; shorter runs of letters of one case are words, those without
+letters numbers. The models are fitted on at
 most ``SAMPLE`` texts of each kind (smallest hash of the id), the tables have a row per pair of
 characters; all else runs over all texts.
 
@@ -34,10 +35,12 @@ LEAST = {"assign": 8, "access": 16, "hex": 32}
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 LEAST_MIXED, LEAST_PLAIN, LEAST_RANDOM = 8, 20, 12
-MIXED = r"(?:[A-Za-z+/_-]*[0-9]|[A-Z0-9+/_-]*[a-z][a-z0-9+/_-]*[A-Z])"
+# A letter, and a digit or a capital after a small letter.
+MIXED = (r"(?=[0-9+/_-]*[A-Za-z])(?:[A-Za-z+/_-]*[0-9]|[A-Z0-9+/_-]*[a-z][a-z0-9+/_-]*[A-Z])")
 STRING = (rf"(?<![A-Za-z0-9+/_-])(?:(?={MIXED})[A-Za-z0-9+/_-]{{{LEAST_MIXED},}}"
           rf"|[A-Za-z0-9+/_-]{{{LEAST_PLAIN},}})")
-IDENTIFIER = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{4,19}(?![A-Za-z0-9+/_-])"
+IDENTIFIER = (rf"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{{4,7}}|(?!{MIXED})[A-Za-z0-9+/_-]{{8,19}})"
+              r"(?![A-Za-z0-9+/_-])")
 SAMPLE = 2000
 LEAST_RATIO, LEAST_MEAN, BACKED = 8.0, 0.5, 20
 KINDS = ("assign", "access", "hex", "markov")
