@@ -44,7 +44,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def portions(batch: pa.RecordBatch, size: Callable[[pa.RecordBatch], np.ndarray],
-             limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+             limit: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """The batch in slices of at most ``limit`` bytes (or one row), by the given row sizes."""
     if batch.num_rows == 0:
         return
