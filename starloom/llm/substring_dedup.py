@@ -27,7 +27,6 @@ a hash of their text. Texts are taken whole, very long ones too. All columns pas
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
