@@ -8,7 +8,7 @@ import pytest
 
 from starloom.schemas import CALL_FEED
 from starloom.sources import feeds
-from starloom.sources.feeds import MALFORMED, PLACE, read_csv, stage_feed
+from starloom.sources.feeds import PLACE, read_csv, stage_feed
 
 N = len(CALL_FEED.columns)
 
