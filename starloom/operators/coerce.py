@@ -44,6 +44,33 @@ def _number_reason(name: str, whole: bool) -> Column:
     return reason.when(value.isNull(), F.lit(f"out-of-range value in {name}"))
 
 
+def _numbers(numeric: Sequence[str], integer: Sequence[str]) -> dict[str, bool]:
+    """Columns of numbers, and whether they are whole."""
+    return {c: False for c in numeric} | {c: True for c in integer}
+
+
+def _with_values(df: DataFrame, numbers: Mapping[str, bool], dates: Sequence[str]) -> DataFrame:
+    steps = _in_step(df, {
+        **{f"_number_{c}": text.to_whole_number(F.col(c)) if whole else text.to_number(F.col(c))
+           for c, whole in numbers.items()},
+        **{f"_value_{c}": text.to_day(F.col(c)) for c in dates},
+    })
+    return _in_step(steps, {f"_value_{c}": _value(c, whole) for c, whole in numbers.items()})
+
+
+def typed_values(df: DataFrame, numeric: Sequence[str] = (), integer: Sequence[str] = (),
+                 dates: Sequence[str] = ()) -> DataFrame:
+    """``df`` with typed columns in place of text, null where a text does not type.
+
+    The values are those of ``annotate_types`` without its verdict, so columns that are not used
+    further on are not typed at all.
+    """
+    numbers = _numbers(numeric, integer)
+    typed = {*numbers, *dates}
+    return _with_values(df, numbers, dates).select(*[
+        F.col(f"_value_{c}").alias(c) if c in typed else F.col(c) for c in df.columns])
+
+
 def annotate_types(
     df: DataFrame,
     numeric: Sequence[str] = (),
@@ -62,14 +89,8 @@ def annotate_types(
     if missing:
         raise ValueError(f"Missing source columns: {missing}")
 
-    numbers = {c: False for c in numeric} | {c: True for c in integer}
-    steps = _in_step(df, {
-        **{f"_number_{c}": text.to_whole_number(F.col(c)) if whole else text.to_number(F.col(c))
-           for c, whole in numbers.items()},
-        **{f"_value_{c}": text.to_day(F.col(c)) for c in dates},
-    })
-    steps = _in_step(steps, {f"_value_{c}": _value(c, whole) for c, whole in numbers.items()})
-
+    numbers = _numbers(numeric, integer)
+    steps = _with_values(df, numbers, dates)
     reasons = [_number_reason(c, whole) for c, whole in numbers.items()]
     reasons += [F.when(F.col(f"_value_{c}").isNull(), F.lit(f"unparseable date in {c}"))
                 for c in dates]

@@ -148,16 +148,17 @@ def _whole(measure: Column, kind: T.DataType) -> Column:
 def _digests(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> list[Column]:
     """Two numbers per row whose sums over rows tell totals per key apart.
 
-    Each is the row's count and measures weighted by hashes of its key, modulo a prime. Sums do not
+    Each is the row's count and measures weighted by hashes of its key's hash, modulo a prime. Sums do not
     depend on the order of rows, and rows of one key add up like their measures do, so equal totals
     give equal sums. Different ones give equal sums with a chance of some 2 ** -62.
     """
+    key = F.xxhash64(*keys)
     values = [F.lit(1).cast("long"), *[_whole(F.col(m), df.schema[m].dataType) for m in measures]]
     out = []
     for digest in range(DIGESTS):
         terms = [
             F.pmod(F.coalesce(v, F.lit(0)), F.lit(PRIME))
-            * F.pmod(F.xxhash64(F.lit(digest * 100 + k), *keys), F.lit(PRIME)) % PRIME
+            * F.pmod(F.xxhash64(F.lit(digest * 100 + k), key), F.lit(PRIME)) % PRIME
             for k, v in enumerate(values)]
         out.append(reduce(lambda a, b: a + b, terms) % PRIME)
     return out
@@ -203,8 +204,9 @@ def differing_totals(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
     def signed(df: DataFrame, sign: int) -> DataFrame:
         rows = df.select("*", *branch(df, keys)).join(damaged, ["period", "bucket"], "left_semi")
-        return rows.select(*keys, F.lit(sign).alias("rows_diff"),
-                           *[(F.col(m) * sign).alias(f"{m}_diff") for m in measures])
+        # Negated, not multiplied: a product of decimals is wider, and every row would carry it.
+        return rows.select(*keys, F.lit(sign).alias("rows_diff"), *[
+            (F.col(m) if sign > 0 else -F.col(m)).alias(f"{m}_diff") for m in measures])
 
     columns = ["rows_diff", *[f"{m}_diff" for m in measures]]
     totals = signed(left, 1).unionByName(signed(right, -1)).groupBy(*keys).agg(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import year_month
-from starloom.operators.coerce import REASON, TYPED, annotate_types
+from starloom.operators.coerce import REASON, TYPED, annotate_types, typed_values
 from starloom.operators.resolve import annotate_keys
 from starloom.schemas import FactFeed
 from starloom.sources.feeds import MALFORMED
@@ -54,10 +54,9 @@ def split_ready(annotated: DataFrame, feed: FactFeed) -> DataFrame:
 
 def text_measures(lines: DataFrame, feed: FactFeed, measures: Sequence[str]) -> DataFrame:
     """Natural keys and ``measures`` of each line, typed from its text; untypable ones count as 0."""
-    typed = annotate_types(lines.select(*feed.columns), numeric=feed.numeric,
-                           integer=feed.integer, dates=feed.dates)
-    return typed.select("hcp_id", "product_code", F.col(f"{TYPED}.{feed.date_col}").alias("day"),
-                        *[F.coalesce(f"{TYPED}.{m}", F.lit(0)).alias(m) for m in measures])
+    typed = typed_values(lines.select(*feed.columns), feed.numeric, feed.integer, feed.dates)
+    return typed.select("hcp_id", "product_code", F.col(feed.date_col).alias("day"),
+                        *[F.coalesce(m, F.lit(0)).alias(m) for m in measures])
 
 
 def raw_columns(df: DataFrame, feed: FactFeed) -> list[str]:

@@ -37,7 +37,7 @@ from starloom.plans.refresh import LOADED_IN, stack_rejects
 from starloom.schemas import CALL_FEED, DRILLDOWN_HCP_KEY, HCP_FEED, RX_FEED, Feed
 from starloom.session import pin, shared_folder
 from starloom.sources.feeds import MALFORMED, PLACE, read_csv
-from starloom.sources.tables import read_prescriber, write_by_prescriber
+from starloom.sources.tables import LOADED, OUTCOME, REJECTED, read_prescriber, write_by_prescriber
 
 Query = Callable[[SparkSession, str], DataFrame]
 ORDER_HISTORY = dict(business_key="hcp_id", tracked=("priority", "status"),
@@ -186,10 +186,14 @@ def label_as_of(spark: SparkSession, d: str) -> DataFrame:
         F.sum("lines").alias("lines"), F.sum("trx").alias("trx"))
 
 
+def _annotated(spark: SparkSession, d: str, staged: DataFrame) -> DataFrame:
+    return annotate_fact(staged, RX_FEED, pin(version_segments(b.order_windows(spark, d))),
+                         b.product_codes(spark, d), b.order_calendar(spark, d))
+
+
 def _rx_annotated(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     staged = b.rx_text(spark, d)
-    return staged, annotate_fact(staged, RX_FEED, pin(version_segments(b.order_windows(spark, d))),
-                                 b.product_codes(spark, d), b.order_calendar(spark, d))
+    return staged, _annotated(spark, d, staged)
 
 
 def reconcile(spark: SparkSession, d: str) -> DataFrame:
@@ -307,11 +311,14 @@ def _differing_totals(spark: SparkSession, d: str, product: Column) -> DataFrame
     stand under ``product``.
 
     The source does not pass through the verdict, so a line that is lost or changed on its way shows.
+    Staged lines and the load's outcome are written down first, as a refresh does, so that the audit
+    reads them and neither the feed nor the keys are worked out again for each of its sides.
     """
-    staged, annotated = _rx_annotated(spark, d)
-    facts = annotated.where(F.col(REASON).isNull()).select(
-        "hcp_key", "product_key", "date_key", "typed.*")
-    rejects = annotated.where(F.col(REASON).isNotNull())
+    staged = pin(b.rx_text(spark, d))
+    written = pin(split_ready(_annotated(spark, d, staged), RX_FEED))
+    facts = written.where(F.col(OUTCOME) == LOADED)
+    rejects = written.where(F.col(OUTCOME) == REJECTED).select(
+        *[F.col(f"raw_{c}").alias(c) for c in RX_FEED.columns])
     days = b.order_calendar(spark, d).select("date_key", F.col("full_date").alias("day"))
     loaded = (
         facts.join(b.order_windows(spark, d).select("hcp_key", "hcp_id"), "hcp_key")

@@ -104,3 +104,9 @@ def test_reports_come_in_order(spark, duck, name):
     expected = [tuple(map(plain, r)) for r in other.fetchall()]
     found = [tuple(plain(r[c]) for c in columns) for r in registered()[name](spark, DATA).collect()]
     assert found == expected
+
+
+@pytest.mark.parametrize("query", ["source_vs_warehouse", "source_vs_damaged_warehouse"])
+def test_audit_reads_what_the_load_has_written(spark, query):
+    read = registered()[query](spark, DATA).inputFiles()
+    assert not [f for f in read if "lineitem" in f]
