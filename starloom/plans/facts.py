@@ -19,14 +19,17 @@ NATURAL_KEYS = ("hcp_id", "product_code", "day")
 
 def annotate_fact(staged: DataFrame, feed: FactFeed, stretches: DataFrame, products: DataFrame,
                   dim_date: DataFrame) -> DataFrame:
-    """Every staged line once: raw text, typed values, keys, and the first reason to reject it."""
-    typed = annotate_types(staged, **feed.rules()).withColumnRenamed(REASON, "_type_reason")
+    """Every staged line once: raw text, typed values, keys, and the first reason to reject it.
+
+    Keys are resolved first, so that only text moves to the dimensions and is typed where it ends up.
+    """
+    keyed = annotate_keys(staged, stretches, products, dim_date, feed.date_col)
+    typed = annotate_types(keyed.withColumnRenamed(REASON, "_key_reason"), **feed.rules())
+    reasons = [F.col(REASON), F.col("_key_reason")]
     if MALFORMED in staged.columns:
-        broken = F.when(F.col(MALFORMED).isNotNull(), F.lit("malformed line"))
-        typed = typed.withColumn("_type_reason", F.coalesce(broken, "_type_reason"))
-    keyed = annotate_keys(typed, stretches, products, dim_date, feed.date_col,
-                          day=F.col(f"{TYPED}.{feed.date_col}"))
-    return keyed.withColumn(REASON, F.coalesce("_type_reason", REASON)).drop("_type_reason")
+        reasons.insert(0, F.when(F.col(MALFORMED).isNotNull(), F.lit("malformed line")))
+    keys = [c for c in keyed.columns if c not in (*staged.columns, REASON)]
+    return typed.select(*staged.columns, TYPED, *keys, F.coalesce(*reasons).alias(REASON))
 
 
 def split_ready(annotated: DataFrame, feed: FactFeed) -> DataFrame:

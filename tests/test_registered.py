@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as contract
 from starloom.oracle import ORACLE_SQL
-from starloom.queries import registered
+from starloom.queries import _rx_annotated, registered
 
 DATA = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -110,3 +110,11 @@ def test_reports_come_in_order(spark, duck, name):
 def test_audit_reads_what_the_load_has_written(spark, query):
     read = registered()[query](spark, DATA).inputFiles()
     assert not [f for f in read if "lineitem" in f]
+
+
+def test_only_text_moves_to_the_dimensions(spark):
+    """Typed values are made after the joins, so no shuffle carries them beside their text."""
+    _, annotated = _rx_annotated(spark, DATA)
+    plan = annotated._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate inline" in plan
+    assert plan.index("Generate inline") < plan.index("Join LeftOuter")
