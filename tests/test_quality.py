@@ -90,3 +90,15 @@ def test_distribution(spark):
     s = star(spark)
     assert rows(quality.distribution(dim, s["dim_date"])) == [
         ("closed_versions", 1, True), ("distinct_deciles", 2, False), ("distinct_months", 2, False)]
+
+
+def test_facts_meet_their_versions_uncounted(spark):
+    """Facts are not gathered per (version, day) before the join, where nearly each is its own group."""
+    dim = versions(spark, ("A", "2024-01-01", "2024-01-31", False))
+    days = spark.createDataFrame([(20240105, day("2024-01-05")), (20240205, day("2024-02-05"))],
+                                 "date_key int, full_date date")
+    facts = spark.createDataFrame([(0, 20240105), (0, 20240205), (0, 20240205)],
+                                  "hcp_key int, date_key int")
+    found = quality.facts_outside_version({"rx": facts, "calls": facts.limit(1)}, dim, days)
+    assert dict(rows(found))["rx rows outside their version's window"] == 2
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
