@@ -110,7 +110,10 @@ def _blocks(lines: DataFrame) -> DataFrame:
 
 
 def _broken(lines: DataFrame, blocks: DataFrame) -> DataFrame:
-    """(row, file, record, number) of the lines of records that run over several lines."""
+    """(row, number, start, place) of the lines of records that run over several lines.
+
+    ``start`` is the row of the record's first line, which alone carries its ``place``.
+    """
     odd = lines.where(_is_odd(F.col(MALFORMED))).select(f"{PLACE}.*").join(
         blocks, ["file", "block"]).where(~(F.col("head") & (F.col("row") == F.col("first"))))
     nth = F.col("odd_before") + F.row_number().over(
@@ -121,25 +124,41 @@ def _broken(lines: DataFrame, blocks: DataFrame) -> DataFrame:
         "file", "record").agg(F.count(F.lit(1)).alias("n"), F.min("end").alias("a"),
                               F.max("end").alias("z"))
     whole = pairs.where("n = 2").where(F.col("z.line") - F.col("a.line") < MOST_LINES)
-    there = blocks.select("file", "number", "first", "last")
-    return whole.select(
+    there = blocks.select("file", "number", "block", "first", "last")
+    found = whole.select(
         "file", "record", "a", "z",
         F.explode(F.sequence(F.col("a.number"), F.col("z.number"))).alias("number")).join(
         there, ["file", "number"]).select(
-        "file", "record", "number", F.explode(F.sequence(
+        "file", "block", "number", F.col("a.row").alias("start"), F.explode(F.sequence(
             F.when(F.col("number") == F.col("a.number"), F.col("a.row")).otherwise(F.col("first")),
             F.when(F.col("number") == F.col("z.number"), F.col("z.row")).otherwise(F.col("last")),
         )).alias("row"))
+    return found.select("row", "number", "start", F.when(
+        F.col("row") == F.col("start"), F.struct("file", "block", "row")).alias("place"))
 
 
 def _sewn(lines: DataFrame, broken: DataFrame, feed: Feed) -> DataFrame:
-    """The records of the ``broken`` lines, each at the place of its first line."""
-    part = F.struct("number", "row", _raw(feed).alias("text"), F.col(PLACE))
-    records = lines.join(broken, F.col(f"{PLACE}.row") == F.col("row")).groupBy(
-        "file", "record").agg(F.array_sort(F.collect_list(part)).alias("parts"))
+    """The records of the ``broken`` lines, each at the place of its first line.
+
+    Lines move as one text and their row, not as fields beside the text and the path of their file.
+    """
+    texts = lines.select(F.col(f"{PLACE}.row").alias("row"), _raw(feed).alias("text"))
+    part = F.struct("number", "row", "text", "place")
+    records = texts.join(broken, "row").groupBy("start").agg(
+        F.array_sort(F.collect_list(part)).alias("parts"))
     return parse(records.select(
         F.array_join("parts.text", "\n").alias("value"),
-        F.get("parts", F.lit(0))[PLACE].alias(PLACE)), feed)
+        F.get("parts", F.lit(0))["place"].alias(PLACE)), feed).drop(QUOTED)
+
+
+def _as_bits(rows: DataFrame) -> DataFrame:
+    """(word, bits) with a bit set for each ``row``: 64 rows to a word.
+
+    Lines are then left out by a table of two bits or so a line, which Spark can broadcast for feeds
+    of gigabytes, so that their text stays where it is.
+    """
+    bit = F.expr("shiftleft(1L, cast(row & 63 as int))")
+    return rows.groupBy(F.shiftright("row", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
 
 
 # ------------------------------------------------------------------------- staging
@@ -164,8 +183,8 @@ def stage_feed(spark: SparkSession, path: str | None, feed: Feed, folder: str) -
 def stage_lines(lines: DataFrame, feed: Feed, folder: str) -> int:
     """Land ``lines`` (value, file, block); returns the number of records.
 
-    ``lines`` holds every line parsed by itself, ``taken`` the lines that are no record by
-    themselves, ``sewn`` the records put together from several lines.
+    ``lines`` holds every line parsed by itself, ``taken`` a bit for each line that is no record by
+    itself, ``sewn`` the records put together from several lines.
     """
     spark = lines.sparkSession
     place = F.struct("file", "block", F.monotonically_increasing_id().alias("row"))
@@ -178,12 +197,12 @@ def stage_lines(lines: DataFrame, feed: Feed, folder: str) -> int:
         F.coalesce(F.sum("odd"), F.lit(0))).first()
     headers = blocks.where("head").select(F.col("first").alias("row"))
     if not n_odd:
-        write_table(headers, f"{folder}/taken")
-        write_table(lines.limit(0), f"{folder}/sewn")
+        write_table(_as_bits(headers), f"{folder}/taken")
+        write_table(lines.limit(0).drop(QUOTED), f"{folder}/sewn")
         return n_lines - n_files
     write_table(_broken(lines, blocks), f"{folder}/broken")
     broken = spark.read.parquet(f"{folder}/broken")
-    write_table(headers.union(broken.select("row")), f"{folder}/taken")
+    write_table(_as_bits(headers.union(broken.select("row"))), f"{folder}/taken")
     write_table(_sewn(lines, broken, feed), f"{folder}/sewn")
     return n_lines - n_files - broken.count() + spark.read.parquet(f"{folder}/sewn").count()
 
@@ -193,8 +212,11 @@ def read_staged(spark: SparkSession, folder: str) -> DataFrame:
     orders them by (file, block, row) as they stand in the files."""
     taken = spark.read.parquet(f"{folder}/taken")
     lines = spark.read.parquet(f"{folder}/lines")
-    single = lines.join(taken, lines[f"{PLACE}.row"] == taken["row"], "left_anti")
-    return single.unionByName(spark.read.parquet(f"{folder}/sewn")).drop(QUOTED)
+    row = lines[f"{PLACE}.row"]
+    single = lines.join(
+        taken, (F.shiftright(row, 6) == taken["word"])
+        & (F.getbit(taken["bits"], row.bitwiseAND(F.lit(63)).cast("int")) == 1), "left_anti")
+    return single.drop(QUOTED).unionByName(spark.read.parquet(f"{folder}/sewn"))
 
 
 def read_csv(spark: SparkSession, path: str, feed: Feed) -> DataFrame:

@@ -111,3 +111,16 @@ def test_several_files_each_with_a_header(spark, tmp_path, small_blocks):
     found = records(spark, folder)
     assert sorted(r[0] for r in found) == [f"{k}{i}" for k in range(3) for i in range(9)]
     assert {r[1] for r in found} == {"x\ny"}
+
+
+def test_only_the_text_of_broken_lines_moves(spark, tmp_path):
+    """Lines that stay out are marked by bits, and records sewn together keep no second copy."""
+    path = tmp_path / "feed.csv"
+    with open(path, "w", newline="", encoding="utf-8") as out:
+        writer = csv.writer(out, lineterminator="\n")
+        writer.writerow(CALL_FEED.columns)
+        writer.writerows([f"{i}\nx\ny", *["v"] * (N - 1)] for i in range(200))
+    assert stage_feed(spark, str(path), CALL_FEED, str(tmp_path / "staged")) == 200
+    assert spark.read.parquet(str(tmp_path / "staged" / "taken")).count() == 10  # 601 lines, 64 to a row
+    assert feeds.QUOTED not in spark.read.parquet(str(tmp_path / "staged" / "sewn")).columns
+    assert feeds.read_staged(spark, str(tmp_path / "staged")).count() == 200
