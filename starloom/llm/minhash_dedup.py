@@ -17,6 +17,15 @@ the same members one is taken, and a pair is taken from the first key it shares.
 sizes or signatures rule the similarity out are dropped; the rest is confirmed on the full shingle
 sets. Blocks are confirmed where they meet, and give only the links that tie components together.
 
+Members of a bucket of more than ``LARGE_BUCKET`` are not compared under that bucket's key, of which
+each has up to 60. Such buckets with one smallest component make a group, where a document takes part
+once. A text is told there by its difference, the shingles that it has beyond or lacks of the usual
+ones, those that more than half of the group have. Two texts differ by both differences less twice
+what these have in common. So texts near enough to the usual set are linked by that alone, and any
+other linked pair shares a least number of differing shingles. By prefix filtering the pair then
+meets at one of the rare shingles at the head of both differences, which are the keys instead. The
+head is shorter for the one nearer to the usual set, and keys at which no text leads are left out.
+
 Null and empty texts and texts of white space have no shingles, are linked with nothing and kept.
 A text of fewer than five words is one shingle. Rows that repeat a doc_id are one document, linked
 by any of its texts. Rows without a doc_id cannot be named: component_id is null, kept is true.
@@ -48,6 +57,11 @@ CHUNKS, WIDTH = 12, 5
 N_VALUES = CHUNKS * WIDTH
 BLOCK_ROWS, BLOCK_SHINGLES = 512, 1_000_000
 LONG_VALUES = 256
+LARGE_BUCKET = 64
+#: Shingles that one in COMMON texts of a group have are counted; rarer ones come first uncounted.
+COMMON = 8
+#: The low six bits of keys that are shingles of a difference.
+SHINGLE_SLOT = 63
 _draw = np.random.default_rng(20)
 _N = N_VALUES + LONG_VALUES
 FACTORS = _draw.integers(1, 2**63, _N, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -166,9 +180,9 @@ def farthest(n_values: int, percent: int) -> int:
 def _linked_in_blocks(percent: int):
     """Links within each (key, i, j) that tie its components together, at most one per row.
 
-    Tile (-1 - i, j) holds others of block i and members of the bucket's main component of block j;
-    tile (i, j) holds others of two blocks. A pair is compared at the first key it shares, by its
-    signatures, then on the full sets: one text's shingles are marked in a table of the tile's, and
+    Tile (-1 - i, j) holds others of block i and members of the bucket's main component (those whose
+    key does not lead) of block j; tile (i, j) holds others of two blocks. A pair is compared at the first key it shares (at each if
+    these are shingles of differences), by its signatures, then on the full sets: one text's shingles are marked in a table of the tile's, and
     the marks under its partners' shingles add up to the intersections.
     """
     most = farthest(N_VALUES, percent)
@@ -192,7 +206,8 @@ def _linked_in_blocks(percent: int):
                       & (100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x]))]
                 same = sig[y] == sig[x]
                 close = (~same).sum(axis=1) <= most
-                close[close] = _first_slot(same[close]) == slot
+                if slot != SHINGLE_SLOT:
+                    close[close] = _first_slot(same[close]) == slot
                 y = y[close]
                 if not len(y):
                     continue
@@ -260,7 +275,165 @@ def confirm(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
         .mapInArrow(_confirmed(percent), "a long, b long").distinct()
 
 
+# ----------------------------------------------------------------- differences
+def _common(texts: pa.Table) -> pa.Table:
+    """How many texts of a part of a group have a shingle, of those that one in COMMON have.
+
+    Rarer ones are left out of a part's count. That sways which shingles count as usual and in
+    which order they come, not which pairs are linked: these follow for any usual set and order.
+    """
+    sets = [np.frombuffer(x.as_buffer(), np.int64) for x in texts["shingles"]]
+    shingle, found = np.unique(np.concatenate(sets), return_counts=True)
+    often = found * COMMON >= len(sets)
+    return pa.Table.from_arrays(
+        [pa.array(np.full(often.sum(), texts["group"][0].as_py(), np.int64)),
+         pa.array(shingle[often]), pa.array(found[often].astype(np.int64))],
+        ["group", "shingle", "found"])
+
+
+_DIFFERENCE = pa.schema([
+    ("group", pa.int64()), ("id", pa.int64()), ("component_id", pa.int64()),
+    ("n_usual", pa.int64()), ("excess", pa.int64()), ("difference", pa.binary())])
+
+
+def _differences(percent: int):
+    """Each text's difference from the usual shingles of its group, rare shingles first.
+
+    ``excess`` is ``(100 + percent) * size of the difference - (100 - percent) * n``. Two texts are
+    linked when their excesses add up to at most ``2 * (100 + percent)`` times the shingles that
+    their differences have in common.
+    """
+    def run(texts: pa.Table, common: pa.Table) -> pa.Table:
+        # One place more than there are shingles, for those beyond the last.
+        shingle = np.append(numbers(common["shingle"]), np.iinfo(np.int64).max)
+        order = np.argsort(shingle, kind="stable")
+        shingle = shingle[order]
+        found = np.append(numbers(common["found"]), 0)[order]
+        size = np.append(numbers(common["size"]), 0)[order]
+        usual = 2 * found > size
+        n_usual = int(usual.sum())
+        excess, difference = [], []
+        for x in texts["shingles"]:
+            own = np.frombuffer(x.as_buffer(), np.int64)
+            place = np.searchsorted(shingle, own)
+            known = shingle[place] == own
+            lacks = usual.copy()
+            lacks[place[known]] = False
+            beyond = ~(known & usual[place])
+            often = np.concatenate([np.where(known, found[place], 0)[beyond], (size - found)[lacks]])
+            differing = np.concatenate([own[beyond], shingle[lacks]])
+            difference.append(differing[np.lexsort((differing, often))].tobytes())
+            excess.append((100 + percent) * len(differing) - (100 - percent) * len(own))
+        columns = [texts[c].combine_chunks() for c in ("group", "id", "component_id")]
+        return pa.Table.from_arrays(
+            [*columns, pa.array([n_usual] * len(excess), pa.int64()), pa.array(excess, pa.int64()),
+             pa.array(difference, pa.binary())], schema=_DIFFERENCE)
+    return run
+
+
+def _heads(percent: int):
+    """A key for each shingle at the head of a difference at which a link of the text must show.
+
+    Texts whose excess and the ``least`` of the group are together at most 0 are linked with the
+    text of the least; the partners that are left to them have an excess above ``-least``. A key
+    leads where the text can meet partners whose excess is no smaller than its own. Each pair has
+    such a text, so texts whose key does not lead need not be compared with each other.
+    """
+    part = 2 * (100 + percent)
+    by_difference = lambda rows: numbers(
+        pa.compute.binary_length(rows["difference"])).astype(np.int64) + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in portions(whole, by_difference)):
+            keys, sizes, leads = [], [], []
+            group = mix(numbers(batch["group"]).astype(np.uint64))
+            for k, x in enumerate(batch["difference"]):
+                differing = np.frombuffer(x.as_buffer(), np.uint64)
+                excess, least = batch["excess"][k].as_py(), batch["least"][k].as_py()
+                if excess + least <= 0:
+                    larger = any_partner = -((least - excess - 1) // part)
+                else:
+                    beyond = excess - (100 - percent) * batch["n_usual"][k].as_py()
+                    any_partner = max(-(-(excess + least) // part), -(-beyond // 200))
+                    larger = max(any_partner, -(-2 * excess // part))
+                head = differing[:max(0, len(differing) - max(1, any_partner) + 1)]
+                key = mix(head ^ group[k]) << np.uint64(6) | np.uint64(SHINGLE_SLOT)
+                keys.append(key.view(np.int64))
+                leads.append(np.arange(len(head)) <= len(differing) - max(1, larger))
+                sizes.append(len(head))
+            if sum(sizes):
+                at = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(keys)), batch["id"].take(at),
+                     batch["component_id"].take(at), pa.array(np.concatenate(leads))],
+                    ["key", "id", "component_id", "leads"])
+    return run
+
+
+def by_differences(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) and places (key, id, component_id, leads) of ``members`` (group, id, component_id).
+
+    All linked pairs of a group are tied by the links or share a key that leads for one of them.
+    """
+    held = pin(members.join(sets.select("id", "n", "shingles"), "id"))
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES))
+    sizes = pin(held.groupBy("group").agg(F.count(F.lit(1)).alias("size"),
+                                          parts.cast("int").alias("parts")))
+    texts = held.join(sizes.select("group", "parts").hint("rebalance"), "group").withColumn(
+        "part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+    # At most COMMON times the shingles of an average text of the group.
+    common = texts.select("group", "part", "shingles").groupBy("group", "part").applyInArrow(
+        _common, "group long, shingle long, found long").groupBy("group", "shingle").agg(
+            F.sum("found").alias("found")).join(sizes.hint("rebalance"), "group").where(
+                F.col("found") * COMMON >= F.col("size"))
+    common = common.select("group", "shingle", "found", "size", F.explode(
+        F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    texts = texts.select("group", "part", "id", "component_id", "shingles")
+    differing = pin(texts.groupBy("group", "part").cogroup(common.groupBy("group", "part"))
+                    .applyInArrow(_differences(percent),
+                                  "group long, id long, component_id long, n_usual long, "
+                                  "excess long, difference binary"))
+    least = differing.groupBy("group").agg(F.min("excess").alias("least"),
+                                           F.min_by("id", "excess").alias("nearest"))
+    differing = differing.join(least.hint("rebalance"), "group")
+    links = differing.where("excess + least <= 0 and id <> nearest").select(
+        F.least("id", "nearest").alias("a"), F.greatest("id", "nearest").alias("b"))
+    return pin(links), pin(differing.mapInArrow(
+        _heads(percent), "key long, id long, component_id long, leads boolean").distinct())
+
+
 # ------------------------------------------------------------------------ join
+def mixed(places: DataFrame) -> DataFrame:
+    """Buckets whose members are still apart, with the marks by which equal ones are known."""
+    mark = F.xxhash64("id", "leads")
+    return places.groupBy("key").agg(
+        F.min("component_id").alias("low"), F.max("component_id").alias("high"),
+        F.min_by("component_id", "id").alias("main_component"), F.count(F.lit(1)).alias("n"),
+        F.sum(mark.bitwiseAND(F.lit(0xFFFFFFFF))).alias("mark_a"),
+        F.sum(F.shiftrightunsigned(mark, 32)).alias("mark_b"),
+        F.bool_or("leads").alias("leads")).where("low <> high and leads").drop("leads")
+
+
+def to_compare(apart: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) and, of the places (key, id, component_id), those (with ``main``) to compare."""
+    apart = apart.withColumn("leads", F.lit(True))
+    buckets = pin(mixed(apart))
+    large = buckets.where(F.col("n") > LARGE_BUCKET).select(
+        "key", F.col("low").alias("group"))
+    links, finer = by_differences(apart.join(large.hint("rebalance"), "key").select(
+        "group", "id", "component_id").distinct(), sets, percent)
+    # Of buckets with the same members the one with the first slot stays, where their pairs meet.
+    slot = F.col("key").bitwiseAND(F.lit(63))
+    once = buckets.where(F.col("n") <= LARGE_BUCKET).unionByName(mixed(finer)).groupBy(
+        "n", "mark_a", "mark_b", slot == SHINGLE_SLOT).agg(
+            F.min_by(F.struct("key", "main_component"), slot).alias("kept"))
+    main = F.when(slot == SHINGLE_SLOT, ~F.col("leads")).otherwise(
+        F.col("component_id") == F.col("main_component"))
+    return links, apart.unionByName(finer).join(
+        once.select("kept.*").hint("rebalance"), "key").select(
+            "key", "id", "component_id", main.cast("int").alias("main"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text).
 
@@ -290,20 +463,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     links = pin(confirm(sets, pin(pairs), percent))
     tied = components(links)
 
-    apart = members.join(tied, "id", "left").withColumn(
-        "component_id", F.coalesce("component_id", "id"))
-    low_half, high_half = F.lit(0xFFFFFFFF), 32
-    mixed = apart.where("members > 2").groupBy("key").agg(
-        F.min("component_id").alias("low"), F.max("component_id").alias("high"),
-        F.min_by("component_id", "id").alias("main_component"), F.count(F.lit(1)).alias("n"),
-        F.sum(F.xxhash64("id").bitwiseAND(low_half)).alias("mark_a"),
-        F.sum(F.shiftrightunsigned(F.xxhash64("id"), high_half)).alias("mark_b")).where("low <> high")
-    # Of buckets with the same members the one with the first slot stays, where their pairs meet.
-    once = mixed.groupBy("n", "mark_a", "mark_b").agg(F.min_by(
-        F.struct("key", "main_component"), F.col("key").bitwiseAND(F.lit(63))).alias("kept"))
-    rows = pin(apart.join(once.select("kept.*").hint("rebalance"), "key")
-               .withColumn("main", (F.col("component_id") == F.col("main_component")).cast("int"))
-               .select("key", "id", "component_id", "main").join(signs, "id"))
+    apart = pin(members.where("members > 2").join(tied, "id", "left").select(
+        "key", "id", F.coalesce("component_id", "id").alias("component_id")))
+    nearest, places = to_compare(apart, sets, percent)
+    rows = pin(places.join(signs, "id"))
 
     def blocks(main: int, name: str) -> Column:
         mine = F.col("main") == main
@@ -326,7 +489,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
              .select("key", "i", "j", "id", "component_id", "main", "block", "sig", "shingles")
              .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
              .mapInArrow(_linked_in_blocks(percent), "a long, b long").distinct())
-    tied = pin(components(links.union(later).union(own)))
+    tied = pin(components(links.union(nearest).union(later).union(own)))
 
     named_classes = classes.join(tied, "id", "left").select(
         *digest, F.coalesce("component_id", "id").alias("class_component"))

@@ -117,6 +117,68 @@ def test_near_duplicates_in_many_blocks(documents, monkeypatch, rows_in_block, s
     assert len({c for _, c in found.values()}) > 5
 
 
+@pytest.mark.parametrize("percent,rows_in_block", [(80, 512), (80, 7), (85, 512), (93, 20)])
+def test_near_duplicates_in_large_buckets(documents, monkeypatch, percent, rows_in_block):
+    """Groups met by their differences: common, chained, shared and no deviations, other lengths."""
+    monkeypatch.setattr(minhash_dedup, "LARGE_BUCKET", 3)
+    monkeypatch.setattr(minhash_dedup, "BLOCK_ROWS", rows_in_block)
+    draw = random.Random(percent + rows_in_block)
+    texts = []
+    for name, length, news in (("t", 120, 15), ("u", 60, 10**6)):
+        base = [f"{name}{k}" for k in range(length)]
+        for _ in range(110):
+            copy = list(base)
+            for _ in range(draw.randrange(0, 10)):
+                k = draw.randrange(len(copy))
+                copy[k:k + 1] = [f"{name}new{draw.randrange(news)}" for _ in range(draw.choice([0, 1, 1, 2]))]
+            if draw.random() < 0.3:  # a deviation that many have
+                copy[5:7] = [f"{name}both"] * 3
+            if draw.random() < 0.2:
+                copy = copy[:draw.randrange(length // 2, length)]
+            texts.append(" ".join(copy))
+        for _ in range(25):  # each nearest to the one before
+            base[draw.randrange(length)] = f"{name}far{draw.randrange(10**6)}"
+            texts.append(" ".join(base))
+    rows = list(enumerate(texts, 50))
+    draw.shuffle(rows)
+    got = minhash_dedup.near_duplicates(documents(rows), percent)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()}
+    assert found == plain_components(rows, percent)
+
+
+def test_near_duplicates_compare_few_of_a_large_group(documents, monkeypatch):
+    """Copies of one text that stay apart meet few others, however many they are."""
+    def met(size):
+        draw = random.Random(4)
+        base = [f"t{k}" for k in range(150)]
+        rows = [(0, " ".join(base))]
+        for k in range(1, size):
+            copy = list(base)
+            for place in draw.sample(range(150), draw.randrange(1, 12)):
+                copy[place] = f"n{draw.randrange(10**9)}"
+            rows.append((k, " ".join(copy)))
+        seen = []
+
+        def pin(df, real=minhash_dedup.pin):
+            seen.append(real(df))
+            return seen[-1]
+        with monkeypatch.context() as patch:
+            patch.setattr(minhash_dedup, "pin", pin)
+            got = minhash_dedup.near_duplicates(documents(rows), 80).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} \
+            == plain_components(rows, 80)
+        compared = [df for df in seen if "block" in df.columns][-1].select("key", "main").collect()
+        sides = defaultdict(Counter)
+        for r in compared:
+            sides[r["key"]][r["main"]] += 1
+        pairs = sum(n[0] * n[1] + n[0] * (n[0] - 1) // 2 for n in sides.values())
+        return len(compared) / size, pairs / size
+
+    (places, pairs), (more_places, more_pairs) = met(600), met(1200)
+    assert places < 12 and more_places < 1.3 * places + 1
+    assert more_pairs < 1200 / 8
+
+
 def test_distance_limits_follow_from_the_similarity():
     assert minhash_dedup.farthest(60, 85) == 26 and minhash_dedup.farthest(60, 80) == 31
 
